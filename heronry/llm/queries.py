@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_automaton, langid, packing, pii
+from . import bpe_automaton, langid, packing, pii, simhash
+from .scratch import written
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +42,13 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, digest(pii.span_text(F.col("base"))).alias("base_sha256"), pii.span_text(F.col("spans")).alias("spans"))
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    prints = written(simhash.fingerprints(docs, keep=[F.col("doc_id")], words=3).select("doc_id", F.col("fp")[0].alias("fp")), "prints")
+    found = simhash.classes(prints, simhash.exact_links(prints), key="doc_id")
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_texts(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), keep=[F.col("doc_id")])
 
@@ -54,6 +62,6 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_language_id, op2_pii, op6_packing, op10_bpe)
+    f.__name__: f for f in (op1_language_id, op2_pii, op3_simhash, op6_packing, op10_bpe)
 }
 ORACLE_SQL: dict[str, str] = {}
