@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_automaton, langid, packing, pii, simhash
+from . import bpe_automaton, docsketch, langid, packing, pii, simhash
 from .scratch import written
+from .succession import successors
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +54,23 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_texts(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), keep=[F.col("doc_id")])
 
 
+def op7_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A null id sorts last; of rows with one id, texts follow each other by their hash; equal rows have one successor and each keep their row."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    docs = docs.select("*", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("at"), F.xxhash64("text").alias("tie"))
+    keys = docs.select("at", "tie", F.char_length("text").cast("long").alias("n")).distinct()
+    order = successors(keys, "at", "tie").withColumn("cut", F.floor(F.col("n") / 3).cast("int"))
+    sketched = docs.withColumn("own", docsketch.sketch(F.col("text"))).repartition("at", "tie")
+    follower = sketched.select(F.col("at").alias("next_at"), F.col("tie").alias("next_tie"), F.col("text").alias("next_text"), F.col("own").alias("next_own"))
+    ahead = follower.join(order.hint("shuffle_hash"), ["next_at", "next_tie"]).select("at", "tie", "n", "cut", F.expr("left(next_text, cut)").alias("head"), "next_own")
+    ahead = ahead.groupBy("at", "tie").agg(*[F.any_value(c).alias(c) for c in ("n", "cut", "head", "next_own")])
+    both = sketched.join(ahead.hint("shuffle_hash"), ["at", "tie"])
+    both = both.withColumn("edited", F.concat(F.expr("left(text, cast(n as int) - cut)"), "head"))
+    both = both.withColumn("edited_own", docsketch.sketch(F.col("edited")))
+    near = lambda c: docsketch.resemblance(F.col("own"), F.col(c))
+    return both.select("doc_id", F.col("n").alias("n_chars"), digest(F.col("edited")).alias("edited_sha256"), docsketch.text_of(F.col("own")).alias("fingerprint"), docsketch.text_of(F.col("edited_own")).alias("edited_fingerprint"), near("edited_own").alias("near_edited"), near("next_own").alias("near_next"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = vocabulary("word_bpe_49k.json")
     encoded = bpe_automaton.encode(table(spark, sf_dir, "documents"), path, keep=[F.col("doc_id")])
@@ -62,6 +80,6 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_language_id, op2_pii, op3_simhash, op6_packing, op10_bpe)
+    f.__name__: f for f in (op1_language_id, op2_pii, op3_simhash, op6_packing, op7_fingerprint, op10_bpe)
 }
 ORACLE_SQL: dict[str, str] = {}
