@@ -103,11 +103,13 @@ _SPELLED = {
 }
 _WORD = "|".join(sorted(_SPELLED, key=lambda w: (-len(w), w)))
 _FOLDABLE = re.compile("[" + re.escape("".join(_LOOKALIKES) + _UNSEEN) + "٠-٩۰-۹०-९⁰-ₜ①-⓿！-～\U0001d400-\U0001d7ff]")
-_SPELLED_RUN = re.compile(rf"(?<!\w)(?:(?:\+|plus)[ -]?)?(?:(?:{_WORD}|[0-9]+)[ \t.,-]{{1,2}}){{3,}}(?:{_WORD}|[0-9]+)(?!\w)", re.I)
+_SPELLED_RUN = re.compile(rf"(?<!\w)(?:(?:\+|plus)[ -]?)?(?:(?:{_WORD}|[0-9]+)[ \t.,()-]{{1,3}}){{3,}}(?:{_WORD}|[0-9]+)(?!\w)", re.I)
 _SPELLED_ONE = re.compile(rf"(?<!\w)(?:(plus)|({_WORD}))(?!\w)", re.I)
 _OPEN, _CLOSE = r"[(\[{<]", r"[)\]}>]"
-_AT_MARKED = re.compile(rf"\s*{_OPEN}\s*(?:at|@|arroba|ät|chez)\s*{_CLOSE}\s*|\s*(?<!\w)_at_(?!\w)\s*", re.I)
-_DOT_MARKED = re.compile(rf"\s*{_OPEN}\s*(?:dot|\.|punkt|punto|point)\s*{_CLOSE}\s*|\s*(?<!\w)_dot_(?!\w)\s*", re.I)
+_AT_MARKED = re.compile(rf"\s*{_OPEN}\s*(?:at|@|arroba|ät|chez)\s*{_CLOSE}\s*", re.I)
+_DOT_MARKED = re.compile(rf"\s*{_OPEN}\s*(?:dot|\.|punkt|punto|point)\s*{_CLOSE}\s*", re.I)
+_UNDERSCORED = re.compile(r"(?<![^\W_])[a-z0-9.+-]+_at_[a-z0-9-]+(?:_dot_[a-z0-9-]+)+(?![^\W_])", re.I)
+_UNDERSCORED_PART = re.compile(r"_(at|dot)_", re.I)
 _NAME = r"[A-Za-z0-9_%+-]+"
 _SPOKEN = re.compile(rf"(?<![\w@.]){_NAME}(?:(?: dot |\.){_NAME})* at {_NAME}(?: dot {_NAME})+(?![\w@])", re.I)
 _SPACED = re.compile(rf"(?<![\w@.]){_NAME}(?:\.{_NAME})* @ {_NAME}(?: ?\. ?{_NAME})+(?![\w@])")
@@ -189,7 +191,7 @@ def _digits(r: Rewritten) -> Rewritten:
             if m[1]:
                 edits.append((m.start(), m.end() + (r.text[m.end() : m.end() + 1] in (" ", "-")), "+"))
             else:
-                if edits and m.start() > end and end > run.start() and not r.text[end : m.start()].strip(" \t.,-"):
+                if edits and m.start() > end and end > run.start() and not r.text[end : m.start()].strip(" \t.,()-"):
                     edits.append((end, m.start(), " "))
                 edits.append((m.start(), m.end(), _SPELLED[m[2].lower()]))
             end = edits[-1][1]
@@ -203,6 +205,8 @@ def _at_dot(r: Rewritten) -> Rewritten:
     for rule in (_SPOKEN, _SPACED):
         for run in rule.finditer(r.text):
             edits += [(*m.span(), {"at": "@", "@": "@"}.get((m[1] or ".").lower(), ".")) for m in _SPOKEN_PART.finditer(r.text, *run.span())]
+    for run in _UNDERSCORED.finditer(r.text):
+        edits += [(*m.span(), "@" if m[1].lower() == "at" else ".") for m in _UNDERSCORED_PART.finditer(r.text, *run.span())]
     for run in _DOTTED_IP.finditer(r.text):
         edits += [(*m.span(), ".") for m in _NUMBER_DOT.finditer(r.text, *run.span())]
     disjoint, last = [], 0

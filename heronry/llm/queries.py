@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_automaton, docsketch, langid, packing, pii, simhash
+from . import bpe_automaton, docsketch, langid, packing, pii, secrets, simhash, topk
 from .scratch import written
 from .succession import successors
 
@@ -50,6 +50,13 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", topk.scaled(F.col("embedding")).alias("v"))
+    file, grids = topk.approximations(vectors, key="vec_id", vector="v")
+    asked = file.where("id % 20 = 0").select("id", "v", "dim")
+    return topk.search(asked, file, grids, k=20).select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_texts(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), keep=[F.col("doc_id")])
 
@@ -71,6 +78,12 @@ def op7_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select("doc_id", F.col("n").alias("n_chars"), digest(F.col("edited")).alias("edited_sha256"), docsketch.text_of(F.col("own")).alias("fingerprint"), docsketch.text_of(F.col("edited_own")).alias("edited_fingerprint"), near("edited_own").alias("near_edited"), near("next_own").alias("near_next"))
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find(table(spark, sf_dir, "documents"), keep=[F.col("doc_id")])
+    counts = [spans_of("base", k).alias(f"n_{k}") for k in secrets.KINDS[:3]]
+    return found.select("doc_id", *counts, digest(secrets.span_text("base")).alias("base_sha256"), secrets.span_text("spans").alias("spans"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = vocabulary("word_bpe_49k.json")
     encoded = bpe_automaton.encode(table(spark, sf_dir, "documents"), path, keep=[F.col("doc_id")])
@@ -80,6 +93,16 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_language_id, op2_pii, op3_simhash, op6_packing, op7_fingerprint, op10_bpe)
+    f.__name__: f for f in (op1_language_id, op2_pii, op3_simhash, op5_topk, op6_packing, op7_fingerprint, op8_secrets, op10_bpe)
+}
+ORACLE_SQL: dict[str, str] = {
+    "op5_topk": """
+        with v as (select vec_id, list_transform(embedding, lambda x: floor(x::double * 64)::bigint) as v from embeddings
+                   where vec_id is not null and embedding is not null
+                     and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0),
+        scored as (select q.vec_id as query_id, c.vec_id, list_inner_product(q.v::double[], c.v::double[])::bigint as score
+                   from v q, v c where q.vec_id % 20 = 0 and q.vec_id <> c.vec_id),
+        ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored)
+        select query_id, rank::int as rank, vec_id, score from ranked where rank <= 20
+    """,
 }
-ORACLE_SQL: dict[str, str] = {}
