@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_automaton, docsketch, langid, packing, pii, secrets, simhash, topk
+from . import bpe_automaton, docsketch, langid, packing, pii, secrets, simhash, suffixdedup, topk
 from .scratch import written
 from .succession import successors
 
@@ -50,6 +50,11 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = suffixdedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", topk.scaled(F.col("embedding")).alias("v"))
     file, grids = topk.approximations(vectors, key="vec_id", vector="v")
@@ -93,7 +98,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_language_id, op2_pii, op3_simhash, op5_topk, op6_packing, op7_fingerprint, op8_secrets, op10_bpe)
+    f.__name__: f for f in (op1_language_id, op2_pii, op3_simhash, op4_suffix_dedup, op5_topk, op6_packing, op7_fingerprint, op8_secrets, op10_bpe)
 }
 ORACLE_SQL: dict[str, str] = {
     "op5_topk": """
