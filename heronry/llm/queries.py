@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_automaton, docsketch, langid, packing, pii, secrets, simhash, suffixdedup, topk
+from . import bpe_automaton, docsketch, langid, packing, pii, quality, secrets, simhash, suffixdedup, topk
 from .scratch import written
 from .succession import successors
 
@@ -89,6 +89,13 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, digest(secrets.span_text("base")).alias("base_sha256"), secrets.span_text("spans").alias("spans"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.learn(docs, table(spark, sf_dir, "labels"))
+    scored = quality.score(docs, model, keep=[F.col("doc_id")])
+    return scored.select("doc_id", "score", (F.col("score") >= quality.KEEP).alias("keep"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = vocabulary("word_bpe_49k.json")
     encoded = bpe_automaton.encode(table(spark, sf_dir, "documents"), path, keep=[F.col("doc_id")])
@@ -98,7 +105,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_language_id, op2_pii, op3_simhash, op4_suffix_dedup, op5_topk, op6_packing, op7_fingerprint, op8_secrets, op10_bpe)
+    f.__name__: f for f in (op1_language_id, op2_pii, op3_simhash, op4_suffix_dedup, op5_topk, op6_packing, op7_fingerprint, op8_secrets, op9_quality, op10_bpe)
 }
 ORACLE_SQL: dict[str, str] = {
     "op5_topk": """
