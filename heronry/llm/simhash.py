@@ -32,7 +32,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
@@ -130,15 +130,15 @@ def agreement(similarity: float) -> float:
     return 1 - math.acos(cosine) / math.pi
 
 
-def wide_shape(rows: int, similarity: float, recall: float = 0.97) -> tuple[int, int, int]:
+def wide_shape(rows: int, similarity: float, recall: float = 0.9) -> tuple[int, int, int]:
     """(bits in a block, lanes, Hamming distance) for a table of ``rows``.
 
-    Blocks lengthen with the logarithm of the table, so that the chance
-    meetings of a row stay few; their number follows from the recall asked for
-    at the given similarity. The distance is the expected one at that
-    similarity and one standard deviation more.
+    Blocks double in length where the table outgrows them, so that chance
+    meetings stay few; their number follows from the share of pairs at exactly
+    ``similarity`` that shall share a block (of closer pairs, more do). The
+    distance is the expected one at that similarity and one standard deviation.
     """
-    width = 16 if rows < 1 << 22 else 32
+    width = 16 if rows < 1 << 24 else 32
     p = agreement(similarity)
     blocks = math.ceil(math.log(1 - recall) / math.log(1 - p**width))
     lanes = math.ceil(blocks * width / 64)
@@ -146,35 +146,99 @@ def wide_shape(rows: int, similarity: float, recall: float = 0.97) -> tuple[int,
     return width, lanes, round(bits * (1 - p) + math.sqrt(bits * p * (1 - p)))
 
 
-def wide_links(prints: DataFrame, *, fp: str = "fp", width: int, distance: int, bucket: int = 64) -> DataFrame:
-    """(a, b) links between ids of distinct wide fingerprints at up to ``distance`` bits that share a block.
-
-    ``prints`` is a written table with a row for each distinct fingerprint:
-    ``node`` (long) and the array ``fp``. A block shared by more than
-    ``bucket`` rows is joined again on a second block, each other one in turn;
-    where even that is crowded, rows are held against the crowd's first row.
+def _group_links(node: np.ndarray, fp: np.ndarray, group: np.ndarray, distance: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Links that connect, within each run of one group, all rows that a chain of close rows joins."""
+    a, b = [], []
+    edge = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+    size = np.diff(np.append(edge, len(group)))
+    few = np.repeat(size <= 32, size)
+    rows = np.flatnonzero(few)
+    n, g, f = node[rows], group[rows], fp[rows]
+    for lag in range(1, 32):  # small groups: each row with the rows after it
+        near = np.flatnonzero(g[lag:] == g[:-lag]) if len(g) > lag else np.empty(0, np.int64)
+        if not len(near):
+            break
+        near = near[np.bitwise_count(f[near] ^ f[near + lag]).sum(axis=1, dtype=np.int64) <= distance]
+        a.append(n[near])
+        b.append(n[near + lag])
+    for start, count in zip(edge[size > 32].tolist(), size[size > 32].tolist(), strict=True):
+        rest = np.arange(start, start + count)
+        while len(rest):  # large ones: from row to row, each held against those not yet reached
+            queue, rest = [rest[0]], rest[1:]
+            while queue and len(rest):
+                here = queue.pop()
+                close = np.bitwise_count(fp[rest] ^ fp[here]).sum(axis=1, dtype=np.int64) <= distance
+                reached = rest[close]
+                if len(reached):
+                    a.append(np.full(len(reached), node[here]))
+                    b.append(node[reached])
+                    queue += reached.tolist()
+                    rest = rest[~close]
+    return a, b
+
+
+def wide_links(prints: DataFrame, *, lanes: int, width: int, distance: int, most: int = 1 << 16) -> DataFrame:
+    """(a, b) links between rows of distinct wide fingerprints that share a block and differ in at most ``distance`` bits.
+
+    ``prints`` has ``node`` (long) and ``fp`` (array<long> of ``lanes``). Rows meet
+    by block once, sorted; links that connect a block's rows are emitted, not
+    its pairs. A block is read in parts of at most about ``most`` rows; from a
+    part that does not end its block, a row for each class found goes on to the next.
     """
-    lanes = len(prints.select(fp).first()[0]) if not prints.isEmpty() else 1
     per = 64 // width
-    cut = [F.shiftrightunsigned(F.col(fp)[i // per], (i % per) * width).bitwiseAND(F.lit((1 << width) - 1)) for i in range(lanes * per)]
-    blocks = F.array(*cut)
-    near = sum((F.bit_count(F.col("p")[i].bitwiseXOR(F.col("q")[i])) for i in range(lanes)), F.lit(0)) <= distance
-    keyed = prints.select("node", F.posexplode(blocks).alias("k", "key"))
-    size = keyed.groupBy("k", "key").agg(F.count("*").alias("n")).where("n > 1")
-    sized = keyed.join(size, ["k", "key"])
+    blocks = F.array(*[F.shiftrightunsigned(F.col("fp")[i // per], (i % per) * width).bitwiseAND(F.lit((1 << width) - 1)) for i in range(lanes * per)])
+    keyed = prints.select("node", "fp", F.posexplode(blocks).alias("k", "key")).select("node", "fp", (F.col("k").cast("long") * (1 << width) + F.col("key")).alias("block"))
+    n = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    def paired(rows: DataFrame, on: list[str]) -> DataFrame:
-        x, y = rows.select(*on, F.col("node").alias("a")), rows.select(*on, F.col("node").alias("b"))
-        return x.join(y, on).where("a < b").select("a", "b")
-
-    once = paired(sized.where(F.col("n") <= bucket), ["k", "key"])
-    crowd = sized.where(F.col("n") > bucket).select("node", "k", "key").join(prints.select("node", blocks.alias("all")), "node")
-    again = written(crowd.select("node", "k", "key", F.posexplode("all").alias("k2", "key2")).where("k2 <> k"), "crowds")
-    on = ["k", "key", "k2", "key2"]
-    size2 = again.groupBy(*on).agg(F.count("*").alias("n"), F.min("node").alias("first")).where("n > 1")
-    sized2 = again.join(size2, on)
-    twice = paired(sized2.where(F.col("n") <= bucket), on)
-    held = sized2.where(F.col("n") > bucket).select(F.col("first").alias("a"), F.col("node").alias("b")).where("a <> b")
-    candidates = once.unionByName(twice).unionByName(held).distinct()
-    p, q = prints.select(F.col("node").alias("a"), F.col(fp).alias("p")), prints.select(F.col("node").alias("b"), F.col(fp).alias("q"))
-    return candidates.join(p, "a").join(q, "b").where(near).select("a", "b")
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        node, block, fp = np.empty(0, np.int64), np.empty(0, np.int64), np.empty((0, lanes), np.uint64)
+
+        def found(upto: int) -> pa.RecordBatch:
+            a, b = _group_links(node[:upto], fp[:upto], block[:upto], distance)
+            return pa.record_batch([pa.array(np.concatenate(x) if x else np.empty(0, np.int64)) for x in (a, b)], names=["a", "b"])
+
+        for batch in batches:
+            node = np.append(node, batch.column("node").to_numpy())
+            block = np.append(block, batch.column("block").to_numpy())
+            fp = np.vstack([fp, batch.column("fp").flatten().to_numpy().view(np.uint64).reshape(-1, lanes)])
+            if len(node) < most:
+                continue
+            open_ = int(np.searchsorted(block, block[-1]))
+            links = found(open_ or len(node))
+            yield links
+            if open_:
+                kept = slice(open_, None)
+            else:  # one block fills the part: go on with a row of each class
+                kept = ~np.isin(node, links.column("b").to_numpy())
+            node, block, fp = node[kept], block[kept], fp[kept]
+        yield found(len(node))
+
+    return keyed.repartition(n, "block").sortWithinPartitions("block").mapInArrow(task, "a long, b long")
+
+
+def near_copies(docs: DataFrame, *, key: str = "doc_id", text: str = "text", words: int = 5, similarity: float = 0.8, recall: float = 0.9) -> DataFrame:
+    """(``key``, digest, component_id) for each row: the class of texts joined by chains of near copies.
+
+    ``digest`` is xxhash64 of the text. Nodes are hashes of whole
+    fingerprints; 64 bits tell as many texts apart as Spark's row ids do.
+    """
+    width, lanes, distance = wide_shape(docs.count(), similarity, recall)
+    keep = [F.col(key).alias("id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("digest")]
+    prints = written(fingerprints(docs, text=text, keep=keep, words=words, lanes=lanes).withColumn("node", F.xxhash64("fp")), "prints")
+    nodes = prints.groupBy("node").agg(F.any_value("fp").alias("fp"))
+    links = wide_links(nodes, lanes=lanes, width=width, distance=distance)
+    return classes(prints.select("id", "digest", "node"), links, key="id", fp="node").select(F.col("id").alias(key), "digest", "component_id")
+
+
+def keep_first(docs: DataFrame, found: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay: of each class of :func:`near_copies` the row with the smallest id, once.
+
+    Rows with a null id stay only where their class has no other id; ties go to the smaller text hash, and equal rows stay once.
+    """
+    order = F.struct(F.col(key).isNull().alias("none"), F.coalesce(key, F.lit(0)).alias("id"), F.col("digest").alias("digest"))
+    first = found.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("digest")).alias("own")).agg(F.min(order).alias("first")).select("first.none", "first.id", "first.digest").distinct()
+    names = docs.columns
+    keyed = docs.withColumns({"__none": F.col(key).isNull(), "__id": F.coalesce(key, F.lit(0)), "__digest": F.xxhash64(F.coalesce(F.col(text), F.lit("")))})
+    stays = keyed.join(first, (keyed["__none"] == first["none"]) & (keyed["__id"] == first["id"]) & (keyed["__digest"] == first["digest"]), "left_semi")
+    once = Window.partitionBy("__id", "__none", "__digest").orderBy(F.lit(0))
+    return stays.withColumn("__n", F.row_number().over(once)).where("__n = 1").select(*names)

@@ -34,7 +34,7 @@ import struct
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bwt import transform, walk
@@ -386,6 +386,6 @@ def _arrow(df: DataFrame, column: str) -> pa.DataType:
     return to_arrow_type(df.schema[column].dataType)
 
 
-def readable(kept: bytes) -> str:
-    """What remains as text: pieces of characters cut at a range's edge are left out."""
-    return kept.decode("utf-8", "ignore")
+def readable(kept: Column) -> Column:
+    """What remains as text: bytes of characters cut at a range's edge are left out."""
+    return F.replace(F.make_valid_utf8(kept.cast("string")), F.lit("\ufffd"), F.lit(""))
