@@ -67,11 +67,13 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A null id sorts last; of rows with one id, texts follow each other by their hash; equal rows have one successor and each keep their row."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    docs = docs.select("*", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("at"), F.xxhash64("text").alias("tie"))
+    """A null id sorts last, as the least long (which stands for null here); of rows with one id, texts follow each other by their hash; equal rows have one successor and each keep their row."""
+    least = F.lit(-(1 << 63))
+    docs = table(spark, sf_dir, "documents").select(F.coalesce("doc_id", least).alias("at"), F.coalesce("text", F.lit("")).alias("text"))
+    docs = docs.withColumn("tie", F.xxhash64("text"))
     keys = docs.select("at", "tie", F.char_length("text").cast("long").alias("n")).distinct()
     order = successors(keys, "at", "tie").withColumn("cut", F.floor(F.col("n") / 3).cast("int"))
+    # both joins below read one and the same exchange: texts are sketched and shuffled once
     sketched = docs.withColumn("own", docsketch.sketch(F.col("text"))).repartition("at", "tie")
     follower = sketched.select(F.col("at").alias("next_at"), F.col("tie").alias("next_tie"), F.col("text").alias("next_text"), F.col("own").alias("next_own"))
     ahead = follower.join(order.hint("shuffle_hash"), ["next_at", "next_tie"]).select("at", "tie", "n", "cut", F.expr("left(next_text, cut)").alias("head"), "next_own")
@@ -80,7 +82,7 @@ def op7_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = both.withColumn("edited", F.concat(F.expr("left(text, cast(n as int) - cut)"), "head"))
     both = both.withColumn("edited_own", docsketch.sketch(F.col("edited")))
     near = lambda c: docsketch.resemblance(F.col("own"), F.col(c))
-    return both.select("doc_id", F.col("n").alias("n_chars"), digest(F.col("edited")).alias("edited_sha256"), docsketch.text_of(F.col("own")).alias("fingerprint"), docsketch.text_of(F.col("edited_own")).alias("edited_fingerprint"), near("edited_own").alias("near_edited"), near("next_own").alias("near_next"))
+    return both.select(F.nullif("at", least).alias("doc_id"), F.col("n").alias("n_chars"), digest(F.col("edited")).alias("edited_sha256"), docsketch.text_of(F.col("own")).alias("fingerprint"), docsketch.text_of(F.col("edited_own")).alias("edited_fingerprint"), near("edited_own").alias("near_edited"), near("next_own").alias("near_next"))
 
 
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
