@@ -111,10 +111,14 @@ def ingest(spark: SparkSession, sources: DataFrame, folder: str, fetch: Fetcher
     for name, value in hashes.items():
         resolved = resolved.withColumn("hash", F.when(F.col("name") == name, F.lit(value)).otherwise(F.col("hash")))
     staged["manifest.json"] = m.to_json(resolved).encode()
-    for name, body in staged.items():
-        out = fs.create(jvm.org.apache.hadoop.fs.Path(at, name), True)
-        out.write(bytearray(body))
-        out.close()
+    fs.setWriteChecksum(False)  # a file that someone changes later is then read, found to differ, and fetched again
+    try:
+        for name, body in staged.items():
+            out = fs.create(jvm.org.apache.hadoop.fs.Path(at, name), True)
+            out.write(bytearray(body))
+            out.close()
+    finally:
+        fs.setWriteChecksum(True)
     return spark.createDataFrame([(r["ord"], r["name"], r["action"]) for r in report], "ord int, name string, action string")
 
 
