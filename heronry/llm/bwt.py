@@ -15,6 +15,10 @@ import numpy as np
 _BLOCK = 16
 
 
+#: For each first and last place in a block: 255 outside, to be left out of a minimum.
+_OUTSIDE = np.array([[[0 if a <= k <= b else 255 for k in range(_BLOCK)] for b in range(_BLOCK)] for a in range(_BLOCK)], np.uint8)
+
+
 class _Minima:
     """Least value in ranges of an array of bytes."""
 
@@ -33,19 +37,20 @@ class _Minima:
     def between(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
         """Over low..high inclusive; low <= high."""
         a, b = low // _BLOCK, high // _BLOCK
-        at = np.arange(_BLOCK, dtype=np.int32)
-        left, right = (low % _BLOCK)[:, None], (high % _BLOCK)[:, None]
-        same = (a == b)[:, None]
-        head = np.where((at >= left) & (~same | (at <= right)), self.rows[a], 255).min(axis=1)
-        out = np.minimum(head, np.where(~same & (at <= right), self.rows[b], 255).min(axis=1)) if len(low) else head
-        wide = np.flatnonzero(b - a > 1)
-        if len(wide):
-            first, count = a[wide] + 1, (b - a)[wide] - 1
-            level = np.frexp(count.astype(np.float64))[1] - 1
-            for k in np.unique(level):
-                here = level == k
-                x, n, table = first[here], count[here], self.levels[k]
-                out[wide[here]] = np.minimum(out[wide[here]], np.minimum(table[x], table[x + n - (1 << int(k))]))
+        left, right = low - a * _BLOCK, high - b * _BLOCK
+        out = (self.rows[a] | _OUTSIDE[left, np.where(a == b, right, _BLOCK - 1)]).min(axis=1)
+        more = np.flatnonzero(b > a)
+        if len(more):
+            b = b[more]
+            tail = (self.rows[b] | _OUTSIDE[0, right[more]]).min(axis=1)
+            first, count = a[more] + 1, b - a[more] - 1
+            level = np.frexp(count.astype(np.float32))[1] - 1
+            for k in range(int(level.max()) + 1):
+                here = np.flatnonzero(level == k)
+                if len(here):
+                    x, n, table = first[here], count[here], self.levels[k]
+                    tail[here] = np.minimum(tail[here], np.minimum(table[x], table[x + n - (1 << k)]))
+            out[more] = np.minimum(out[more], tail)
         return out
 
 
@@ -74,14 +79,15 @@ def transform(texts: np.ndarray, lengths: np.ndarray, depth: int) -> tuple[np.nd
         found = rank[here]
         c = bwt[here]
         place = found.astype(np.int64) + (m - ended)
-        minima = _Minima(lcp)
         before = order[np.maximum(found - 1, 0)]
-        has = (found > ended) & (bwt[before] == c)
-        up = np.zeros(active, np.uint8)
-        up[has] = np.minimum(minima.between(before[has] + 1, here[has]) + np.uint8(1), depth)
         beyond = order[np.minimum(found + 1, len(bwt) - 1)]
-        more = (found + 1 < len(bwt)) & (bwt[beyond] == c)
-        down = np.minimum(minima.between(here[more] + 1, beyond[more]) + np.uint8(1), depth)
+        has = np.flatnonzero((found > ended) & (bwt[before] == c))
+        more = np.flatnonzero((found + 1 < len(bwt)) & (bwt[beyond] == c))
+        least = _Minima(lcp).between(np.concatenate([before[has], here[more]]) + 1, np.concatenate([here[has], beyond[more]]))
+        least = np.minimum(least + np.uint8(1), depth)
+        up = np.zeros(active, np.uint8)
+        up[has] = least[: len(has)]
+        down = least[len(has) :]
         kept = np.ones(len(bwt) + active, bool)
         kept[place] = False
         wider = np.empty(len(kept), np.uint8)

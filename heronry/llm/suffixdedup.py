@@ -7,7 +7,7 @@ together, and common prefixes of at least ``depth`` bound them.
 
 The order is built by :mod:`bwt`, one symbol of each text a round, over many
 small collections that Spark deals out: each window of ``depth`` bytes belongs
-to its minimiser, the 16-byte gram in it with the least hash, so equal windows
+to its minimiser, the 20-byte gram in it with the least hash, so equal windows
 meet in the same collection wherever they stand. Windows in a row with one
 minimiser travel as one text (at most 64 windows each), so all texts
 are short, and rounds are few, however long a document is.
@@ -39,22 +39,27 @@ from pyspark.sql import functions as F
 
 from .bwt import transform, walk
 
-GRAM = 16
+GRAM = 20
 RUN = 64
+#: Symbols in a collection whose suffixes are ordered together, about: its files stay in a core's cache.
+COLLECTION = 200_000
 _PART = 1 << 20
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93)
 _LOW = np.uint64((1 << 40) - 1)
 
 
 def _grams(data: np.ndarray) -> np.ndarray:
-    """A hash of each 16 bytes in a row."""
-    h, size = data.astype(np.uint64) + np.uint64(1), 1
-    while size < GRAM:
+    """A hash of each GRAM bytes in a row, from hashes of 4 and 16 bytes."""
+    h, size, four = data.astype(np.uint64) + np.uint64(1), 1, None
+    while size < 16:
         n = len(data) - 2 * size + 1
         a = h[:n]
         h = (a * _M1 ^ (a >> np.uint64(29))) + h[size : size + n] * _M2
         size *= 2
-    h ^= h >> np.uint64(32)
+        four = h if size == GRAM - 16 else four
+    n = len(data) - GRAM + 1
+    h = h[:n] ^ (h[:n] >> np.uint64(32))
+    h += four[16 : 16 + n]
     h *= _M3
     h ^= h >> np.uint64(29)
     h *= _M1
@@ -277,6 +282,39 @@ def smallest_holder(texts: list[bytes], owners: np.ndarray, depth: int) -> list[
     return np.split(flat, flat_at[1:])
 
 
+def _holders(texts: list[bytes], owners: np.ndarray, depth: int) -> list[np.ndarray]:
+    """:func:`smallest_holder` of a bucket, by collections of texts with the same minimisers.
+
+    Equal texts came together before; one that has its minimiser for itself
+    has no window in another.
+    """
+    lengths = np.array([len(t) for t in texts], np.int64)
+    first = np.cumsum(lengths) - lengths
+    grams = np.empty(int(lengths.sum()), np.uint64)
+    part = _grams(np.frombuffer(b"".join(texts), np.uint8))
+    grams[: len(part)] = part
+    window = np.stack([first, first + depth - GRAM + 1], axis=1).reshape(-1)
+    key = np.minimum.reduceat(np.append(grams, np.uint64(0)), window)[::2]
+    order = np.argsort(key, kind="stable")
+    edge = np.flatnonzero(np.append(True, key[order][1:] != key[order][:-1]))
+    size = np.diff(np.append(edge, len(order)))
+    least: list[np.ndarray | None] = [None] * len(texts)
+    for i in order[edge[size == 1]].tolist():
+        least[i] = np.full(len(texts[i]) - depth + 1, owners[i])
+    several = order[np.repeat(size > 1, size)]
+    ends = np.cumsum(size[size > 1])
+    symbols = np.cumsum(lengths[several])
+    at = 0
+    while at < len(several):
+        reach = np.searchsorted(symbols, (symbols[at - 1] if at else 0) + COLLECTION)
+        end = int(ends[min(np.searchsorted(ends, reach), len(ends) - 1)])  # whole groups
+        mine = several[at:end]
+        for i, found in zip(mine.tolist(), smallest_holder([texts[i] for i in mine], owners[mine], depth), strict=True):
+            least[i] = found
+        at = end
+    return least
+
+
 def _order_texts(depth: int):
     def task(rows: pa.Table) -> pa.Table:
         out_batch: list[int] = []
@@ -302,7 +340,7 @@ def _order_texts(depth: int):
                 numbers.append(number)
             entries.append((batch, np.array(numbers)[which], ids[which], doc, start))
         if entries:
-            least = smallest_holder(list(known), np.array(owners, np.int64), depth)
+            least = _holders(list(known), np.array(owners, np.int64), depth)
             sizes = np.array([len(x) for x in least], np.int64)
             first = np.cumsum(sizes) - sizes
             flat = np.concatenate(least)
