@@ -110,6 +110,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_language_id, op2_pii, op3_simhash, op4_suffix_dedup, op5_topk, op6_packing, op7_fingerprint, op8_secrets, op9_quality, op10_bpe)
 }
 ORACLE_SQL: dict[str, str] = {
+    "op4_suffix_dedup": """
+        with d as (select doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+        w as (select doc_id, k, substr(h, 2 * k + 1, 100) as s from (select doc_id, h, unnest(range(0, length(h) // 2 - 49)) as k from d)),
+        f as (select s, min(doc_id) as first from w group by s),
+        gone as (select doc_id, k, lag(k) over (partition by doc_id order by k) as before from w join f using (s) where first < doc_id),
+        runs as (select *, sum(case when before is null or k > before + 50 then 1 else 0 end) over (partition by doc_id order by k) as run from gone),
+        spans as (select doc_id, run, min(k) as a, max(k) + 50 as b from runs group by doc_id, run),
+        cuts as (select *, coalesce(lag(b) over (partition by doc_id order by a), 0) as last from spans),
+        kept as (select doc_id, sum(b - a) as n, count(*) as c, string_agg(substr(h, 2 * last + 1, 2 * (a - last)), '' order by a) || substr(any_value(h), 2 * max(b) + 1) as left_
+                 from cuts join d using (doc_id) group by doc_id)
+        select doc_id, (length(h) // 2)::bigint as n_bytes, coalesce(n, 0)::bigint as n_removed, coalesce(c, 0)::bigint as n_spans, sha256(unhex(coalesce(left_, h))) as kept_sha256
+        from d left join kept using (doc_id)
+    """,
     "op5_topk": """
         with v as (select vec_id, list_transform(embedding, lambda x: floor(x::double * 64)::bigint) as v from embeddings
                    where vec_id is not null and embedding is not null

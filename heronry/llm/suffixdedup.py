@@ -19,7 +19,9 @@ cuts the texts of the shared ones; equal texts in a batch go once, under the
 smallest id; (3) each bucket orders its texts and tells, for each window, the
 smallest id that has it; (4) each batch takes its removed ranges. Copies thus
 shrink before they are shuffled: however many documents hold a passage, a
-bucket gets it at most once from each batch.
+bucket gets it at most once from each batch. A minimiser that very many batches
+have, in whatever surroundings, is known from stage 1; all batches then send
+its windows each by its own hash, so no bucket gathers them.
 
 Edge cases: a null text counts as empty; a document under ``depth`` bytes
 keeps all its bytes. A null id is neither smaller nor larger than another:
@@ -34,6 +36,7 @@ import struct
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -185,32 +188,34 @@ def _list_keys(depth: int, buckets: int):
     return task
 
 
-def _share_keys(lists: pa.Table) -> pa.Table:
-    """Of each batch's keys, those that another document has."""
-    bucket = lists["bucket"][0].as_py()
-    batches, keys, sure = lists["batch"].to_numpy(), [], []
-    for raw in lists["raw"]:
-        n, short = _arrays(raw.as_py(), "<i8", "u1")
-        k = _long(short)
-        keys.append(k)
-        sure.append(np.arange(len(k)) < n[0])
-    source = np.repeat(np.arange(len(keys)), [len(k) for k in keys])
-    flat, certain = np.concatenate(keys), np.concatenate(sure)
-    order = np.argsort(flat, kind="stable")
-    same = flat[order][1:] == flat[order][:-1]
-    shared = np.zeros(len(flat), bool)
-    shared[order[1:][same]] = True
-    shared[order[:-1][same]] = True
-    shared |= certain
-    out_batch, out_raw = [], []
-    for i, batch in enumerate(batches):
-        low, high = np.searchsorted(source, [i, i + 1])
-        mine = flat[low:high][shared[low:high]]
-        if len(mine):
-            out_batch.append(int(batch))
-            out_raw.append(_bytes([_short(mine)]))
-    n = len(out_raw)
-    return pa.table({"batch": pa.array(out_batch, pa.int32()), "bucket": pa.array([bucket] * n, pa.int32()), "raw": pa.array(out_raw, pa.binary())})
+def _share_keys(spread: int):
+    def task(lists: pa.Table) -> pa.Table:
+        """Of each batch's keys, those that another document has; first those that more than ``spread`` batches have."""
+        bucket = lists["bucket"][0].as_py()
+        batches, keys, sure = lists["batch"].to_numpy(), [], []
+        for raw in lists["raw"]:
+            n, short = _arrays(raw.as_py(), "<i8", "u1")
+            k = _long(short)
+            keys.append(k)
+            sure.append(np.arange(len(k)) < n[0])
+        source = np.repeat(np.arange(len(keys)), [len(k) for k in keys])
+        flat, certain = np.concatenate(keys), np.concatenate(sure)
+        order = np.argsort(flat, kind="stable")
+        edge = np.flatnonzero(np.append(True, flat[order][1:] != flat[order][:-1]))
+        holders = np.empty(len(flat), np.int64)
+        holders[order] = np.repeat(np.diff(np.append(edge, len(flat))), np.diff(np.append(edge, len(flat))))
+        shared, hot = certain | (holders > 1), holders > spread
+        out_batch, out_raw = [], []
+        for i, batch in enumerate(batches):
+            low, high = np.searchsorted(source, [i, i + 1])
+            mine, wide = flat[low:high][shared[low:high]], hot[low:high][shared[low:high]]
+            if len(mine):
+                out_batch.append(int(batch))
+                out_raw.append(_bytes([_short(mine[wide]), _short(mine[~wide])]))
+        n = len(out_raw)
+        return pa.table({"batch": pa.array(out_batch, pa.int32()), "bucket": pa.array([bucket] * n, pa.int32()), "raw": pa.array(out_raw, pa.binary())})
+
+    return task
 
 
 def _cut_texts(depth: int, buckets: int):
@@ -222,17 +227,18 @@ def _cut_texts(depth: int, buckets: int):
         if rows.num_rows and shared.num_rows:
             _, _, texts, ids = _documents(rows)
             runs = Runs(texts, depth)
-            wanted = np.sort(np.concatenate([(np.uint64(b) << np.uint64(40)) | _long(_arrays(raw.as_py(), "u1")[0]) for b, raw in zip(shared["bucket"].to_pylist(), shared["raw"], strict=True)]))
+            named = [(np.uint64(b) << np.uint64(40), *_arrays(raw.as_py(), "u1", "u1")) for b, raw in zip(shared["bucket"].to_pylist(), shared["raw"], strict=True)]
+            hot, rest = (np.concatenate([b | _long(x[i]) for b, *x in named]) for i in (0, 1))
             bucket = _buckets(runs.key, buckets)
             full = (bucket.astype(np.uint64) << np.uint64(40)) | (runs.key & _LOW)
-            spot = np.minimum(np.searchsorted(wanted, full), len(wanted) - 1)
-            chosen = np.flatnonzero(wanted[spot] == full)
+            wide = np.isin(full, hot)
+            chosen = np.flatnonzero(wide | np.isin(full, rest))
             owners: dict[bytes, int] = {}
             places: dict[bytes, list[tuple[int, int]]] = {}
             direct: list[tuple[int, int, int]] = []
             home: dict[bytes, int] = {}
-            for d, s, n, b in zip(runs.doc[chosen].tolist(), runs.start[chosen].tolist(), runs.count[chosen].tolist(), bucket[chosen].tolist(), strict=True):
-                piece = texts[d][s : s + n + depth - 1]
+
+            def take(piece: bytes, d: int, s: int, b: int) -> None:
                 owner = owners.get(piece)
                 if owner is None:  # documents come by ascending id, so the first has the smallest
                     owners[piece], places[piece], home[piece] = d, [(d, s)], b
@@ -240,6 +246,14 @@ def _cut_texts(depth: int, buckets: int):
                     places[piece].append((d, s))
                 else:
                     direct.append((d, s, s + len(piece)))
+
+            for d, s, n, b, w in zip(*(x[chosen].tolist() for x in (runs.doc, runs.start, runs.count, bucket, wide)), strict=True):
+                if w:  # a minimiser that very many batches have: its windows go each by its own hash
+                    for k in range(s, s + n):
+                        piece = texts[d][k : k + depth]
+                        take(piece, d, k, xxhash.xxh64_intdigest(piece) % buckets)
+                else:
+                    take(texts[d][s : s + n + depth - 1], d, s, b)
             pieces = list(owners)
             by_bucket: dict[int, list[bytes]] = {}
             for piece in pieces:
@@ -397,8 +411,13 @@ def _take_out(depth: int, names: list[str], types: list[pa.DataType]):
     return task
 
 
-def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text", depth: int = 50, batch_bytes: int = 4 << 20, most_batches: int = 100_000) -> DataFrame:
-    """The columns of ``docs`` but ``text``, and n_bytes, n_removed, n_spans and kept (binary: the bytes that remain)."""
+def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text", depth: int = 50, batch_bytes: int = 4 << 20, most_batches: int = 100_000, spread: int = 512) -> DataFrame:
+    """The columns of ``docs`` but ``text``, and n_bytes, n_removed, n_spans and kept (binary: the bytes that remain).
+
+    Batches hold about ``batch_bytes``, more where there would be over
+    ``most_batches``. The windows of a minimiser that over ``spread`` batches
+    have are dealt to all buckets.
+    """
     names = [c for c in docs.columns if c != text]
     raw = F.coalesce(F.col(text), F.lit("")).cast("binary")
     rows = docs.select(*names, F.coalesce(F.col(key), F.lit(0)).cast("long").alias("__id"), raw.alias("__bytes"), F.col(key).isNull().alias("__null"))
@@ -408,7 +427,7 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     dealt = identified.withColumn("__batch", F.pmod(F.xxhash64("__id", "__tie"), F.lit(n)).cast("int")).repartition(n, "__batch")
     types = pa.schema([(c, _arrow(dealt, c)) for c in names]).types
     lists = dealt.groupBy("__batch").applyInArrow(_list_keys(depth, n), "bucket int, batch int, raw binary")
-    shared = lists.repartition(n, "bucket").groupBy("bucket").applyInArrow(_share_keys, "batch int, bucket int, raw binary")
+    shared = lists.repartition(n, "bucket").groupBy("bucket").applyInArrow(_share_keys(spread), "batch int, bucket int, raw binary")
     cut = dealt.groupBy("__batch").cogroup(shared.groupBy("batch")).applyInArrow(_cut_texts(depth, n), "bucket int, batch int, kind int, raw binary")
     ranges = cut.repartition(n, "bucket").groupBy("bucket").applyInArrow(_order_texts(depth), "batch int, raw binary")
     zero = F.lit(0).cast("long")

@@ -301,7 +301,18 @@ def test_repeats_are_removed(spark, sf):
 
 def test_repeats_over_runs_of_one_letter_and_nul(spark):
     rows = [(i, t) for i, t in enumerate(["a" * 500, "b" + "a" * 333, "ab" * 200, "\0" * 120, "c" + "\0" * 90, "ab" * 30, "é" * 60, "xé" * 30])]
-    got = suffixdedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), batch_bytes=300)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for spread in (512, 1, 0):
+        got = suffixdedup.remove_repeats(docs, batch_bytes=300, spread=spread)
+        assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], hashlib.sha256(r["kept"]).hexdigest()) for r in got.collect()} == brute_removed(rows)
+
+
+def test_very_common_minimisers_are_dealt_out(spark):
+    r = random.Random(12)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(5))
+    passage = " ".join(word() for _ in range(14))
+    rows = [(i, f"{' '.join(word() for _ in range(12))} {passage} {' '.join(word() for _ in range(12))}") for i in range(60)]
+    got = suffixdedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), batch_bytes=400, spread=3)
     assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], hashlib.sha256(r["kept"]).hexdigest()) for r in got.collect()} == brute_removed(rows)
 
 
