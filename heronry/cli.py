@@ -75,6 +75,7 @@ def _eval(spark: SparkSession, a: argparse.Namespace) -> None:
     for r in scores.orderBy("ord").collect():
         print(f"recall@5 {r['recall_5']:>5.3f}  recall@10 {r['recall_10']:>5.3f}  {r['id']:<24} {r['query']}")
     artifacts.write_json(result, f"{a.results}/{a.strategy}")
+    artifacts.write_json(scores, f"{a.results}/{a.strategy}-queries")
     o = result.first()
     print(f"overall recall@5 {o['overall_recall_5']:>5.3f}  recall@10 {o['overall_recall_10']:>5.3f}  (strategy: {a.strategy})")
     for base in {"fulltext": [], "cosine": ["fulltext"], "hybrid": ["fulltext", "cosine"]}[a.strategy]:
@@ -110,7 +111,7 @@ def _chunk(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def _embed(spark: SparkSession, a: argparse.Namespace) -> None:
-    r = index.build(spark, a.corpus, a.index, embed.http_embedder(a.server)).first()
+    r = index.embed_index(spark, a.index, embed.http_embedder(a.server)).first()
     print(f"{r['vectors']} vectors ({r['reused']} reused), dim {r['dim']}")
 
 
@@ -127,10 +128,11 @@ def parser() -> argparse.ArgumentParser:
 
     s = verb("ingest", _ingest)
     s.add_argument("corpus", nargs="?", default="corpus")
-    for name, run in (("chunk", _chunk), ("embed", _embed)):
-        s = verb(name, run)
-        s.add_argument("corpus", nargs="?", default="corpus")
-        s.add_argument("index", nargs="?", default="index")
+    s = verb("chunk", _chunk)
+    s.add_argument("corpus", nargs="?", default="corpus")
+    s.add_argument("index", nargs="?", default="index")
+    s = verb("embed", _embed)
+    s.add_argument("index", nargs="?", default="index")
     s = verb("query", _query)
     s.add_argument("--embed", action="store_true")
     s.add_argument("--hybrid", action="store_true")

@@ -7,6 +7,7 @@ import urllib.request
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark import Accumulator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -62,11 +63,12 @@ def plan(chunks: DataFrame, existing: DataFrame) -> DataFrame:
     return ids.join(old, "id", "full").select("id", action.alias("action"))
 
 
-def embed(chunks: DataFrame, call: Embedder, existing: DataFrame | None = None, *, batch: int = BATCH) -> DataFrame:
+def embed(chunks: DataFrame, call: Embedder, existing: DataFrame | None = None, *, batch: int = BATCH, done: Accumulator | None = None) -> DataFrame:
     """(id, embedding) for every chunk id: vectors of ``existing`` are kept, stale ones go, the others are made in batches.
 
     ``existing`` must be of the same model; leave it out otherwise. Embedding
     is the only step that runs Python on executors, and it sees pending rows alone.
+    ``done`` counts the rows embedded so far.
     """
     texts = chunks.select("id", "text").dropDuplicates(["id"])
     pending = texts if existing is None else texts.join(existing.select("id"), "id", "left_anti")
@@ -76,6 +78,8 @@ def embed(chunks: DataFrame, call: Embedder, existing: DataFrame | None = None,
             for at in range(0, len(part), max(batch, 1)):
                 some = part.iloc[at : at + max(batch, 1)]
                 yield pd.DataFrame({"id": some["id"], "embedding": checked(call, some["text"].tolist())})
+                if done is not None:
+                    done.add(len(some))
 
     made = pending.mapInPandas(work, "id string, embedding array<float>")
     if existing is None:

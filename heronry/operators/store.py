@@ -39,3 +39,17 @@ def last_chunks(chunks: DataFrame, order: tuple[str, ...] = ("source_ord", "chun
 def load(chunks: DataFrame, vectors: DataFrame) -> DataFrame:
     """One row an id with its last chunk, vector and the vector's norm."""
     return last_chunks(chunks).join(vectors.select("id", "embedding"), "id").withColumn("norm", norm(F.col("embedding")))
+
+
+def chunk(rows: DataFrame, id_: str) -> DataFrame:
+    """The chunk with an id, or no row."""
+    return rows.where(F.col("id") == id_)
+
+
+def size(rows: DataFrame) -> int:
+    """How many ids a store or list holds."""
+    return rows.select("id").distinct().count()
+
+
+def is_empty(rows: DataFrame) -> bool:
+    return rows.isEmpty()

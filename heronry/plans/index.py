@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import Accumulator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,12 +36,20 @@ def build(spark: SparkSession, folder: str, index: str, call: embed.Embedder, *,
     """
     made = chunk_corpus(spark, folder, on_source)
     artifacts.write_chunks(made, f"{index}/chunks")
+    return embed_index(spark, index, call, model=model)
+
+
+def embed_index(spark: SparkSession, index: str, call: embed.Embedder, *, model: str = embed.MODEL, done: Accumulator | None = None) -> DataFrame:
+    """Embed the chunks of an index that have no vector of this model yet; one row: chunks, vectors, reused, dim.
+
+    ``done`` counts embedded chunks while tasks run.
+    """
     chunks = artifacts.read_chunks(spark, f"{index}/chunks")
     old = described(spark, index)
     existing = spark.read.parquet(f"{index}/{old['vectors']}") if old is not None and old["model"] == model else None
     turn = old["turn"] + 1 if old is not None else 0
     found = f"embeddings-{turn}"
-    embed.embed(chunks, call, existing).write.mode("overwrite").parquet(f"{index}/{found}")
+    embed.embed(chunks, call, existing, done=done).write.mode("overwrite").parquet(f"{index}/{found}")
     vectors = spark.read.parquet(f"{index}/{found}")
     dim = embed.dimension(vectors)
     result = embed.report(chunks, vectors, existing).first()

@@ -5,7 +5,7 @@ import pytest
 
 from heronry import cli
 from heronry.errors import HashMismatch, ManifestError, StoreError
-from heronry.operators import chunk
+from heronry.operators import chunk, store
 from heronry.plans import index
 from heronry.sources import artifacts, corpus, manifest
 from heronry.streaming import ingest as stream
@@ -99,6 +99,15 @@ def test_an_index_is_built_reused_and_loaded(spark, tmp_path):
     rows, words = index.load(spark, str(tmp_path / "index"))
     assert rows.count() == 2
     assert words.stats.first()["n"] == 2
+    assert store.size(rows) == 2 and not store.is_empty(rows)
+    assert store.chunk(rows, rows.first()["id"]).count() == 1 and store.is_empty(store.chunk(rows, "none"))
+
+
+def test_embedding_counts_what_is_done(spark, tmp_path):
+    build(spark, tmp_path)
+    done = spark.sparkContext.accumulator(0)
+    report = index.embed_index(spark, str(tmp_path / "index"), measure, model="third", done=done).first()
+    assert done.value == 2 and report["reused"] == 0
 
 
 def test_loading_without_an_index_fails(spark, tmp_path):
