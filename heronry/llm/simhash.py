@@ -177,6 +177,26 @@ def _group_links(node: np.ndarray, fp: np.ndarray, group: np.ndarray, distance:
     return a, b
 
 
+def _stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links that join the same rows: from the smallest of each component to each other one."""
+    ids, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = ends[: len(a)], ends[len(a) :]
+    label = np.arange(len(ids))
+    while True:
+        least = np.minimum(label[x], label[y])
+        after = label.copy()
+        np.minimum.at(after, x, least)
+        np.minimum.at(after, y, least)
+        np.minimum.at(after, label[x], least)
+        np.minimum.at(after, label[y], least)
+        after = after[after]
+        if (after == label).all():
+            break
+        label = after
+    others = np.flatnonzero(label != np.arange(len(ids)))
+    return ids[label[others]], ids[others]
+
+
 def wide_links(prints: DataFrame, *, lanes: int, width: int, distance: int, most: int = 1 << 16) -> DataFrame:
     """(a, b) links between rows of distinct wide fingerprints that share a block and differ in at most ``distance`` bits.
 
@@ -194,8 +214,8 @@ def wide_links(prints: DataFrame, *, lanes: int, width: int, distance: int, most
         node, block, fp = np.empty(0, np.int64), np.empty(0, np.int64), np.empty((0, lanes), np.uint64)
 
         def found(upto: int) -> pa.RecordBatch:
-            a, b = _group_links(node[:upto], fp[:upto], block[:upto], distance)
-            return pa.record_batch([pa.array(np.concatenate(x) if x else np.empty(0, np.int64)) for x in (a, b)], names=["a", "b"])
+            links = _group_links(node[:upto], fp[:upto], block[:upto], distance)
+            return pa.record_batch([pa.array(x) for x in _stars(*(np.concatenate([np.empty(0, np.int64), *x]) for x in links))], names=["a", "b"])
 
         for batch in batches:
             node = np.append(node, batch.column("node").to_numpy())
