@@ -230,10 +230,9 @@ def encode(docs: DataFrame, path: str, *, text: str = "text", keep: list[Column]
 
 
 def decode(rows: DataFrame, path: str, *, ids: str = "ids") -> DataFrame:
-    """Add ``decoded``: the labels of ``ids`` with a space between; other columns stay."""
+    """Add ``decoded``: the labels of ``ids`` with a space between; other columns stay, one of that name is replaced."""
+    rows = rows.drop("decoded")
     names = rows.columns
-    if "decoded" in names:
-        raise ValueError("a column decoded is there already")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path)

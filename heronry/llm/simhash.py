@@ -257,8 +257,7 @@ def keep_first(docs: DataFrame, found: DataFrame, *, key: str = "doc_id", text:
     """
     order = F.struct(F.col(key).isNull().alias("none"), F.coalesce(key, F.lit(0)).alias("id"), F.col("digest").alias("digest"))
     first = found.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("digest")).alias("own")).agg(F.min(order).alias("first")).select("first.none", "first.id", "first.digest").distinct()
-    names = docs.columns
-    keyed = docs.withColumns({"__none": F.col(key).isNull(), "__id": F.coalesce(key, F.lit(0)), "__digest": F.xxhash64(F.coalesce(F.col(text), F.lit("")))})
-    stays = keyed.join(first, (keyed["__none"] == first["none"]) & (keyed["__id"] == first["id"]) & (keyed["__digest"] == first["digest"]), "left_semi")
-    once = Window.partitionBy("__id", "__none", "__digest").orderBy(F.lit(0))
-    return stays.withColumn("__n", F.row_number().over(once)).where("__n = 1").select(*names)
+    keyed = docs.select(F.struct("*").alias("row"), F.col(key).isNull().alias("none"), F.coalesce(key, F.lit(0)).alias("id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("digest"))
+    on = ["none", "id", "digest"]
+    once = Window.partitionBy(*on).orderBy(F.lit(0))
+    return keyed.join(first, on, "left_semi").withColumn("n", F.row_number().over(once)).where("n = 1").select("row.*")

@@ -179,7 +179,7 @@ def _list_keys(depth: int, buckets: int):
         out_bucket, out_raw = [], []
         arranged = np.lexsort((~several, bucket))
         cuts = np.flatnonzero(np.append(True, np.diff(bucket[arranged]) != 0)) if len(once) else np.empty(0, np.int64)
-        for a, b in zip(cuts, np.append(cuts[1:], len(once)), strict=True):
+        for a, b in zip(cuts, [*cuts[1:], len(once)], strict=False):
             part = arranged[a:b]
             out_bucket.append(int(bucket[part[0]]))
             out_raw.append(_bytes([np.array([several[part].sum()], np.int64), _short(once[part] & _LOW)]))
@@ -376,11 +376,9 @@ def _order_texts(depth: int):
     return task
 
 
-def _take_out(depth: int, names: list[str], types: list[pa.DataType]):
-    fields = ["n_bytes", "n_removed", "n_spans", "kept"]
-
+def _take_out(depth: int, kind: pa.DataType):
     def task(rows: pa.Table, ranges: pa.Table) -> pa.Table:
-        empty = pa.schema([*zip(names, types, strict=True), *((f, pa.int64()) for f in fields[:3]), ("kept", pa.binary())])
+        empty = pa.schema([("keep", kind), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())])
         if not rows.num_rows:
             return empty.empty_table()
         number, _, texts, _ = _documents(rows)
@@ -406,35 +404,34 @@ def _take_out(depth: int, names: list[str], types: list[pa.DataType]):
             left = b"".join([*kept, text[at:]]) if at else text
             results.append((len(text), len(text) - len(left), len(lows), left))
         columns = [pa.array([results[i][f] for i in number], pa.binary() if f == 3 else pa.int64()) for f in range(4)]
-        return pa.table([*(rows[c] for c in names), *columns], schema=empty)
+        return pa.table([rows["keep"].cast(kind), *columns], schema=empty)
 
     return task
 
 
 def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text", depth: int = 50, batch_bytes: int = 4 << 20, most_batches: int = 100_000, spread: int = 512) -> DataFrame:
-    """The columns of ``docs`` but ``text``, and n_bytes, n_removed, n_spans and kept (binary: the bytes that remain).
+    """The columns of ``docs`` but ``text``, and n_bytes, n_removed, n_spans and kept (binary: the bytes that remain); columns of these names are replaced.
 
     Batches hold about ``batch_bytes``, more where there would be over
     ``most_batches``. The windows of a minimiser that over ``spread`` batches
     have are dealt to all buckets.
     """
-    names = [c for c in docs.columns if c != text]
+    added = ("n_bytes", "n_removed", "n_spans", "kept")
+    keep = F.struct(*[c for c in docs.columns if c not in (text, *added)]).alias("keep")
     raw = F.coalesce(F.col(text), F.lit("")).cast("binary")
-    rows = docs.select(*names, F.coalesce(F.col(key), F.lit(0)).cast("long").alias("__id"), raw.alias("__bytes"), F.col(key).isNull().alias("__null"))
+    rows = docs.select(keep, F.coalesce(F.col(key), F.lit(0)).cast("long").alias("__id"), raw.alias("__bytes"), F.col(key).isNull().alias("__null"))
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     n = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(most_batches, -(-total // batch_bytes)))
     identified = rows.where("not __null").drop("__null").withColumn("__tie", F.xxhash64("__bytes"))
     dealt = identified.withColumn("__batch", F.pmod(F.xxhash64("__id", "__tie"), F.lit(n)).cast("int")).repartition(n, "__batch")
-    types = pa.schema([(c, _arrow(dealt, c)) for c in names]).types
     lists = dealt.groupBy("__batch").applyInArrow(_list_keys(depth, n), "bucket int, batch int, raw binary")
     shared = lists.repartition(n, "bucket").groupBy("bucket").applyInArrow(_share_keys(spread), "batch int, bucket int, raw binary")
     cut = dealt.groupBy("__batch").cogroup(shared.groupBy("batch")).applyInArrow(_cut_texts(depth, n), "bucket int, batch int, kind int, raw binary")
     ranges = cut.repartition(n, "bucket").groupBy("bucket").applyInArrow(_order_texts(depth), "batch int, raw binary")
     zero = F.lit(0).cast("long")
-    shape = docs.select(*names, *(zero.alias(c) for c in ("n_bytes", "n_removed", "n_spans")), raw.alias("kept"))
-    done = dealt.groupBy("__batch").cogroup(ranges.groupBy("batch")).applyInArrow(_take_out(depth, names, types), shape.schema)
-    whole = rows.where("__null").select(*names, F.octet_length("__bytes").cast("long").alias("n_bytes"), zero.alias("n_removed"), zero.alias("n_spans"), F.col("__bytes").alias("kept"))
-    return done.unionByName(whole)
+    whole = rows.where("__null").select("keep", F.octet_length("__bytes").cast("long").alias("n_bytes"), zero.alias("n_removed"), zero.alias("n_spans"), F.col("__bytes").alias("kept"))
+    done = dealt.groupBy("__batch").cogroup(ranges.groupBy("batch")).applyInArrow(_take_out(depth, _arrow(dealt, "keep")), whole.schema)
+    return done.unionByName(whole).select("keep.*", *added)
 
 
 def _arrow(df: DataFrame, column: str) -> pa.DataType:

@@ -88,6 +88,21 @@ def test_empty_tables_give_empty_results(spark, none, name):
     assert queries.QUERIES[name](spark, none).count() == 0
 
 
+def test_other_columns_may_have_any_names(spark):
+    names = ["__id", "__tie", "__bytes", "__batch", "__null", "keep", "n_bytes", "kept", "none", "id", "digest", "n", "row", "__text", "node", "fp", "y", "score", "lang_pred", "ids", "decoded"]
+    docs = spark.createDataFrame([(1, "some words here", "en", "s", 0), (2, None, None, None, None)], DOCS)
+    docs = docs.withColumns({n: F.lit(7) for n in names})
+    assert suffixdedup.remove_repeats(docs).count() == 2
+    kept = simhash.keep_first(docs, simhash.near_copies(docs))
+    assert kept.columns == docs.columns and kept.count() == 2
+    assert pii.redact(docs).collect() == docs.collect()
+    model = langid.learn(docs)
+    assert langid.identify(docs, model, keep=[F.col("doc_id")]).count() == 2
+    assert quality.score(docs, quality.learn(docs, docs.select("doc_id", F.lit(1).alias("quality"))), keep=[F.col("doc_id")]).count() == 2
+    assert bpe_automaton.decode(bpe_automaton.encode(docs, vocabulary("word_bpe_49k.json"), keep=[F.col("doc_id"), F.col("decoded")]), vocabulary("word_bpe_49k.json")).columns == ["doc_id", "ids", "decoded"]
+    assert secrets.find(docs, keep=[F.col("doc_id")]).count() == 2
+
+
 # 1
 
 
