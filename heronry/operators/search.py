@@ -17,6 +17,10 @@ from ..functions import scores as S
 from ..functions import text as T
 
 MOST_QUERIES = 1024
+#: Hits a query of which a block's are broadcast.
+MOST_BROADCAST = 100
+#: Distinct terms of queries that are broadcast; more are joined by a shuffle.
+MOST_TERMS = 100_000
 TOP = 10
 
 
@@ -45,35 +49,46 @@ def cosine(queries: DataFrame, store: DataFrame, k: int = TOP, tier: str | None
     if k <= 0:
         return store.limit(0).select(F.lit(0).alias("qid"), F.lit(0).alias("rank"), "*", F.lit(0.0).alias("score")).drop("embedding", "norm")
     rows = store if tier is None else store.where(F.col("tier") == tier)
+    shown = [c for c in rows.columns if c not in ("embedding", "norm")]
     found = []
     for block in _blocks(queries):
         q = block.select("qid", F.col("vector").alias("__q"), S.norm(F.col("vector")).alias("__qn"))
-        pairs = rows.join(F.broadcast(q), F.size("embedding") == F.size("__q"))
-        found.append(pairs.withColumn("score", S.cosine(F.col("__q"), F.col("embedding"), F.col("__qn"), F.col("norm"))).drop("__q", "__qn", "embedding", "norm"))
-    hits = ranked(reduce(DataFrame.unionByName, found), [F.desc("score"), F.col("id")], k)
-    return hits.select("qid", "rank", *[c for c in rows.columns if c not in ("embedding", "norm")], "score")
+        pairs = rows.select("id", "embedding", "norm").join(F.broadcast(q), F.size("embedding") == F.size("__q"))
+        scored = pairs.select("qid", "id", S.cosine(F.col("__q"), F.col("embedding"), F.col("__qn"), F.col("norm")).alias("score"))
+        # only ids and scores are ranked; the block's hits, at most k a query, then fetch their chunks
+        hits = ranked(scored, [F.desc("score"), F.col("id")], k)
+        found.append(rows.select(shown).join(F.broadcast(hits) if k <= MOST_BROADCAST else hits, "id"))
+    return reduce(DataFrame.unionByName, found).select("qid", "rank", *shown, "score")
 
 
 class Bm25:
-    """An inverted list: postings (id, term, tf, dl), terms (term, df), one-row stats (n, avgdl).
+    """Okapi BM25 over chunks (id, text).
 
-    Equal ids hold equal texts: an id is listed once, but each of its rows counts
-    in the number of rows, the document frequencies and the mean length.
+    Equal ids hold equal texts: an id is found once, but each of its rows
+    counts in the number of rows, the document frequencies and the mean length.
+    A search keeps only the occurrences of its own terms, before anything is
+    shuffled; :meth:`postings` is the whole list, for an index that is kept.
     """
 
     def __init__(self, chunks: DataFrame):
-        worded = chunks.select("id", T.words(F.col("text")).alias("ts"))
-        size = F.size("ts").cast("long")
-        self.stats = worded.agg(F.count("*").alias("n"), F.coalesce(F.sum(size) / F.greatest(F.count("*"), F.lit(1)), F.lit(0.0)).alias("avgdl"))
-        counted = worded.groupBy("id").agg(F.count("*").alias("copies"), F.any_value("ts").alias("ts"))
-        self.postings = counted.select("id", "copies", F.size("ts").cast("long").alias("dl"), F.explode("ts").alias("term")).groupBy("id", "copies", "dl", "term").agg(F.count("*").alias("tf"))
-        self.terms = self.postings.groupBy("term").agg(F.sum("copies").alias("df"))
+        self.rows = chunks.select("id", T.words(F.col("text")).alias("ts")).withColumn("dl", F.size("ts").cast("long"))
+        self.copies = chunks.groupBy("id").agg(F.count("*").alias("copies"))
+        self.stats = self.rows.agg(F.count("*").alias("n"), F.coalesce(F.sum("dl") / F.greatest(F.count("*"), F.lit(1)), F.lit(0.0)).alias("avgdl"))
+
+    def postings(self, terms: DataFrame | None = None) -> DataFrame:
+        """(id, term, tf, dl, copies) of all terms, or of those in ``terms``."""
+        found = self.rows.select("id", "dl", F.explode("ts").alias("term"))
+        if terms is not None:
+            found = found.join(F.broadcast(terms) if terms.count() <= MOST_TERMS else terms, "term")
+        counted = found.groupBy("id", "dl", "term").agg(F.count("*").alias("all"))
+        return counted.join(self.copies, "id").select("id", "term", (F.col("all") / F.col("copies")).cast("long").alias("tf"), "dl", "copies")
 
     def search(self, queries: DataFrame, k: int = TOP) -> DataFrame:
         """(qid, rank, id, score): best first, ties by id; ``queries`` has qid and query. Only rows with a term of the query count."""
         asked = queries.select("qid", F.explode(T.words(F.col("query"))).alias("term")).groupBy("qid", "term").agg(F.count("*").alias("qtf"))
-        weighed = asked.join(self.terms, "term").crossJoin(F.broadcast(self.stats))  # stats is one row
-        parts = self.postings.join(weighed, "term")
+        postings = self.postings(asked.select("term").distinct())
+        weighed = asked.join(postings.groupBy("term").agg(F.sum("copies").alias("df")), "term").crossJoin(F.broadcast(self.stats))  # stats is one row
+        parts = postings.join(weighed, "term")
         term = S.bm25_term(S.idf(F.col("n"), F.col("df")), F.col("tf"), F.col("dl"), F.col("avgdl"), F.col("qtf"))
         # a pair has at most as many parts as the query has terms; they are added by ascending term
         summed = parts.groupBy("qid", "id").agg(F.array_sort(F.collect_list(F.struct("term", term.alias("x")))).alias("xs"))
