@@ -12,46 +12,21 @@ from __future__ import annotations
 
 import numpy as np
 
-_BLOCK = 16
 
-
-#: For each first and last place in a block: 255 outside, to be left out of a minimum.
-_OUTSIDE = np.array([[[0 if a <= k <= b else 255 for k in range(_BLOCK)] for b in range(_BLOCK)] for a in range(_BLOCK)], np.uint8)
-
-
-class _Minima:
-    """Least value in ranges of an array of bytes."""
-
-    def __init__(self, values: np.ndarray):
-        n = -(-len(values) // _BLOCK)
-        padded = np.full(n * _BLOCK, 255, np.uint8)
-        padded[: len(values)] = values
-        self.rows = padded.reshape(n, _BLOCK)
-        level = self.rows.min(axis=1)
-        self.levels, span = [level], 1
-        while 2 * span <= n:
-            level = np.minimum(level[:-span], level[span:])
-            self.levels.append(level)
-            span *= 2
-
-    def between(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-        """Over low..high inclusive; low <= high."""
-        a, b = low // _BLOCK, high // _BLOCK
-        left, right = low - a * _BLOCK, high - b * _BLOCK
-        out = (self.rows[a] | _OUTSIDE[left, np.where(a == b, right, _BLOCK - 1)]).min(axis=1)
-        more = np.flatnonzero(b > a)
-        if len(more):
-            b = b[more]
-            tail = (self.rows[b] | _OUTSIDE[0, right[more]]).min(axis=1)
-            first, count = a[more] + 1, b - a[more] - 1
-            level = np.frexp(count.astype(np.float32))[1] - 1
-            for k in range(int(level.max()) + 1):
-                here = np.flatnonzero(level == k)
-                if len(here):
-                    x, n, table = first[here], count[here], self.levels[k]
-                    tail[here] = np.minimum(tail[here], np.minimum(table[x], table[x + n - (1 << k)]))
-            out[more] = np.minimum(out[more], tail)
-        return out
+def _least(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """The least value in each range low..high inclusive; low <= high."""
+    if not len(low):
+        return np.empty(0, np.uint8)
+    length = (high - low + 1).astype(np.int64)
+    level = np.frexp(length.astype(np.float64))[1] - 1
+    n = len(values)
+    table = np.empty((int(level.max()) + 1, n), np.uint8)  # row k: least of the 2**k values from each place on
+    table[0] = values
+    for k in range(1, len(table)):
+        span = 1 << (k - 1)
+        np.minimum(table[k - 1, : n - span], table[k - 1, span:], out=table[k, : n - span])
+    flat, row = table.reshape(-1), level * n
+    return np.minimum(flat[row + low], flat[row + high - (1 << level) + 1])
 
 
 def transform(texts: np.ndarray, lengths: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -83,7 +58,7 @@ def transform(texts: np.ndarray, lengths: np.ndarray, depth: int) -> tuple[np.nd
         beyond = order[np.minimum(found + 1, len(bwt) - 1)]
         has = np.flatnonzero((found > ended) & (bwt[before] == c))
         more = np.flatnonzero((found + 1 < len(bwt)) & (bwt[beyond] == c))
-        least = _Minima(lcp).between(np.concatenate([before[has], here[more]]) + 1, np.concatenate([here[has], beyond[more]]))
+        least = _least(lcp, np.concatenate([before[has], here[more]]) + 1, np.concatenate([here[has], beyond[more]]))
         least = np.minimum(least + np.uint8(1), depth)
         up = np.zeros(active, np.uint8)
         up[has] = least[: len(has)]
