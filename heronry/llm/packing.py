@@ -12,7 +12,7 @@ What the last windows lack is at most one capacity for each pattern; a window
 whose total is not full is closed at the best sum there is.
 
 Pieces find their sequence by their rank among the pieces of their length.
-Ranks are counted within (length, salt) groups of bounded size and offset by
+Ranks are counted within (length, salt) groups of about 1000 rows and offset by
 the groups before, so no length gathers in one task.
 
 Edge cases: a null text counts as empty: one piece with the end id alone.
@@ -132,16 +132,17 @@ def slots(patterns: list[tuple[int, list[int]]]) -> dict[int, tuple[np.ndarray,
     return {k: tuple(np.array(x, np.int64) for x in zip(*v, strict=True)) for k, v in found.items()}
 
 
-def pack(cut: DataFrame, *, capacity: int = CAPACITY, group_rows: int = 20_000) -> DataFrame:
-    """Add ``sequence_id`` and ``offset`` to a written table of :func:`pieces`."""
+def pack(cut: DataFrame, *, capacity: int = CAPACITY, group_rows: int = 1000) -> DataFrame:
+    """Add ``sequence_id`` and ``offset`` to a written table of :func:`pieces`; columns of these names are replaced."""
+    cut = cut.drop("sequence_id", "offset")
     names = cut.columns
-    clash = {"sequence_id", "offset"} & set(names)
-    if clash:
-        raise ValueError(f"columns {sorted(clash)} are there already")
-    rows = cut.count()
-    salted = cut.withColumn("__salt", F.pmod(F.xxhash64(*names), F.lit(max(1, rows // group_rows))))
+    counts = {r["length"]: r["count"] for r in cut.groupBy("length").count().collect()}  # at most ``capacity`` rows
+    if not counts:
+        zero = F.lit(0).cast("long")
+        return cut.select("*", zero.alias("sequence_id"), zero.alias("offset"))
+    salts = F.lit([-(-counts.get(k + 1, 1) // group_rows) for k in range(capacity)])  # a frequent length is dealt over many groups
+    salted = cut.withColumn("__salt", F.pmod(F.xxhash64(*names), F.element_at(salts, F.col("length").cast("int"))))
     groups = salted.groupBy("length", "__salt").agg(F.count("*").alias("n"))
-    counts = {r["length"]: r["n"] for r in groups.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     shared = cut.sparkSession.sparkContext.broadcast(slots(plan(counts, capacity)))
     before = groups.select("length", "__salt", (F.sum("n").over(Window.partitionBy("length").orderBy("__salt")) - F.col("n")).alias("__before"))
     within = salted.withColumn("__rank", F.row_number().over(Window.partitionBy("length", "__salt").orderBy(*names)) - 1)
