@@ -125,18 +125,29 @@ class MergeAutomaton:
         return found
 
     def encode(self, symbols: list[int]) -> list[int]:
-        """The one accepted token sequence that spells ``symbols``."""
+        """The one accepted token sequence that spells ``symbols``.
+
+        A prefix has one accepted sequence, so each place is reached once at
+        most, in one state; from each, longer tokens are tried first.
+        """
         n = len(symbols)
-        states, back = [START] + [-1] * n, [(-1, -1)] * (n + 1)
-        for i in range(n):
-            state, node = states[i], self.trie
-            for j in range(i, n):
-                node = node.get(symbols[j])
-                if node is None:
-                    break
+        back: list[tuple[int, int] | None] = [None] * (n + 1)
+        trie, known, open_ = self.trie, self.table, [(0, START)]
+        while open_:
+            i, state = open_.pop()
+            if i == n:
+                break
+            node, j = trie, i
+            while j < n and (node := node.get(symbols[j])) is not None:
+                j += 1
                 token = node.get(-1)
-                if token is not None and states[j + 1] < 0 and (to := self.step(state, token)) >= 0:
-                    states[j + 1], back[j + 1] = to, (i, token)
+                if token is not None and back[j] is None:
+                    to = known.get((state, token))
+                    if to is None:
+                        to = self.step(state, token)
+                    if to >= 0:
+                        back[j] = i, token
+                        open_.append((j, to))
         out, at = [], n
         while at:
             at, token = back[at]
@@ -151,7 +162,7 @@ _ORDINARY = re.compile("[^\t\n\r -~¡-¬®-įı-ɏ‐-‧‰-⁞€]")
 class WordCodec:
     """A tokenizer file of byte-level BPE with word ends, as a compiled automaton."""
 
-    def __init__(self, path: str, keep: int = 250_000):
+    def __init__(self, path: str, keep: int = 150_000):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model, end = spec["model"], spec["model"]["end_of_word_suffix"]
@@ -165,7 +176,7 @@ class WordCodec:
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")["pattern"]["Regex"]
         self.words = regex.compile(split)
         self.byte = {c: b for b, c in enumerate(letters)}
-        self.path, self.keep, self.known = path, keep, {}
+        self.path, self.keep, self.known, self.before = path, keep, {}, {}
 
     @property
     def library(self):
@@ -179,24 +190,25 @@ class WordCodec:
         return [bytes(self.byte[c] for c in w) for w, _ in pieces]
 
     def _word(self, word: str | bytes) -> list[int]:
-        raw = word.encode() if isinstance(word, str) else word
-        ids = self.automaton.encode([*raw[:-1], 256 + raw[-1]])
-        if len(raw) <= 64:
-            if len(self.known) >= self.keep:
-                self.known.clear()
+        ids = self.before.get(word)
+        if ids is None:
+            raw = word.encode() if isinstance(word, str) else word
+            ids = self.automaton.encode([*raw[:-1], 256 + raw[-1]])
+        if len(word) <= 64:
+            if len(self.known) >= self.keep:  # words not seen since the last time are forgotten
+                self.known, self.before = {}, self.known
             self.known[word] = ids
         return ids
 
     def encode(self, text: str) -> list[int]:
         out: list[int] = []
-        known = self.known
         parts = self.special_split.split(text) if self.special_split and "<" in text else [text]
         for k, part in enumerate(parts):
             if k % 2:
                 out.append(self.special[part])
             elif part:
                 for w in self._split(part):
-                    out += known.get(w) or self._word(w)
+                    out += self.known.get(w) or self._word(w)
         return out
 
 
