@@ -37,6 +37,7 @@ import struct
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -263,7 +264,7 @@ def _cut_texts(depth: int, buckets: int):
                 columns = [np.array(x, t) for x, t in zip(zip(*spots, strict=True), ("<i4", "<i4", "<i4"), strict=True)]
                 out_bucket.append(b)
                 out_kind.append(0)
-                out_raw.append(_bytes([np.frombuffer(b"".join(mine), np.uint8), np.array([len(p) for p in mine], "u1"), ids[[owners[p] for p in mine]].astype("<i8"), *columns]))
+                out_raw.append(_bytes([np.frombuffer(zstandard.compress(b"".join(mine)), np.uint8), np.array([len(p) for p in mine], "u1"), ids[[owners[p] for p in mine]].astype("<i8"), *columns]))
             if direct:
                 out_bucket.append(batch % buckets)
                 out_kind.append(1)
@@ -342,7 +343,7 @@ def _order_texts(depth: int):
                 out_raw.append(raw.as_py())
                 continue
             data, sizes, ids, which, doc, start = _arrays(raw.as_py(), "u1", "u1", "<i8", "<i4", "<i4", "<i4")
-            whole, at, numbers = data.tobytes(), 0, []
+            whole, at, numbers = zstandard.decompress(data.tobytes()), 0, []
             for n, i in zip(sizes.tolist(), ids.tolist(), strict=True):
                 piece = whole[at : at + n]
                 at += n
