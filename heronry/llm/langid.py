@@ -41,9 +41,9 @@ def words(text: str) -> list[str]:
     return [x for run in found for x in "".join(c if c.isalpha() else " " for c in run).split()]
 
 
-def grams(word: str, n: int) -> list[str]:
+def grams(word: str, n: int) -> Iterator[str]:
     padded = f" {word} "
-    return [padded[i : i + n] for i in range(len(padded) - n + 1)]
+    return (padded[i : i + n] for i in range(len(padded) - n + 1))
 
 
 @dataclass
