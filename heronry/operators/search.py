@@ -86,13 +86,14 @@ class Bm25:
     def search(self, queries: DataFrame, k: int = TOP) -> DataFrame:
         """(qid, rank, id, score): best first, ties by id; ``queries`` has qid and query. Only rows with a term of the query count."""
         asked = queries.select("qid", F.explode(T.words(F.col("query"))).alias("term")).groupBy("qid", "term").agg(F.count("*").alias("qtf"))
+        few = asked.count() <= MOST_TERMS
         postings = self.postings(asked.select("term").distinct())
         weighed = asked.join(postings.groupBy("term").agg(F.sum("copies").alias("df")), "term").crossJoin(F.broadcast(self.stats))  # stats is one row
-        parts = postings.join(weighed, "term")
+        parts = postings.join(F.broadcast(weighed) if few else weighed, "term")
         term = S.bm25_term(S.idf(F.col("n"), F.col("df")), F.col("tf"), F.col("dl"), F.col("avgdl"), F.col("qtf"))
-        # a pair has at most as many parts as the query has terms; they are added by ascending term
-        summed = parts.groupBy("qid", "id").agg(F.array_sort(F.collect_list(F.struct("term", term.alias("x")))).alias("xs"))
-        scored = summed.select("qid", "id", F.aggregate("xs", F.lit(0.0), lambda s, x: s + x["x"]).alias("score"))
+        # parts are added as whole numbers of 2**-40, so that a score does not depend on the order of its parts
+        unit = float(1 << 40)
+        scored = parts.groupBy("qid", "id").agg((F.sum(F.round(term * unit).cast("long")) / unit).alias("score"))
         return ranked(scored, [F.desc("score"), F.col("id")], max(k, 0)).select("qid", "rank", "id", "score")
 
 
@@ -121,10 +122,14 @@ def fulltext(queries: DataFrame, files: DataFrame, snippet: int = 240) -> DataFr
     ``queries`` has qid and query; ``files`` has file and text. A blank query has no hits.
     """
     found = []
+    lowered = files.select("file", "text", F.lower("text").alias("__low"))
     for block in _blocks(queries):
-        q = block.select("qid", T.trim(F.col("query")).alias("__q")).where("__q <> ''")
-        pairs = files.select("file", "text").join(F.broadcast(q), F.contains(F.lower("text"), F.lower("__q")))
-        found.append(pairs.select("qid", "file", T.match_count(F.col("text"), F.col("__q")).alias("matches"), T.first_match(F.col("text"), F.col("__q"), snippet).alias("snippet")))
+        asked = block.select("qid", T.trim(F.col("query")).alias("q")).where("q <> ''").select("qid", "q", F.lower("q").alias("low"))
+        row = asked.agg(F.collect_list(F.struct("qid", "q", "low")).alias("__qs"))  # a block's queries, at most MOST_QUERIES, in one row
+        # a file's text is lowered once, and only the queries it holds become rows
+        held = F.explode(F.filter("__qs", lambda q: F.contains(F.col("__low"), q["low"])))
+        pairs = lowered.crossJoin(F.broadcast(row)).select("file", "text", held.alias("__q"))
+        found.append(pairs.select("__q.qid", "file", T.match_count(F.col("text"), F.col("__q.q")).alias("matches"), T.first_match(F.col("text"), F.col("__q.q"), snippet).alias("snippet")))
     hits = reduce(DataFrame.unionByName, found).where("matches > 0")
     w = Window.partitionBy("qid").orderBy(F.desc("matches"), "file")
     return hits.select("qid", F.row_number().over(w).alias("rank"), "file", "matches", "snippet")

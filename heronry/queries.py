@@ -31,7 +31,12 @@ def query(sql: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table; texts that lie in fewer pieces than there are cores are dealt out first, which larger tables never need."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if name in ("documents", "pages") and df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
 
 
 def tier_of(i: Column) -> Column:
