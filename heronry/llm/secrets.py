@@ -95,33 +95,44 @@ def _tail(z: Column) -> Column:
 def battery(token: Column, alphabet: str, agree: float) -> Column:
     """(p_random, p_word): least p of the three tests against uniform symbols, times 3; chance of such evenness in a word-like token."""
     m = len(alphabet)
-    body = F.regexp_replace(token, "=+$", "")
-    letters = F.split(body, "")
-    codes = F.transform(F.filter(letters, lambda c: c != ""), lambda c: F.instr(F.lit(alphabet), c).cast("double") - 1)
+    letters = F.filter(F.split(F.regexp_replace(token, "=+$", ""), ""), lambda c: c != "")
+    codes = F.transform(letters, lambda c: F.instr(F.lit(alphabet), c).cast("double") - 1)
+    add = lambda a, x: a + x
 
-    def tests(v: Column) -> Column:
+    def counted(v: Column) -> Column:
         n = F.size(v).cast("double")
-        counts = F.transform(F.sequence(F.lit(0), F.lit(m - 1)), lambda i: F.size(F.filter(v, lambda x: x == i.cast("double"))).cast("double"))
-        chi = F.aggregate(counts, F.lit(0.0), lambda a, c: a + c * c) * m / n - n
+        squares = F.transform(F.sequence(F.lit(0), F.lit(m - 1)), lambda i: F.pow(F.size(F.filter(v, lambda x: x == i.cast("double"))).cast("double"), F.lit(2.0)))
+        return F.struct(
+            v.alias("v"), n.alias("n"), (F.aggregate(squares, F.lit(0.0), add) * m / n - n).alias("chi"),
+            F.aggregate(F.transform(v, lambda x: (x >= m / 2).cast("double")), F.lit(0.0), add).alias("ups"), (F.aggregate(v, F.lit(0.0), add) / n).alias("mean"),
+        )
+
+    def paired(s: Column) -> Column:
+        v, mean = s["v"], s["mean"]
+        before, after = F.slice(v, 1, F.size(v) - 1), F.slice(v, 2, F.size(v) - 1)
+        return F.struct(
+            s.alias("s"), F.aggregate(F.zip_with(before, after, lambda x, y: ((x >= m / 2) != (y >= m / 2)).cast("double")), F.lit(1.0), add).alias("runs"),
+            F.aggregate(v, F.lit(0.0), lambda a, x: a + (x - mean) * (x - mean)).alias("var"),
+            F.aggregate(F.zip_with(before, after, lambda x, y: (x - mean) * (y - mean)), F.lit(0.0), add).alias("lag"),
+        )
+
+    def tested(t: Column) -> Column:
+        n, chi, ups = t["s"]["n"], t["s"]["chi"], t["s"]["ups"]
         spread = F.sqrt(2.0 * (m - 1) * (n - 1) / n)
         p_even = _tail((chi - (m - 1)) / spread)
-        high = F.transform(v, lambda x: (x >= m / 2).cast("double"))
-        ups = F.aggregate(high, F.lit(0.0), lambda a, x: a + x)
-        downs = n - ups
-        pairs = F.zip_with(F.slice(v, 2, 1 << 20), F.slice(v, 1, F.size(v) - 1), lambda y, x: F.struct(x.alias("x"), y.alias("y")))
-        runs = F.aggregate(pairs, F.lit(1.0), lambda a, p: a + ((p["x"] >= m / 2) != (p["y"] >= m / 2)).cast("double"))
-        mean_runs = 2 * ups * downs / n + 1
+        mean_runs = 2 * ups * (n - ups) / n + 1
         var_runs = F.greatest((mean_runs - 1) * (mean_runs - 2) / (n - 1), F.lit(1e-9))
-        p_runs = F.when((ups == 0) | (downs == 0), F.lit(0.0)).otherwise(2 * _tail(F.abs(runs - mean_runs) / F.sqrt(var_runs)))
-        mean = F.aggregate(v, F.lit(0.0), lambda a, x: a + x) / n
-        var = F.aggregate(v, F.lit(0.0), lambda a, x: a + (x - mean) * (x - mean))
-        lag = F.aggregate(pairs, F.lit(0.0), lambda a, p: a + (p["x"] - mean) * (p["y"] - mean))
-        p_serial = F.when(var == 0, F.lit(0.0)).otherwise(2 * _tail(F.abs(lag / F.greatest(var, F.lit(1e-9)) + 1 / n) * F.sqrt(n)))
-        wordlike = m + m * (n - 1) * agree - n
-        p_word = _tail((wordlike - chi) / (2 * spread))
+        p_runs = F.when((ups == 0) | (ups == n), F.lit(0.0)).otherwise(2 * _tail(F.abs(t["runs"] - mean_runs) / F.sqrt(var_runs)))
+        p_serial = F.when(t["var"] == 0, F.lit(0.0)).otherwise(2 * _tail(F.abs(t["lag"] / F.greatest(t["var"], F.lit(1e-9)) + 1 / n) * F.sqrt(n)))
+        p_word = _tail((m + m * (n - 1) * agree - n - chi) / (2 * spread))
         return F.struct(F.least(F.lit(1.0), 3 * F.least(p_even, p_runs, p_serial)).alias("p_random"), p_word.alias("p_word"))
 
-    return F.transform(F.array(codes), tests)[0]
+    return _let(codes, lambda v: _let(counted(v), lambda s: _let(paired(s), tested)))
+
+
+def _let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is computed once, however often it is named."""
+    return F.transform(F.array(value), then)[0]
 
 
 def tokens(text: Column, known: Column) -> Column:

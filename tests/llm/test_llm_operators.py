@@ -103,6 +103,20 @@ def test_other_columns_may_have_any_names(spark):
     assert secrets.find(docs, keep=[F.col("doc_id")]).count() == 2
 
 
+@pytest.fixture(scope="module")
+def long(spark, tmp_path_factory):
+    at, r = tmp_path_factory.mktemp("long"), random.Random(1)
+    texts = ["x" * 400_000, " ".join(f"word{r.randrange(5000)}" for _ in range(60_000)), "1" * 200_000, "a@" * 100_000, "Ab1" * 100_000, "\n" * 100_000, "short text", "é" * 150_000, "+1 " * 60_000, "one " * 60_000]
+    spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], DOCS).repartition(4).write.parquet(f"{at}/documents.parquet")
+    spark.createDataFrame([(i, i % 2, 0) for i in range(10)], "doc_id long, quality int, toxic int").write.parquet(f"{at}/labels.parquet")
+    return str(at)
+
+
+@pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - {"op5_topk", "op6_packing"}))
+def test_very_long_texts(spark, long, name):
+    assert queries.QUERIES[name](spark, long).count() == 10
+
+
 # 1
 
 
