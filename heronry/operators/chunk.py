@@ -79,5 +79,5 @@ def chunks(docs: DataFrame) -> DataFrame:
     ``docs`` has ord, name, license, tier, format (``html`` or ``text``) and content (string).
     """
     sections = F.when(F.col("format") == "text", text_sections(F.col("content"))).otherwise(html_sections(F.col("content")))
-    found = docs.select(F.col("ord").alias("source_ord"), F.col("name").alias("source"), "license", "tier", F.posexplode(finish(merge(sections))).alias("chunk_ord", "c"))
-    return found.select("source_ord", "chunk_ord", "c.id", "source", "license", "tier", "c.heading", "c.tokens", "c.text")
+    found = docs.select(F.col("ord").alias("source_ord"), F.col("name").alias("source"), "license", "tier", F.posexplode_outer(finish(merge(sections))).alias("chunk_ord", "c"))
+    return found.where("c is not null").select("source_ord", "chunk_ord", "c.id", "source", "license", "tier", "c.heading", "c.tokens", "c.text")

@@ -77,7 +77,7 @@ class Bm25:
 
     def postings(self, terms: DataFrame | None = None) -> DataFrame:
         """(id, term, tf, dl, copies) of all terms, or of those in ``terms``."""
-        found = self.rows.select("id", "dl", F.explode("ts").alias("term"))
+        found = self.rows.select("id", "dl", F.explode_outer("ts").alias("term")).where("term is not null")  # outer: see functions.text.words
         if terms is not None:
             found = found.join(F.broadcast(terms) if terms.count() <= MOST_TERMS else terms, "term")
         counted = found.groupBy("id", "dl", "term").agg(F.count("*").alias("all"))
@@ -85,7 +85,7 @@ class Bm25:
 
     def search(self, queries: DataFrame, k: int = TOP) -> DataFrame:
         """(qid, rank, id, score): best first, ties by id; ``queries`` has qid and query. Only rows with a term of the query count."""
-        asked = queries.select("qid", F.explode(T.words(F.col("query"))).alias("term")).groupBy("qid", "term").agg(F.count("*").alias("qtf"))
+        asked = queries.select("qid", F.explode_outer(T.words(F.col("query"))).alias("term")).where("term is not null").groupBy("qid", "term").agg(F.count("*").alias("qtf"))
         few = asked.count() <= MOST_TERMS
         postings = self.postings(asked.select("term").distinct())
         weighed = asked.join(postings.groupBy("term").agg(F.sum("copies").alias("df")), "term").crossJoin(F.broadcast(self.stats))  # stats is one row
@@ -127,8 +127,8 @@ def fulltext(queries: DataFrame, files: DataFrame, snippet: int = 240) -> DataFr
         asked = block.select("qid", T.trim(F.col("query")).alias("q")).where("q <> ''").select("qid", "q", F.lower("q").alias("low"))
         row = asked.agg(F.collect_list(F.struct("qid", "q", "low")).alias("__qs"))  # a block's queries, at most MOST_QUERIES, in one row
         # a file's text is lowered once, and only the queries it holds become rows
-        held = F.explode(F.filter("__qs", lambda q: F.contains(F.col("__low"), q["low"])))
-        pairs = lowered.crossJoin(F.broadcast(row)).select("file", "text", held.alias("__q"))
+        held = F.explode_outer(F.filter("__qs", lambda q: F.contains(F.col("__low"), q["low"])))
+        pairs = lowered.crossJoin(F.broadcast(row)).select("file", "text", held.alias("__q")).where("__q is not null")
         found.append(pairs.select("__q.qid", "file", T.match_count(F.col("text"), F.col("__q.q")).alias("matches"), T.first_match(F.col("text"), F.col("__q.q"), snippet).alias("snippet")))
     hits = reduce(DataFrame.unionByName, found).where("matches > 0")
     w = Window.partitionBy("qid").orderBy(F.desc("matches"), "file")

@@ -122,7 +122,7 @@ def text_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     from (select doc_id, unnest({_WORDS.format("text")}) as term from documents) group by term
 """)
 def term_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    terms = table(spark, sf_dir, "documents").select("doc_id", F.explode(T.words(F.col("text"))).alias("term"))
+    terms = table(spark, sf_dir, "documents").select("doc_id", F.explode_outer(T.words(F.col("text"))).alias("term")).where("term is not null")
     each = terms.groupBy("term", "doc_id").agg(F.count("*").alias("n"))
     return each.groupBy("term").agg(F.sum("n").alias("cf"), F.count("*").alias("df"))
 
@@ -177,7 +177,7 @@ def _documents(rows: DataFrame, format_: str) -> DataFrame:
     select page_id, (pos - 1)::int as pos, s.heading as heading, s.text as text from flat
 """)
 def html_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select("page_id", F.posexplode(chunk.html_sections(F.col("html"))).alias("pos", "s")).select("page_id", "pos", "s.heading", "s.text")
+    return table(spark, sf_dir, "pages").select("page_id", F.posexplode_outer(chunk.html_sections(F.col("html"))).alias("pos", "s")).where("s is not null").select("page_id", "pos", "s.heading", "s.text")
 
 
 @query(_chunks_sql(_HTML_SECTIONS, f"select page_id as ord, page_id::varchar as name, {_TIER.format('page_id')} as tier, html as content from pages"))
