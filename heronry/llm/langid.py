@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -41,9 +41,12 @@ def words(text: str) -> list[str]:
     return [x for run in found for x in "".join(c if c.isalpha() else " " for c in run).split()]
 
 
-def grams(word: str, n: int) -> Iterator[str]:
+def grams(word: str, n: int) -> Iterable[str]:
+    """A list; one by one for a very long word."""
     padded = f" {word} "
-    return (padded[i : i + n] for i in range(len(padded) - n + 1))
+    if len(padded) > 10_000:
+        return (padded[i : i + n] for i in range(len(padded) - n + 1))
+    return [padded[i : i + n] for i in range(len(padded) - n + 1)]
 
 
 @dataclass
