@@ -57,15 +57,33 @@ class LanguageModel:
     tables: list[dict[str, int]]
     costs: list[np.ndarray]
 
+    def word_costs(self, words: list[str]) -> np.ndarray:
+        """A row for each word: its own costs, or the mean over its known grams of the longest length with any."""
+        out = np.full((len(words), len(self.languages)), PENALTY, np.float32)
+        rows, sizes, places = ([[] for _ in range(LONGEST + 1)] for _ in range(3))
+        for i, word in enumerate(words):
+            if (row := self.tables[0].get(word)) is not None:
+                rows[0].append(row)
+                sizes[0].append(1)
+                places[0].append(i)
+                continue
+            for n in range(LONGEST, 0, -1):
+                get = self.tables[n].get
+                found = [r for g in grams(word, n) if (r := get(g)) is not None]
+                if found:
+                    rows[n] += found
+                    sizes[n].append(len(found))
+                    places[n].append(i)
+                    break
+        for n, place in enumerate(places):
+            if place:
+                size = np.array(sizes[n])
+                sums = np.add.reduceat(self.costs[n][rows[n]], np.cumsum(size) - size, axis=0)
+                out[place] = sums / size[:, None].astype(np.float32)
+        return out
+
     def word_cost(self, word: str) -> np.ndarray:
-        if (row := self.tables[0].get(word)) is not None:
-            return self.costs[0][row]
-        for n in range(LONGEST, 0, -1):
-            table = self.tables[n]
-            rows = [r for g in grams(word, n) if (r := table.get(g)) is not None]
-            if rows:
-                return self.costs[n][rows].mean(axis=0)
-        return np.full(len(self.languages), PENALTY, np.float32)
+        return self.word_costs([word])[0]
 
 
 class Scorer:
@@ -96,9 +114,10 @@ class Scorer:
             if len(known) + len(fresh) > self.keep:
                 known.clear()
                 fresh = set(found)
-            for w in fresh:
-                self.costs[len(known)] = self.model.word_cost(w)
-                known[w] = len(known)
+            first = len(known)
+            new = sorted(fresh)
+            self.costs[first : first + len(new)] = self.model.word_costs(new)
+            known.update(zip(new, range(first, first + len(new)), strict=True))
             rows = [known[w] for w in found]
         return self.costs[rows].sum(axis=0, dtype=np.float64)
 
