@@ -13,9 +13,10 @@ blocks, the flipped fingerprint: two at a distance of at most 2 have one such
 neighbour in common, and at most 1 + (bits outside) share one. That is exact,
 and linear in the bucket's size.
 
-For similarities whose distances no pigeonhole reaches, :func:`wide_links`
-takes longer fingerprints of many blocks, with the number of blocks that gives
-a stated recall at the similarity asked for.
+For similarities whose distances no pigeonhole reaches, :func:`near_copies`
+finds candidates by bands of minima of the distinct shingles, with the number
+of bands that gives a stated recall, and holds the candidates' sets of shingles
+against each other; a link says that their exact Jaccard similarity suffices.
 
 Edge cases: null and empty texts, and texts of white space alone, have the
 fingerprint zero and link like any other; a text with fewer words than a
@@ -40,6 +41,8 @@ from .rows import slices
 from .scratch import written
 
 SEED = 42
+#: Minima in a band.
+BAND = 6
 
 
 def shingle_hashes(text: str, words: int) -> np.ndarray:
@@ -236,18 +239,143 @@ def wide_links(prints: DataFrame, *, lanes: int, width: int, distance: int, most
     return keyed.repartition(n, "block").sortWithinPartitions("block").mapInArrow(task, "a long, b long")
 
 
-def near_copies(docs: DataFrame, *, key: str = "doc_id", text: str = "text", words: int = 5, similarity: float = 0.8, recall: float = 0.9) -> DataFrame:
+def band_count(similarity: float, recall: float, rows: int = BAND) -> int:
+    """How many bands of ``rows`` minima a pair at exactly ``similarity`` needs to share one with a chance of ``recall``."""
+    return math.ceil(math.log(1 - recall) / math.log(1 - similarity**rows))
+
+
+def band_keys(hashes: np.ndarray, bands: int) -> list[int]:
+    """A key for each band: two sets share one with a chance of their Jaccard similarity to the power of BAND."""
+    if not len(hashes):
+        return []
+    r = np.random.default_rng(SEED)
+    factor, shift = r.integers(0, 1 << 64, (2, bands * BAND, 1), np.uint64)
+    least = np.full(bands * BAND, (1 << 64) - 1, np.uint64)
+    for at in range(0, len(hashes), 1024):
+        least = np.minimum(least, ((hashes[at : at + 1024] + shift) * (factor | np.uint64(1))).min(axis=1))
+    return [xxhash.xxh64_intdigest(x.tobytes(), k) for k, x in enumerate(least.reshape(bands, BAND))]
+
+
+def shingle_sets(docs: DataFrame, *, text: str, keep: list[Column], words: int, bands: int = 0) -> DataFrame:
+    """``keep`` and, of each row's distinct shingles, ``node`` (a hash of them all) and ``keys`` of bands; without bands, ``hashes``, ascending."""
+    kept = docs.select(*keep, F.col(text).alias("__text"))
+    names = kept.columns[:-1]
+    last = "keys" if bands else "hashes"
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "__text", 1 << 20):
+            found = [np.unique(shingle_hashes(x or "", words)) for x in part.column("__text").to_pylist()]
+            node = np.array([xxhash.xxh64_intdigest(h.tobytes(), SEED) for h in found], np.uint64).view(np.int64)
+            lists = [np.array(band_keys(h, bands), np.uint64) for h in found] if bands else found
+            ends = np.cumsum([0, *map(len, lists)], dtype=np.int32)
+            flat = np.concatenate(lists).view(np.int64)
+            yield pa.record_batch([*part.columns[:-1], pa.array(node), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=[*names, "node", last])
+
+    return kept.mapInArrow(task, kept.select(*names, F.lit(0).cast("long").alias("node"), F.expr("cast(null as array<long>)").alias(last)).schema)
+
+
+def meetings(nodes: DataFrame, salts: int = 64) -> DataFrame:
+    """(a, b) links that connect all nodes with a common band key, by stars in two levels, so that no key's rows gather."""
+    keyed = nodes.select("node", F.posexplode("keys").alias("band", "key"), F.pmod(F.xxhash64("node"), F.lit(salts)).alias("salt"))
+    near = keyed.withColumn("least", F.min("node").over(Window.partitionBy("band", "key", "salt")))
+    tops = near.where("node = least").withColumn("top", F.min("node").over(Window.partitionBy("band", "key")))
+    return near.select(F.col("node").alias("a"), F.col("least").alias("b")).unionByName(tops.select(F.col("node").alias("a"), F.col("top").alias("b"))).where("a <> b").distinct()
+
+
+def set_links(node: np.ndarray, flat: np.ndarray, size: np.ndarray, known: np.ndarray, similarity: float) -> tuple[list[int], list[int]]:
+    """Links that connect all sets that a chain of pairs at ``similarity`` or more joins, those ``known`` to be joined counting as one.
+
+    From set to set, each held against those not yet reached. ``flat`` holds the sets' members one after another.
+    """
+    a, b = [], []
+    ids = np.unique(flat, return_inverse=True)[1]
+    end = np.cumsum(size)
+    mark = np.zeros(len(flat) + 1, np.uint8)
+
+    def members(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        n = size[rows]
+        edge = np.cumsum(n) - n
+        return ids[np.arange(n.sum()) + np.repeat(end[rows] - n - edge, n)], edge
+
+    queue, rest = np.flatnonzero(known).tolist(), np.flatnonzero(~known)
+    part, edge = members(rest)
+    while len(rest):
+        if not queue:
+            queue, rest = [rest[0]], rest[1:]
+            part, edge = members(rest)
+            continue
+        here = queue.pop()
+        own = ids[end[here] - size[here] : end[here]]
+        mark[own] = 1
+        both = np.add.reduceat(mark[part], edge, dtype=np.int64)
+        mark[own] = 0
+        close = both / (size[rest] + size[here] - both) >= similarity
+        if close.any():
+            reached, rest = rest[close], rest[~close]
+            a += [int(node[here])] * len(reached)
+            b += node[reached].tolist()
+            queue += reached.tolist()
+            part, edge = members(rest)
+    return a, b
+
+
+def alike(sets: DataFrame, similarity: float, most: int = 1 << 20) -> DataFrame:
+    """(a, b) links that connect, in each ``root``, all nodes that a chain of pairs of exact Jaccard ``similarity`` or more joins.
+
+    ``sets`` (a written table) has node, root and hashes. A root of over ``most`` hashes is not read by one task: its
+    sets are held against a few of its own first. Those near the best of these need no further test against each other;
+    each part of the others meets each part of the root, as tasks of their own.
+    """
+    n = F.size("hashes")
+    parts = F.ceil(F.sum(n) / most).cast("int")
+    crowds = written(sets.groupBy("root").agg(parts.alias("parts")).where("parts > 1"), "crowds")
+    none = F.lit(0)
+    few = sets.join(crowds, "root", "left_anti").select("root", none.alias("i"), none.alias("j"), "node", "hashes", F.lit(False).alias("known"))
+    many = sets.join(F.broadcast(crowds), "root")
+    # up to eight sets of a crowded root, as pivots
+    pivots = many.groupBy("root", F.pmod(F.xxhash64("node"), F.lit(8)).alias("slot")).agg(F.min_by(F.struct("node", "hashes"), "node").alias("p"))
+    both = F.size(F.array_intersect("hashes", "p.hashes"))
+    near = many.join(F.broadcast(pivots), "root").where(both / (n + F.size("p.hashes") - both) >= similarity).select("root", "node", F.col("p.node").alias("pivot"))
+    near = written(near, "near")
+    best = near.groupBy("root", "pivot").count().groupBy("root").agg(F.max_by("pivot", F.struct("count", "pivot")).alias("pivot"))
+    joined = near.join(F.broadcast(best), ["root", "pivot"]).select("node", F.lit(True).alias("known"))
+    told = written(many.join(joined, "node", "left").select("root", "parts", "node", "hashes", F.coalesce("known", F.lit(False)).alias("known")), "told")
+    rest = told.where(~F.col("known"))
+    others = written(rest.groupBy("root").agg(parts.alias("others")), "others")
+    dealt = lambda c: F.pmod(F.xxhash64("node", F.lit(c)), F.col(c)).cast("int")
+    each = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    columns = ["root", "i", "j", "node", "hashes", "known"]
+    left = rest.join(F.broadcast(others), "root").withColumn("i", dealt("others")).withColumn("j", each("parts")).select(*columns)
+    right = told.join(F.broadcast(others), "root").withColumn("j", dealt("parts")).withColumn("i", each("others")).select(*columns)
+
+    def meet(rows: pa.Table) -> pa.Table:
+        node, first = np.unique(rows["node"].to_numpy(), return_index=True)  # a set may come from either side
+        rows = rows.take(pa.array(first))
+        hashes = rows["hashes"].combine_chunks()
+        hashes = hashes.chunk(0) if isinstance(hashes, pa.ChunkedArray) else hashes
+        a, b = set_links(node, hashes.flatten().to_numpy(), hashes.value_lengths().to_numpy().astype(np.int64), rows["known"].to_numpy().astype(bool), similarity)
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    met = few.unionByName(left).unionByName(right).groupBy("root", "i", "j").applyInArrow(meet, "a long, b long")
+    return met.unionByName(near.select(F.col("node").alias("a"), F.col("pivot").alias("b")).where("a <> b"))
+
+
+def near_copies(docs: DataFrame, *, key: str = "doc_id", text: str = "text", words: int = 5, similarity: float = 0.8, recall: float = 0.999) -> DataFrame:
     """(``key``, digest, component_id) for each row: the class of texts joined by chains of near copies.
 
-    ``digest`` is xxhash64 of the text. Nodes are hashes of whole
-    fingerprints; 64 bits tell as many texts apart as Spark's row ids do.
+    ``digest`` is xxhash64 of the text. Nodes are hashes of sets of shingles; 64
+    bits tell as many sets apart as Spark's row ids do. Bands of minima only find
+    candidates, of one shape at every size: a pair at exactly ``similarity``
+    shares one with a chance of ``recall``. A link is kept only where the exact
+    Jaccard similarity of the sets is ``similarity`` or more.
     """
-    width, lanes, distance = wide_shape(docs.count(), similarity, recall)
-    keep = [F.col(key).alias("id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("digest")]
-    prints = written(fingerprints(docs, text=text, keep=keep, words=words, lanes=lanes).withColumn("node", F.xxhash64("fp")), "prints")
-    nodes = prints.groupBy("node").agg(F.any_value("fp").alias("fp"))
-    links = wide_links(nodes, lanes=lanes, width=width, distance=distance)
-    return classes(prints.select("id", "digest", "node"), links, key="id", fp="node").select(F.col("id").alias(key), "digest", "component_id")
+    digest = F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("digest")
+    prints = written(shingle_sets(docs, text=text, keep=[F.col(key).alias("id"), digest], words=words, bands=band_count(similarity, recall)), "prints")
+    rough = components(meetings(prints.groupBy("node").agg(F.any_value("keys").alias("keys"))))
+    wanted = prints.groupBy("node").agg(F.min("digest").alias("digest")).join(rough, "node").select("digest", "root")
+    texts = docs.select(digest, F.col(text).alias("text")).groupBy("digest").agg(F.any_value("text").alias("text"))
+    sets = written(shingle_sets(texts.join(wanted, "digest"), text="text", keep=[F.col("root")], words=words), "sets")
+    return classes(prints.select("id", "digest", "node"), alike(sets, similarity), key="id", fp="node").select(F.col("id").alias(key), "digest", "component_id")
 
 
 def keep_first(docs: DataFrame, found: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:

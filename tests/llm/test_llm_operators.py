@@ -291,6 +291,30 @@ def test_near_copies_keep_one_of_each_class(spark):
     assert kept == sorted({*classes.values()} | {500 + i for i in range(60)} | {600})
 
 
+def jaccard(x, y):
+    x, y = (set(simhash.shingle_hashes(t, 5).tolist()) for t in (x, y))
+    return len(x & y) / len(x | y)
+
+
+def test_only_texts_at_the_similarity_are_linked(spark):
+    r = random.Random(14)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(6))
+    line = " ".join(word() for _ in range(10)) + " "
+    rows = [(i, " ".join(word() for _ in range(60)) + " " + line * 60) for i in range(2)]  # one line, repeated
+    assert jaccard(rows[0][1], rows[1][1]) < 0.2
+    want = {0: 0, 1: 1}
+    for c in range(1, 61):
+        base = [word() for _ in range(300)]
+        edited = list(base)
+        for at in range(20, 20 + 14 * (5 + c % 4), 14):
+            edited[at] = word()
+        rows += [(10 * c, " ".join(base)), (10 * c + 1, " ".join(edited))]
+        want |= {10 * c: 10 * c, 10 * c + 1: 10 * c if jaccard(rows[-1][1], rows[-2][1]) >= 0.8 else 10 * c + 1}
+    assert 15 <= sum(k != v for k, v in want.items()) <= 45
+    found = simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r["doc_id"]: r["component_id"] for r in found.collect()} == want
+
+
 def test_large_blocks_are_read_in_parts(spark):
     rows = spark.createDataFrame([(i, [(i % 5) << 40, 7]) for i in range(400)], "node long, fp array<long>")
     links = simhash.wide_links(rows, lanes=2, width=16, distance=0, most=64)
