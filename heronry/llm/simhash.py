@@ -205,38 +205,36 @@ def wide_links(prints: DataFrame, *, lanes: int, width: int, distance: int, most
 
     ``prints`` has ``node`` (long) and ``fp`` (array<long> of ``lanes``). Rows meet
     by block once, sorted; links that connect a block's rows are emitted, not
-    its pairs. A block is read in parts of at most about ``most`` rows; from a
-    part that does not end its block, a row for each class found goes on to the next.
+    its pairs. A block of over ``most`` rows is dealt to parts of about that
+    many, and each part meets every other one as a group of its own.
     """
     per = 64 // width
     blocks = F.array(*[F.shiftrightunsigned(F.col("fp")[i // per], (i % per) * width).bitwiseAND(F.lit((1 << width) - 1)) for i in range(lanes * per)])
     keyed = prints.select("node", "fp", F.posexplode(blocks).alias("k", "key")).select("node", "fp", (F.col("k").cast("long") * (1 << width) + F.col("key")).alias("block"))
+    crowds = keyed.groupBy("block").agg(F.ceil(F.count("*") / most).cast("int").alias("parts")).where("parts > 1")
+    dealt = keyed.join(F.broadcast(crowds), "block", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("node"), "parts")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    dealt = dealt.select("node", "fp", F.xxhash64("block", F.least("part", "other"), F.greatest("part", "other")).alias("group"))
     n = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        node, block, fp = np.empty(0, np.int64), np.empty(0, np.int64), np.empty((0, lanes), np.uint64)
+        node, group, fp = np.empty(0, np.int64), np.empty(0, np.int64), np.empty((0, lanes), np.uint64)
 
         def found(upto: int) -> pa.RecordBatch:
-            links = _group_links(node[:upto], fp[:upto], block[:upto], distance)
+            links = _group_links(node[:upto], fp[:upto], group[:upto], distance)
             return pa.record_batch([pa.array(x) for x in _stars(*(np.concatenate([np.empty(0, np.int64), *x]) for x in links))], names=["a", "b"])
 
         for batch in batches:
             node = np.append(node, batch.column("node").to_numpy())
-            block = np.append(block, batch.column("block").to_numpy())
+            group = np.append(group, batch.column("group").to_numpy())
             fp = np.vstack([fp, batch.column("fp").flatten().to_numpy().view(np.uint64).reshape(-1, lanes)])
-            if len(node) < most:
-                continue
-            open_ = int(np.searchsorted(block, block[-1]))
-            links = found(open_ or len(node))
-            yield links
-            if open_:
-                kept = slice(open_, None)
-            else:  # one block fills the part: go on with a row of each class
-                kept = ~np.isin(node, links.column("b").to_numpy())
-            node, block, fp = node[kept], block[kept], fp[kept]
+            open_ = int(np.searchsorted(group, group[-1])) if len(group) else 0
+            if len(node) >= most and open_:
+                yield found(open_)
+                node, group, fp = node[open_:], group[open_:], fp[open_:]
         yield found(len(node))
 
-    return keyed.repartition(n, "block").sortWithinPartitions("block").mapInArrow(task, "a long, b long")
+    return dealt.repartition(n, "group").sortWithinPartitions("group").mapInArrow(task, "a long, b long")
 
 
 def band_count(similarity: float, recall: float, rows: int = BAND) -> int:

@@ -322,6 +322,52 @@ def test_large_blocks_are_read_in_parts(spark):
     assert len(set(root.values())) == 5
 
 
+def test_chains_in_crowded_blocks_stay_whole(spark):
+    r = random.Random(5)
+    # chains of 30 fingerprints, each four bits from the next, that all share the blocks of the second part
+    rows = []
+    for c in range(3):
+        fp = r.getrandbits(64)
+        for _ in range(30):
+            for bit in r.sample(range(64), 4):
+                fp ^= 1 << bit
+            rows.append((fp, c))
+    r.shuffle(rows)
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    prints = spark.createDataFrame([(i, [signed(fp), 7]) for i, (fp, _) in enumerate(rows)], "node long, fp array<long>")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 4)
+    try:
+        root = {x["node"]: x["root"] for x in components.components(simhash.wide_links(prints, lanes=2, width=16, distance=4, most=8)).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = brute_classes([fp for fp, _ in rows], 4)
+    first = {}
+    for i, (fp, _) in enumerate(rows):
+        first.setdefault(want[fp], i)
+    assert {i: root.get(i, i) for i in range(len(rows))} == {i: first[want[fp]] for i, (fp, _) in enumerate(rows)}
+
+
+@pytest.mark.parametrize("most", [300, 1 << 20])
+def test_crowded_classes_of_sets_lose_no_link(spark, most):
+    r = random.Random(15)
+    sets = [set(range(c * 1000, c * 1000 + 20)) for c in range(2)]
+    for c in range(2):
+        one = sets[c]
+        for k in range(60):  # from the start, or on along a chain
+            one = set(sets[c]) if k < 25 else set(one)
+            for _ in range(1 + k % 2):
+                one.discard(r.choice(sorted(one)))
+                one.add(r.randrange(c * 1000 + 20, c * 1000 + 120))
+            sets.append(one)
+    sets = [set(x) for x in {frozenset(s) for s in sets}]
+    rows = spark.createDataFrame([(i, 0, sorted(s)) for i, s in enumerate(sets)], "node long, root long, hashes array<long>")
+    got = {x["node"]: x["root"] for x in components.components(simhash.alike(rows, 0.8, most)).collect()}
+    want = list(range(len(sets)))
+    for _ in sets:
+        want = [min(want[j] for j, t in enumerate(sets) if len(s & t) / len(s | t) >= 0.8) for s in sets]
+    assert 3 <= len(set(want)) < len(sets) and {i: got.get(i, i) for i in range(len(sets))} == dict(enumerate(want))
+
+
 # 4
 
 
