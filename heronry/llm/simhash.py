@@ -127,28 +127,6 @@ def classes(prints: DataFrame, links: DataFrame, *, key: str, fp: str = "fp") ->
     return prints.join(named, fp).select(*prints.columns, "component_id")
 
 
-def agreement(similarity: float) -> float:
-    """Share of bits in which two texts of that Jaccard similarity agree, their shingles seen as binary vectors."""
-    cosine = 2 * similarity / (1 + similarity)
-    return 1 - math.acos(cosine) / math.pi
-
-
-def wide_shape(rows: int, similarity: float, recall: float = 0.9) -> tuple[int, int, int]:
-    """(bits in a block, lanes, Hamming distance) for a table of ``rows``.
-
-    Blocks double in length where the table outgrows them, so that chance
-    meetings stay few; their number follows from the share of pairs at exactly
-    ``similarity`` that shall share a block (of closer pairs, more do). The
-    distance is the expected one at that similarity and one standard deviation.
-    """
-    width = 16 if rows < 1 << 24 else 32
-    p = agreement(similarity)
-    blocks = math.ceil(math.log(1 - recall) / math.log(1 - p**width))
-    lanes = math.ceil(blocks * width / 64)
-    bits = lanes * 64
-    return width, lanes, round(bits * (1 - p) + math.sqrt(bits * p * (1 - p)))
-
-
 def _group_links(node: np.ndarray, fp: np.ndarray, group: np.ndarray, distance: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """Links that connect, within each run of one group, all rows that a chain of close rows joins."""
     a, b = [], []

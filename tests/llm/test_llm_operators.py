@@ -315,6 +315,31 @@ def test_only_texts_at_the_similarity_are_linked(spark):
     assert {r["doc_id"]: r["component_id"] for r in found.collect()} == want
 
 
+def test_links_do_not_depend_on_the_size_of_the_table(spark, monkeypatch):
+    r = random.Random(16)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(6))
+    rows = []
+    for c in range(40):
+        base = [word() for _ in range(300)]
+        edited = list(base)
+        for at in range(20, 20 + 14 * 8, 14):
+            edited[at] = word()
+        rows += [(10 * c, " ".join(base)), (10 * c + 1, " ".join(edited))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    small = sorted(map(tuple, simhash.near_copies(docs).collect()))
+    monkeypatch.setattr(type(docs), "count", lambda self: 1 << 24)
+    assert sorted(map(tuple, simhash.near_copies(docs).collect())) == small
+
+
+def test_bands_reach_the_stated_recall():
+    r = np.random.default_rng(3)
+    bands, met = simhash.band_count(0.8, 0.999), 0
+    for _ in range(1000):
+        h = r.integers(0, 1 << 64, 100, np.uint64)  # 80 of 100 in common
+        met += any(x == y for x, y in zip(simhash.band_keys(h[:90], bands), simhash.band_keys(h[10:], bands), strict=True))
+    assert met >= 994
+
+
 def test_large_blocks_are_read_in_parts(spark):
     rows = spark.createDataFrame([(i, [(i % 5) << 40, 7]) for i in range(400)], "node long, fp array<long>")
     links = simhash.wide_links(rows, lanes=2, width=16, distance=0, most=64)
