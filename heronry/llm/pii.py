@@ -6,7 +6,7 @@ invisible characters vanish; (2) spelled digits become digits; (3) written-out
 ``at`` and ``dot`` become ``@`` and ``.``. The plain detectors then run over
 the result, and what they find maps back to source spans. Spans that the plain
 detectors find in the source itself always stay; a disguised span is added
-where it overlaps none of these.
+unless one of these of its kind contains it, so spans may overlap.
 
 Edge cases: a null text counts as empty and gives no spans; every input row
 gives one output row, repeated rows and null ids included; columns besides
@@ -232,9 +232,9 @@ def detect(text: str) -> tuple[list[Span], list[Span]]:
     found = list(base)
     for kind, start, end in plain(r.text):
         a, b = r.source(start, end)
-        if not any(a < y and x < b for _, x, y in base):
+        if not any(kind == k and x <= a and b <= y for k, x, y in base):
             found.append((kind, a, b))
-    found.sort(key=lambda s: (KINDS.index(s[0]), s[1]))
+    found.sort(key=lambda s: (KINDS.index(s[0]), *s[1:]))
     return base, found
 
 

@@ -203,6 +203,21 @@ def test_disguises_map_back_to_the_source(text, kind, piece):
     assert [(k, text[a:b]) for k, a, b in pii.detect(text)[1]] == [(kind, piece)]
 
 
+@pytest.mark.parametrize(
+    ("text", "piece"),
+    [
+        ("to j\u043ehn.smith@example.com now", "j\u043ehn.smith@example.com"),
+        ("to john [dot] smith@example.com now", "john [dot] smith@example.com"),
+        ("to joe@mail.example.c\u043em now", "joe@mail.example.c\u043em"),
+    ],
+)
+def test_half_disguised_addresses_are_found_whole(text, piece):
+    base, every = pii.detect(text)
+    assert len(base) == 1 and set(base) < set(every)
+    assert [(k, text[a:b]) for k, a, b in every if (k, a, b) not in base] == [("email", piece)]
+    assert pii.masked(text) == "to <email> now"
+
+
 @pytest.mark.parametrize("text", ["arrive at example.com today", "look at this dot", "one two three", "we met at noon", "a.b.c", "№ ñ é"])
 def test_plain_prose_is_left_alone(text):
     assert pii.detect(text) == ([], [])
