@@ -1,8 +1,9 @@
 """Secrets by known forms and by tests of randomness, in DataFrame functions only.
 
 Known forms (assigned credentials, access keys, hexadecimal runs) are found by
-pattern. Every other long token is tried: its encoding is inferred from its
-characters, its characters become numbers, and three tests hold it against
+pattern. Every other long token is tried; one that mixes both base64 alphabets
+(a key behind a path) by its long runs of either, whose spans may overlap. Its
+encoding is inferred from its characters, its characters become numbers, and three tests hold it against
 uniform random symbols: chi-squared on the counts, the number of runs above
 and below the middle, and lag-1 serial correlation. A token that none rejects
 still has to be told from words, whose letters repeat: the chi-squared that a
@@ -32,6 +33,8 @@ _ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["'
 _ACCESS = r"AKIA[A-Z0-9]+"
 _HEX = r"[0-9a-f]{16,}"
 _TOKEN = r"[A-Za-z0-9+/_-]{20,}={0,2}"
+# A token of both base64 alphabets fits none: its runs of either are tried.
+_PARTS = (r"[A-Za-z0-9_-]{20,}={0,2}", r"[A-Za-z0-9+/]{20,}={0,2}")
 _UPPER, _LOWER, _DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
 #: Encodings from the narrowest: pattern, alphabet, chance that two symbols of a word-like token agree.
 ENCODINGS = (
@@ -39,7 +42,7 @@ ENCODINGS = (
     (r"^[0-9A-F]+$", _DIGITS + "ABCDEF", 0.125),
     (r"^[A-Z2-7]+=*$", _UPPER + "234567", 0.075),
     (r"^[A-Za-z0-9]+$", _UPPER + _LOWER + _DIGITS, 0.06),
-    (r"^[A-Za-z0-9_-]+$", _UPPER + _LOWER + _DIGITS + "-_", 0.06),
+    (r"^[A-Za-z0-9_-]+=*$", _UPPER + _LOWER + _DIGITS + "-_", 0.06),
     (r"^[A-Za-z0-9+/]+=*$", _UPPER + _LOWER + _DIGITS + "+/", 0.06),
 )
 #: Least length of each class.
@@ -137,8 +140,13 @@ def _let(value: Column, then: Callable[[Column], Column]) -> Column:
 
 def tokens(text: Column, known: Column) -> Column:
     """Tokens outside the known spans that no test rejects as random: start, end, class of length, p_word."""
-    mixed = lambda s: s["value"].rlike("[0-9]") & s["value"].rlike("[A-Za-z].*[A-Za-z].*[A-Za-z]") & ~F.exists(known, lambda k: (k["start"] < s["end"]) & (s["start"] < k["end"]))
-    found = _spans(text, _TOKEN, "random", mixed)
+    every = _spans(text, _TOKEN, "random")
+    mixed = lambda s: s["value"].rlike("[+/]") & s["value"].rlike("[_-]")
+    shifted = lambda s, p: F.struct((s["start"] + p["start"]).alias("start"), (s["start"] + p["end"]).alias("end"), p["kind"].alias("kind"), p["value"].alias("value"))
+    parts = lambda s: F.transform(F.concat(*[_spans(s["value"], p, "random") for p in _PARTS]), lambda p: shifted(s, p))
+    apart = lambda s: ~F.exists(known, lambda k: (k["start"] < s["end"]) & (s["start"] < k["end"]))
+    split = lambda all_: F.array_distinct(F.concat(F.filter(all_, lambda s: ~mixed(s)), F.flatten(F.transform(F.filter(all_, mixed), parts))))
+    found = F.filter(_let(every, split), apart)
     tried = F.transform(found, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), _tried(s["value"]).alias("p")))
     passed = F.filter(tried, lambda s: s["p"]["p_random"] >= REJECT)
     size = lambda s: s["end"] - s["start"]

@@ -632,6 +632,20 @@ def test_random_tokens_are_told_from_words(spark):
     assert not any(s["kind"] == "random" for i in range(100, 100 + len(names)) for s in found[i]) and found[200] == []
 
 
+def test_no_long_token_is_dropped_untested(spark):
+    r = random.Random(12)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    url = letters + "0123456789-_"
+    make = lambda alphabet, n: "".join(r.choice(alphabet) for _ in range(n))
+    made = [make(letters, 64) for _ in range(10)] + [make(url, 61) + "-_Z==" for _ in range(10)]
+    paths = [make(url, 62) + "-_" for _ in range(10)]
+    rows = [(i, f"see {t} here") for i, t in enumerate(made)] + [(100 + i, f"see some/path/{t} here") for i, t in enumerate(paths)]
+    found = {r["doc_id"]: [(s["start"], s["end"]) for s in r["spans"]] for r in secrets.find(spark.createDataFrame(rows, "doc_id int, text string"), keep=[F.col("doc_id")]).collect()}
+    assert sum((4, 4 + len(t)) in found[i] for i, t in enumerate(made[:10])) >= 5
+    assert sum((4, 4 + len(t)) in found[10 + i] for i, t in enumerate(made[10:])) >= 7
+    assert sum((14, 14 + len(t)) in found[100 + i] for i, t in enumerate(paths)) >= 7
+
+
 def test_native_operators_run_no_python(spark, sf):
     for f in (queries.op7_fingerprint, queries.op8_secrets):
         plan = f(spark, sf)._jdf.queryExecution().executedPlan().toString()
