@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a folder of our own only where it is unset."""
+    """``spark.checkpoint.dir`` of the session; a folder of our own only where it is unset and Spark runs in one process."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="heronry-")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
