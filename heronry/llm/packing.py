@@ -53,17 +53,34 @@ def byte_encoding(path: str):
     return tiktoken.Encoding(path, pat_str=split, mergeable_ranks={k: v for k, v in ranks.items() if v not in set(special.values())}, special_tokens=special)
 
 
+@lru_cache(2)
+def _library(path: str):
+    from tokenizers import Tokenizer
+
+    found = Tokenizer.from_file(path)
+    found.no_truncation()
+    found.no_padding()
+    return found
+
+
+def token_ids(text: str, path: str) -> np.ndarray:
+    """Ids of a text; one whose runs are too long for the pattern's stack is encoded by the tokenizers library, with equal ids."""
+    try:
+        return byte_encoding(path).encode_to_numpy(text, allowed_special="all")
+    except ValueError:
+        return np.array(_library(path).encode(text, add_special_tokens=False).ids, np.uint32)
+
+
 def pieces(docs: DataFrame, path: str, *, text: str = "text", keep: list[Column], end_id: int = 1, capacity: int = CAPACITY) -> DataFrame:
     """Cut each text's ids: ``keep``, start, length, ids_crc32, doc_tokens; every id is in exactly one piece."""
     kept = docs.select(*keep, F.col(text).alias("__text"))
     names = kept.columns[:-1]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoding = byte_encoding(path)
         for part in slices(batches, "__text"):
             row, start, length, crc, total = [], [], [], [], []
             for r, value in enumerate(part.column("__text").to_pylist()):
-                ids = np.append(encoding.encode_to_numpy(value, allowed_special="all") if value else np.empty(0, np.uint32), end_id).astype("<u4")
+                ids = np.append(token_ids(value, path) if value else np.empty(0, np.uint32), end_id).astype("<u4")
                 for at in range(0, len(ids), capacity):
                     cut = ids[at : at + capacity]
                     row.append(r)

@@ -46,18 +46,23 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _back(run_end: re.Pattern[str], text: str, at: int, least: int) -> int:
+    """Where the run that ``run_end`` finds before ``at`` starts; it is read backwards, a block at a time, down to ``least``."""
+    while at > least:
+        low = max(least, at - 256)
+        run = run_end.search(text[low:at])
+        if run is None:
+            break
+        at = low + run.start()
+        if run.start():
+            break
+    return at
+
+
 def _emails(text: str) -> list[Span]:
     out, done, at = [], 0, text.find("@")
     while at >= 0:
-        start = at
-        while start > done:  # back over the local part, a block at a time
-            low = max(done, start - 256)
-            run = _LOCAL_END.search(text[low:start])
-            if run is None:
-                break
-            start = low + run.start()
-            if run.start():
-                break
+        start = _back(_LOCAL_END, text, at, done)
         if start < at and (m := _DOMAIN.match(text, at)):
             out.append(("email", start, m.end()))
             done = m.end()
@@ -106,16 +111,56 @@ _FOLDABLE = re.compile("[" + re.escape("".join(_LOOKALIKES) + _UNSEEN) + "٠-٩
 _SPELLED_RUN = re.compile(rf"(?<!\w)(?:(?:\+|plus)[ -]?)?(?:(?:{_WORD}|[0-9]+)[ \t.,()-]{{1,3}}){{3,}}(?:{_WORD}|[0-9]+)(?!\w)", re.I)
 _SPELLED_ONE = re.compile(rf"(?<!\w)(?:(plus)|({_WORD}))(?!\w)", re.I)
 _OPEN, _CLOSE = r"[(\[{<]", r"[)\]}>]"
-_AT_MARKED = re.compile(rf"\s*{_OPEN}\s*(?:at|@|arroba|ät|chez)\s*{_CLOSE}\s*", re.I)
-_DOT_MARKED = re.compile(rf"\s*{_OPEN}\s*(?:dot|\.|punkt|punto|point)\s*{_CLOSE}\s*", re.I)
-_UNDERSCORED = re.compile(r"(?<![^\W_])[a-z0-9.+-]+_at_[a-z0-9-]+(?:_dot_[a-z0-9-]+)+(?![^\W_])", re.I)
-_UNDERSCORED_PART = re.compile(r"_(at|dot)_", re.I)
-_NAME = r"[A-Za-z0-9_%+-]+"
-_SPOKEN = re.compile(rf"(?<![\w@.]){_NAME}(?:(?: dot |\.){_NAME})* at {_NAME}(?: dot {_NAME})+(?![\w@])", re.I)
-_SPACED = re.compile(rf"(?<![\w@.]){_NAME}(?:\.{_NAME})* @ {_NAME}(?: ?\. ?{_NAME})+(?![\w@])")
-_SPOKEN_PART = re.compile(r" (at|dot|@|\.) |(?<=\w) \.|\. (?=\w)", re.I)
+_MARKED = re.compile(rf"{_OPEN}\s*(?:(at|@|arroba|ät|chez)|dot|\.|punkt|punto|point)\s*{_CLOSE}", re.I)
+_SPACES, _SPACES_END = re.compile(r"\s*"), re.compile(r"\s+\Z")
+_NAME, _BARE = r"[A-Za-z0-9_%+-]", r"[A-Za-z0-9-]"
 _DOTTED_IP = re.compile(r"(?<![\w.])[0-9]{1,3}(?: dot [0-9]{1,3}){3}(?![\w.])", re.I)
 _NUMBER_DOT = re.compile(r" dot ", re.I)
+
+
+class _Written:
+    """Addresses around a written-out ``at``: found from there, outward, so that no character is looked at for another one's sake."""
+
+    def __init__(self, at: str, letter: str, between: tuple[str, ...], right: str, stops: str, part: str):
+        self.at = re.compile(rf"(?<={letter}){at}(?={letter})", re.I)
+        self.run_end = re.compile(rf"{letter}+\Z")
+        self.between = between
+        self.right, self.part, self.stops = (re.compile(x, re.I) for x in (right, part, stops))
+
+    def _names(self, text: str, end: int, least: int) -> list[tuple[int, int]]:
+        """The names before ``end`` that ``between`` joins, the last first."""
+        found = []
+        while (start := _back(self.run_end, text, end, least)) < end:
+            found.append((start, end))
+            gap = next((g for g in self.between if text[max(least, start - len(g)) : start].lower() == g), None)
+            if gap is None:
+                break
+            end = start - len(gap)
+        return found
+
+    def _start(self, text: str, end: int, least: int) -> int | None:
+        """Where the name before ``end`` starts: not inside a word."""
+        for low, high in reversed(self._names(text, end, least)):
+            for i in range(low, high):
+                if not i or not self.stops.match(text, i - 1):
+                    return i
+        return None
+
+    def edits(self, text: str) -> list[tuple[int, int, str]]:
+        out, done = [], 0
+        for m in self.at.finditer(text):
+            if m.start() > done and (right := self.right.match(text, m.end())) and (start := self._start(text, m.start(), done)) is not None:
+                done = right.end()
+                out += [(*x.span(), "@" if (x[1] or ".").lower() in ("at", "@") else ".") for x in self.part.finditer(text, start, done)]
+        return out
+
+
+_SPOKEN_PART = r" (at|dot|@|\.) |(?<=\w) \.|\. (?=\w)"
+_WRITTEN = (
+    _Written(" at ", _NAME, (" dot ", "."), rf"{_NAME}++(?: dot {_NAME}++)+(?![\w@])", r"[\w@.]", _SPOKEN_PART),
+    _Written(" @ ", _NAME, (".",), rf"{_NAME}++(?: ?\. ?{_NAME}++)+(?![\w@])", r"[\w@.]", _SPOKEN_PART),
+    _Written("_at_", r"[A-Za-z0-9.+-]", (), rf"{_BARE}++(?:_dot_{_BARE}++)+(?![^\W_])", r"[^\W_]", r"_(at|dot)_"),
+)
 _HINT = re.compile(rf"{_OPEN}\s*(?:at|@|dot|\.|arroba|ät|punkt|punto|point|chez)\s*{_CLOSE}|_at_|_dot_| dot | @ ", re.I)
 
 
@@ -199,14 +244,13 @@ def _digits(r: Rewritten) -> Rewritten:
 
 
 def _at_dot(r: Rewritten) -> Rewritten:
-    edits = [(*m.span(), new) for rule, new in ((_AT_MARKED, "@"), (_DOT_MARKED, ".")) for m in rule.finditer(r.text)]
-    r = r.apply(sorted(edits))
-    edits = []
-    for rule in (_SPOKEN, _SPACED):
-        for run in rule.finditer(r.text):
-            edits += [(*m.span(), {"at": "@", "@": "@"}.get((m[1] or ".").lower(), ".")) for m in _SPOKEN_PART.finditer(r.text, *run.span())]
-    for run in _UNDERSCORED.finditer(r.text):
-        edits += [(*m.span(), "@" if m[1].lower() == "at" else ".") for m in _UNDERSCORED_PART.finditer(r.text, *run.span())]
+    edits, last = [], 0
+    for m in _MARKED.finditer(r.text):
+        start = _back(_SPACES_END, r.text, m.start(), last)
+        last = _SPACES.match(r.text, m.end()).end()
+        edits.append((start, last, "@" if m[1] else "."))
+    r = r.apply(edits)
+    edits = [e for rule in _WRITTEN for e in rule.edits(r.text)]
     for run in _DOTTED_IP.finditer(r.text):
         edits += [(*m.span(), ".") for m in _NUMBER_DOT.finditer(r.text, *run.span())]
     disjoint, last = [], 0
@@ -230,9 +274,12 @@ def detect(text: str) -> tuple[list[Span], list[Span]]:
     if r.text == text:
         return base, base
     found = list(base)
+    starts = {k: [a for kind, a, _ in base if kind == k] for k in KINDS}
+    ends = {k: [b for kind, _, b in base if kind == k] for k in KINDS}
     for kind, start, end in plain(r.text):
         a, b = r.source(start, end)
-        if not any(kind == k and x <= a and b <= y for k, x, y in base):
+        before = bisect_right(starts[kind], a) - 1  # plain spans of a kind are disjoint
+        if before < 0 or b > ends[kind][before]:
             found.append((kind, a, b))
     found.sort(key=lambda s: (KINDS.index(s[0]), *s[1:]))
     return base, found
