@@ -666,6 +666,14 @@ def test_native_operators_run_no_python(spark, sf):
         assert not re.search("Python|Pandas|Arrow", plan)
 
 
+def test_secrets_take_linear_time(spark):
+    texts = ["0123456789abcdef01 " * 50_000, "Zq9kX7pLm2Vt8RbYw5Nd " * 50_000, "Zq9kX7pLm2Vt8RbYw5Nd/a-" * 20_000]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    began = time.time()
+    found = {r["doc_id"]: r["n"] for r in secrets.find(rows, keep=[F.col("doc_id")]).select("doc_id", F.size("base").alias("n")).collect()}
+    assert found == {0: 50_000, 1: 0, 2: 0} and time.time() - began < 120
+
+
 # 9
 
 
