@@ -44,11 +44,18 @@ def text_sections(text: Column) -> Column:
     return _split(F.regexp_replace(ended, _MARKER, OPEN + "$1" + CLOSE), T.trim, lambda b: b)
 
 
+def _let(value: Column, then) -> Column:
+    """``then`` of a value that is computed once, however often it is named."""
+    return F.transform(F.array(value), then)[0]
+
+
 def merge(sections: Column) -> Column:
-    """Sections to chunks (heading, text): short ones join while they fit, with an overlap where they no longer do; long ones are cut in windows."""
+    """Sections to chunks (heading, text): short ones join while they fit, with an overlap where they no longer do; long ones are cut in windows.
+
+    The fold runs over blocks of about the root of the number of sections: what it has put out is copied as it grows.
+    """
     piece = lambda h, t: F.struct(h.alias("heading"), t.alias("text"))
     empty = F.expr(f"cast(array() as {SECTIONS})")
-    begin = F.struct(empty.alias("out"), F.lit("").alias("p"), F.lit("").alias("ph"))
     pending = lambda a: F.when(a["p"] != "", F.array(piece(a["ph"], a["p"]))).otherwise(empty)
     state = lambda out, p, ph: F.struct(out.alias("out"), p.alias("p"), ph.alias("ph"))
 
@@ -62,15 +69,29 @@ def merge(sections: Column) -> Column:
         over = T.tokens_of(a["p"]) + T.tokens_of(t) > TARGET_TOKENS
         return F.when(T.tokens_of(t) > TARGET_TOKENS, long).when(a["p"] == "", first).when(over, full).otherwise(joined)
 
-    return F.aggregate(F.filter(sections, lambda s: ~T.blank(s["text"])), begin, step, lambda a: F.concat(a["out"], pending(a)))
+    def blocks(v: Column) -> Column:
+        width = F.greatest(F.ceil(F.sqrt(F.size(v))).cast("int"), F.lit(1))
+        return F.transform(F.sequence(F.lit(0), F.greatest(F.ceil(F.size(v) / width).cast("int"), F.lit(1)) - 1), lambda i: F.slice(v, i * width + 1, width))
+
+    def outer(a: Column, block: Column) -> Column:
+        return _let(F.aggregate(block, state(empty, a["p"], a["ph"]), step), lambda b: F.struct(F.array_append(a["outs"], b["out"]).alias("outs"), b["p"].alias("p"), b["ph"].alias("ph")))
+
+    begin = F.struct(F.expr(f"cast(array() as array<{SECTIONS}>)").alias("outs"), F.lit("").alias("p"), F.lit("").alias("ph"))
+    filled = F.filter(sections, lambda s: ~T.blank(s["text"]))
+    return F.aggregate(_let(filled, blocks), begin, outer, lambda a: F.concat(F.flatten(a["outs"]), pending(a)))
+
+
+def first_of_each(chunks: Column) -> Column:
+    """Of chunks with one id the first, in order: sorted by id and place, each id's first place is told."""
+    places = F.array_sort(F.transform(chunks, lambda c, i: F.struct(c["id"].alias("id"), i.alias("at"))))
+    firsts = lambda ps: F.filter(ps, lambda p, i: (i == 0) | (ps[F.greatest(i - 1, F.lit(0))]["id"] != p["id"]))
+    return F.transform(F.array_sort(F.transform(_let(places, firsts), lambda p: p["at"])), lambda at: chunks[at])
 
 
 def finish(pieces: Column) -> Column:
     """Pieces to chunks (id, heading, tokens, text), the first of each text."""
-    made = F.transform(pieces, lambda c: T.trim(c["text"]))
-    whole = F.zip_with(pieces, made, lambda c, t: F.struct(T.sha256(t).alias("id"), c["heading"].alias("heading"), T.tokens_of(t).alias("tokens"), t.alias("text")))
-    once = lambda cs: F.filter(cs, lambda c, i: F.array_position(cs["id"], c["id"]) == i + 1)
-    return F.transform(F.array(whole), once)[0]
+    whole = lambda cs: F.zip_with(cs["pieces"], cs["made"], lambda c, t: F.struct(T.sha256(t).alias("id"), c["heading"].alias("heading"), T.tokens_of(t).alias("tokens"), t.alias("text")))
+    return _let(_let(pieces, lambda p: _let(F.struct(p.alias("pieces"), F.transform(p, lambda c: T.trim(c["text"])).alias("made")), whole)), first_of_each)
 
 
 def chunks(docs: DataFrame) -> DataFrame:

@@ -1,4 +1,5 @@
 import hashlib
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -105,3 +106,9 @@ def test_chunks_do_not_depend_on_partitions(spark):
     docs = spark.createDataFrame([(i, f"d{i}", "MIT", "docs-wiki", "html", f"<h1>{i}</h1>" + f"word{i} " * 400 * (i % 3)) for i in range(30)], "ord int, name string, license string, tier string, format string, content string")
     first, second = (sorted(map(tuple, chunk.chunks(docs.repartition(n)).collect())) for n in (1, 17))
     assert first == second
+
+
+def test_many_sections_take_linear_time(spark):
+    began = time.time()
+    found = chunked(spark, "".join(f"<h2>H{i}</h2>" + f"w{i} " * 50 for i in range(10_000)))
+    assert len(found) > 1000 and time.time() - began < 60
