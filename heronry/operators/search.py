@@ -1,27 +1,45 @@
 """Retrieval, for all queries of a table at once; a single query is a table of one row.
 
-Queries are a stated set of bounded size: they are broadcast while they are at
-most ``MOST_QUERIES``, and taken in blocks of that many beyond. Ranks are
-limited within each task before the shuffle (a rank limit over a window), so
-what is shuffled for a query is at most k rows a task.
+Queries are a stated set: they are taken in blocks of ``MOST_QUERIES``, which
+reach every task. Each task keeps the k best of every query while it reads its
+rows, so what is shuffled for a query is at most k rows a task.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from ..functions import scores as S
 from ..functions import text as T
+from ..scratch import written
+from .best import Best
 
 MOST_QUERIES = 1024
 #: Hits a query of which a block's are broadcast.
 MOST_BROADCAST = 100
-#: Distinct terms of queries that are broadcast; more are joined by a shuffle.
-MOST_TERMS = 100_000
 TOP = 10
+#: Rows scored together in a task.
+ROWS = 1024
+
+
+_HIT = StructType([StructField("q", IntegerType()), StructField("score", DoubleType())])
+
+
+def _counts(term) -> list[StructField]:
+    return [StructField("dl", LongType()), StructField("terms", ArrayType(term)), StructField("tfs", ArrayType(IntegerType()))]
+
+
+def _hits(kind: StructType) -> StructType:
+    return StructType([_HIT["q"], *kind.fields, _HIT["score"]])
 
 
 def _blocks(queries: DataFrame) -> list[DataFrame]:
@@ -34,31 +52,84 @@ def _blocks(queries: DataFrame) -> list[DataFrame]:
     return [queries.where(block == i) for i in range(parts)]
 
 
+def _named(spark: SparkSession, found: DataFrame, qids: list, kind: StructType) -> DataFrame:
+    """Hits of numbered queries with the queries' own ids."""
+    names = spark.createDataFrame(list(enumerate(qids)), StructType([StructField("q", IntegerType()), *kind.fields]))
+    return found.join(F.broadcast(names), "q").drop("q")  # a block's queries
+
+
 def ranked(hits: DataFrame, order: list[Column], k: int, name: str = "rank") -> DataFrame:
     """The first ``k`` hits of each query; ``name`` counts from 1."""
     w = Window.partitionBy("qid").orderBy(*order)
     return hits.withColumn(name, F.row_number().over(w)).where(F.col(name) <= k)
 
 
+def _matrix(column: pa.Array) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
+
+
+def _in_order(products: np.ndarray) -> np.ndarray:
+    """Sums of the rows, added from left to right."""
+    return np.cumsum(products, axis=1)[:, -1] if products.shape[1] else np.zeros(len(products))
+
+
+def nearest(queries: DataFrame, store: DataFrame, k: int = TOP) -> DataFrame:
+    """(qid, rank, id, score): exact cosine, best first, ties by id.
+
+    A matrix product of the block's queries and a batch of vectors finds the
+    rows that may be among the best; their scores are then added up in order,
+    so that they do not depend on how rows are dealt.
+    """
+    found = []
+    kind = store.select("id")
+    arrow = pa.int64() if kind.schema["id"].dataType.typeName() == "long" else pa.string()
+    for block in _blocks(queries):
+        asked = [r for r in block.select("qid", F.col("vector").cast("array<double>").alias("v")).collect() if r["v"] is not None]
+        by_size: dict[int, list[int]] = {}
+        for i, r in enumerate(asked):
+            by_size.setdefault(len(r["v"]), []).append(i)
+        groups = {n: (np.array(at), np.array([asked[i]["v"] for i in at], np.float64).reshape(len(at), n)) for n, at in by_size.items()}
+
+        def task(batches: Iterator[pa.RecordBatch], groups=groups, n=len(asked)) -> Iterator[pa.RecordBatch]:
+            best = Best(n, k)
+            lengths = {size: np.sqrt(_in_order(vs * vs)) for size, (_, vs) in groups.items()}
+            for batch in batches:
+                sizes = pc.list_value_length(batch.column("embedding")).to_numpy(zero_copy_only=False)
+                for size, (at, vs) in groups.items():
+                    part = batch.take(pa.array(np.flatnonzero(sizes == size)))
+                    if not part.num_rows:
+                        continue
+                    rows, norms, ids = _matrix(part.column("embedding")), part.column("norm").to_numpy(zero_copy_only=False), part.column("id")
+                    for low in range(0, len(rows), ROWS):
+                        some, weight = rows[low : low + ROWS], norms[low : low + ROWS]
+                        whole = lengths[size][:, None] * weight
+                        about = np.divide(vs @ some.T, whole, out=np.zeros(whole.shape), where=whole != 0)
+                        for j, q in enumerate(at.tolist()):
+                            near = best.candidates(q, about[j], 1e-9)
+                            if len(near):
+                                dot = _in_order(vs[j] * some[near])
+                                exact = np.divide(dot, whole[j, near], out=np.zeros(len(near)), where=whole[j, near] != 0)
+                                best.add(q, exact.tolist(), ids.take(pa.array(near + low)).to_pylist())
+            yield from best.batches(arrow)
+
+        hits = store.select("id", "embedding", "norm").where("embedding is not null").mapInArrow(task, _hits(kind.schema))
+        found.append(_named(store.sparkSession, hits, [r["qid"] for r in asked], block.select("qid").schema))
+    return ranked(reduce(DataFrame.unionByName, found), [F.desc("score"), F.col("id")], k).select("qid", "rank", "id", "score")
+
+
 def cosine(queries: DataFrame, store: DataFrame, k: int = TOP, tier: str | None = None) -> DataFrame:
     """(qid, rank, store columns, score): exact cosine, best first, ties by id.
 
     ``queries`` has qid and vector; ``store`` is :func:`store.load`'s. The tier
     is filtered before ranking. A query of another length than the vectors has no hits.
     """
+    shown = [c for c in store.columns if c not in ("embedding", "norm")]
     if k <= 0:
-        return store.limit(0).select(F.lit(0).alias("qid"), F.lit(0).alias("rank"), "*", F.lit(0.0).alias("score")).drop("embedding", "norm")
+        return store.limit(0).select(F.lit(0).alias("qid"), F.lit(0).alias("rank"), *shown, F.lit(0.0).alias("score"))
     rows = store if tier is None else store.where(F.col("tier") == tier)
-    shown = [c for c in rows.columns if c not in ("embedding", "norm")]
-    found = []
-    for block in _blocks(queries):
-        q = block.select("qid", F.col("vector").alias("__q"), S.norm(F.col("vector")).alias("__qn"))
-        pairs = rows.select("id", "embedding", "norm").join(F.broadcast(q), F.size("embedding") == F.size("__q"))
-        scored = pairs.select("qid", "id", S.cosine(F.col("__q"), F.col("embedding"), F.col("__qn"), F.col("norm")).alias("score"))
-        # only ids and scores are ranked; the block's hits, at most k a query, then fetch their chunks
-        hits = ranked(scored, [F.desc("score"), F.col("id")], k)
-        found.append(rows.select(shown).join(F.broadcast(hits) if k <= MOST_BROADCAST else hits, "id"))
-    return reduce(DataFrame.unionByName, found).select("qid", "rank", *shown, "score")
+    hits = nearest(queries, rows, k)
+    # only ids and scores are ranked; the hits then fetch their chunks
+    return rows.select(shown).join(F.broadcast(hits) if k <= MOST_BROADCAST and queries.count() <= MOST_QUERIES else hits, "id").select("qid", "rank", *shown, "score")
 
 
 class Bm25:
@@ -66,35 +137,119 @@ class Bm25:
 
     Equal ids hold equal texts: an id is found once, but each of its rows
     counts in the number of rows, the document frequencies and the mean length.
-    A search keeps only the occurrences of its own terms, before anything is
-    shuffled; :meth:`postings` is the whole list, for an index that is kept.
+    ``words`` has a row for each row of ``chunks``: id, dl (its words), terms and tfs (its distinct words and their
+    counts). It is what an index keeps: :meth:`write` and :meth:`read`.
     """
 
-    def __init__(self, chunks: DataFrame):
-        self.rows = chunks.select("id", T.words(F.col("text")).alias("ts")).withColumn("dl", F.size("ts").cast("long"))
-        self.copies = chunks.groupBy("id").agg(F.count("*").alias("copies"))
-        self.stats = self.rows.agg(F.count("*").alias("n"), F.coalesce(F.sum("dl") / F.greatest(F.count("*"), F.lit(1)), F.lit(0.0)).alias("avgdl"))
+    def __init__(self, chunks: DataFrame, words: DataFrame | None = None):
+        self.words = _counted(chunks) if words is None else words
+
+    @classmethod
+    def read(cls, spark: SparkSession, path: str) -> Bm25:
+        words = spark.read.parquet(path)
+        return cls(words, words)
+
+    def write(self, path: str) -> None:
+        self.words.write.mode("overwrite").parquet(path)
 
-    def postings(self, terms: DataFrame | None = None) -> DataFrame:
-        """(id, term, tf, dl, copies) of all terms, or of those in ``terms``."""
-        found = self.rows.select("id", "dl", F.explode_outer("ts").alias("term")).where("term is not null")  # outer: see functions.text.words
-        if terms is not None:
-            found = found.join(F.broadcast(terms) if terms.count() <= MOST_TERMS else terms, "term")
-        counted = found.groupBy("id", "dl", "term").agg(F.count("*").alias("all"))
-        return counted.join(self.copies, "id").select("id", "term", (F.col("all") / F.col("copies")).cast("long").alias("tf"), "dl", "copies")
+    @property
+    def stats(self) -> DataFrame:
+        """One row: n, avgdl."""
+        return self.words.agg(F.count("*").alias("n"), F.coalesce(F.sum("dl") / F.greatest(F.count("*"), F.lit(1)), F.lit(0.0)).alias("avgdl"))
+
+    def postings(self) -> DataFrame:
+        """(id, term, tf, dl, copies): the inverted list; copies are the rows with this id."""
+        each = self.words.select("id", "dl", F.explode(F.arrays_zip(F.col("terms").alias("term"), F.col("tfs").alias("tf"))).alias("p"))
+        return each.groupBy("id", F.col("p.term").alias("term"), F.col("p.tf").cast("long").alias("tf"), "dl").agg(F.count("*").alias("copies")).select("id", "term", "tf", "dl", "copies")
+
+    def frequencies(self) -> DataFrame:
+        """(term, df): in how many rows each term is."""
+        return self.words.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df"))
 
     def search(self, queries: DataFrame, k: int = TOP) -> DataFrame:
-        """(qid, rank, id, score): best first, ties by id; ``queries`` has qid and query. Only rows with a term of the query count."""
-        asked = queries.select("qid", F.explode_outer(T.words(F.col("query"))).alias("term")).where("term is not null").groupBy("qid", "term").agg(F.count("*").alias("qtf"))
-        few = asked.count() <= MOST_TERMS
-        postings = self.postings(asked.select("term").distinct())
-        weighed = asked.join(postings.groupBy("term").agg(F.sum("copies").alias("df")), "term").crossJoin(F.broadcast(self.stats))  # stats is one row
-        parts = postings.join(F.broadcast(weighed) if few else weighed, "term")
-        term = S.bm25_term(S.idf(F.col("n"), F.col("df")), F.col("tf"), F.col("dl"), F.col("avgdl"), F.col("qtf"))
-        # parts are added as whole numbers of 2**-40, so that a score does not depend on the order of its parts
-        unit = float(1 << 40)
-        scored = parts.groupBy("qid", "id").agg((F.sum(F.round(term * unit).cast("long")) / unit).alias("score"))
-        return ranked(scored, [F.desc("score"), F.col("id")], max(k, 0)).select("qid", "rank", "id", "score")
+        """(qid, rank, id, score): best first, ties by id; ``queries`` has qid and query. Only rows with a term of the query count.
+
+        Each row keeps the terms that some query has, once, in a written table; statistics are taken and rows are scored from there.
+        """
+        spark = self.words.sparkSession
+        kind = self.words.select("id").schema
+        blocks = [block.select("qid", T.words(F.coalesce("query", F.lit(""))).alias("ts")).collect() for block in _blocks(queries)]
+        terms = sorted({t for block in blocks for r in block for t in r["ts"]})
+        value_set = pa.array(terms, pa.string())
+
+        def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                lists = batch.column("terms")
+                place = pc.index_in(lists.flatten(), value_set=value_set)
+                asked = pc.is_valid(place)
+                row = pc.list_parent_indices(lists).filter(asked).to_numpy()
+                ends = pa.array(np.searchsorted(row, np.arange(len(lists) + 1)).astype(np.int32))
+                tfs = batch.column("tfs").flatten().filter(asked)
+                yield pa.record_batch([batch.column("id"), batch.column("dl"), pa.ListArray.from_arrays(ends, place.filter(asked)), pa.ListArray.from_arrays(ends, tfs)], names=["id", "dl", "terms", "tfs"])
+
+        held = self.words.select("id", "dl", "terms", "tfs")
+        held = written(held.mapInArrow(match, StructType([*kind.fields, *_counts(IntegerType())])), "words")
+        n, total = held.agg(F.count("*"), F.coalesce(F.sum("dl"), F.lit(0))).first()
+        df = np.zeros(len(terms))
+        for r in held.select(F.explode("terms").alias("t")).groupBy("t").count().collect():  # at most the queries' own terms
+            df[r["t"]] = r["count"]
+        average = max(total / max(n, 1), 1e-9)
+        weight = np.log((n - df + 0.5) / (df + 0.5) + 1)
+        place = {t: i for i, t in enumerate(terms)}
+        found = [_named(spark, held.mapInArrow(_score(block, place, weight, average, max(k, 0), kind), _hits(kind)), [r["qid"] for r in block], queries.select("qid").schema) for block in blocks]
+        once = reduce(DataFrame.unionByName, found).groupBy("qid", "id").agg(F.max("score").alias("score"))
+        return ranked(once, [F.desc("score"), F.col("id")], max(k, 0)).select("qid", "rank", "id", "score")
+
+
+def _counted(chunks: DataFrame) -> DataFrame:
+    kind = chunks.select("id").schema
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("ts")
+            coded = lists.flatten().dictionary_encode()
+            row, code = pc.list_parent_indices(lists).to_numpy(), coded.indices.to_numpy()
+            pair, count = np.unique(row * max(len(coded.dictionary), 1) + code, return_counts=True)
+            ends = np.searchsorted(pair // max(len(coded.dictionary), 1), np.arange(len(lists) + 1)).astype(np.int32)
+            terms = coded.dictionary.take(pa.array(pair % max(len(coded.dictionary), 1)))
+            tfs = pa.array(count.astype(np.int32))
+            yield pa.record_batch([batch.column("id"), pc.list_value_length(lists).cast(pa.int64()), pa.ListArray.from_arrays(pa.array(ends), terms), pa.ListArray.from_arrays(pa.array(ends), tfs)], names=["id", "dl", "terms", "tfs"])
+
+    rows = chunks.select("id", T.words(F.coalesce("text", F.lit(""))).alias("ts"))
+    return rows.mapInArrow(task, StructType([*kind.fields, *_counts(StringType())]))
+
+
+def _score(block: list, place: dict[str, int], weight: np.ndarray, average: float, k: int, kind: StructType):
+    """A task that gives the ``k`` best rows of each query of a block."""
+    uses = sorted((place[t], q, c) for q, r in enumerate(block) for t, c in Counter(r["ts"]).items())
+    term, query, times = (np.array(x, np.int64) for x in zip(*uses, strict=True)) if uses else (np.empty(0, np.int64),) * 3
+    first = np.searchsorted(term, np.arange(len(place) + 1))
+    arrow = pa.int64() if kind["id"].dataType.typeName() == "long" else pa.string()
+    n = len(block)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = Best(n, k)
+        for whole in batches:
+            for low in range(0, whole.num_rows if n and k else 0, ROWS):
+                batch = whole.slice(low, ROWS)
+                row = pc.list_parent_indices(batch.column("terms")).to_numpy()
+                t, tf = batch.column("terms").flatten().to_numpy(), batch.column("tfs").flatten().to_numpy().astype(np.float64)
+                dl = batch.column("dl").to_numpy()[row]
+                part = weight[t] * (tf * (S.K1 + 1) / (tf + S.K1 * (1 - S.B + S.B * dl / average)))
+                many = first[t + 1] - first[t]
+                use = np.repeat(first[t] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+                cell = np.repeat(row, many) * n + query[use]
+                # parts are added as whole numbers of 2**-40, so that a score does not depend on the order of its parts
+                score = np.bincount(cell, np.rint(np.repeat(part, many) * times[use] * float(1 << 40)), batch.num_rows * n) / float(1 << 40)
+                there = np.bincount(cell, minlength=batch.num_rows * n) > 0
+                table = np.where(there, score, -np.inf).reshape(-1, n).T
+                for q in np.flatnonzero((table > -np.inf).any(axis=1) & (table.max(axis=1) >= best.least)).tolist():
+                    rows = best.candidates(q, table[q])
+                    rows = rows[table[q, rows] > -np.inf]
+                    best.add(q, table[q, rows].tolist(), batch.column("id").take(pa.array(rows)).to_pylist())
+        yield from best.batches(arrow)
+
+    return task
 
 
 def hybrid(queries: DataFrame, store: DataFrame, bm25: Bm25, k: int = TOP, tier: str | None = None) -> DataFrame:
@@ -102,18 +257,22 @@ def hybrid(queries: DataFrame, store: DataFrame, bm25: Bm25, k: int = TOP, tier:
 
     ``queries`` has qid, query and vector. Each side brings max(k, 10) * 2
     chunks. The tier is filtered before the cosine ranks, but after the BM25
-    ranks, which keep their gaps.
+    ranks, which keep their gaps. Ids alone are ranked and fused; the k hits left fetch their chunks.
     """
     pool = max(k, 10) * 2
-    dense = cosine(queries, store, pool, tier).select("qid", "source", "id", F.col("rank").alias("r"))
-    words = bm25.search(queries, pool).select("qid", "id", F.col("rank").alias("r")).join(store.select("id", "source", "tier"), "id")
-    kept = words if tier is None else words.where(F.col("tier") == tier)
-    side = lambda hits, name: hits.groupBy("qid", "source").agg(F.min("r").alias(f"{name}_rank"), F.min_by("id", "r").alias(f"{name}_id"))
-    both = side(dense, "dense").join(side(kept, "words"), ["qid", "source"], "full")
+    few = pool <= MOST_BROADCAST and queries.count() <= MOST_QUERIES
+    small = F.broadcast if few else lambda df: df
+    rows = store if tier is None else store.where(F.col("tier") == tier)
+    dense = nearest(queries, rows, pool).select("qid", "id", F.col("rank").alias("dense"), F.lit(None).cast("int").alias("words"))
+    words = bm25.search(queries, pool).select("qid", "id", F.lit(None).cast("int").alias("dense"), F.col("rank").alias("words"))
+    hits = rows.select("id", "source").join(small(dense.unionByName(words)), "id")
+    side = lambda name: [F.min(name).alias(f"{name}_rank"), F.min_by("id", name).alias(f"{name}_id")]
+    both = hits.groupBy("qid", "source").agg(*side("dense"), *side("words"))
     share = lambda name: F.coalesce(S.rrf(F.col(f"{name}_rank") - 1), F.lit(0.0))
     fused = both.select("qid", F.col("source").alias("__source"), (share("dense") + share("words")).alias("score"), F.coalesce("dense_id", "words_id").alias("id"))
     top = ranked(fused, [F.desc("score"), F.col("__source")], max(k, 0)).drop("__source")
-    return top.join(store.drop("embedding", "norm"), "id").select("qid", "rank", *[c for c in store.columns if c not in ("embedding", "norm")], "score")
+    shown = [c for c in store.columns if c not in ("embedding", "norm")]
+    return store.select(shown).join(small(top), "id").select("qid", "rank", *shown, "score")
 
 
 def fulltext(queries: DataFrame, files: DataFrame, snippet: int = 240) -> DataFrame:

@@ -29,13 +29,14 @@ def chunk_corpus(spark: SparkSession, folder: str, on_source: Progress | None =
 
 
 def build(spark: SparkSession, folder: str, index: str, call: embed.Embedder, *, model: str = embed.MODEL, on_source: Progress | None = None) -> DataFrame:
-    """Write chunks, embeddings and their description under ``index``; one row: chunks, vectors, reused, dim.
+    """Write chunks, their words, embeddings and a description under ``index``; one row: chunks, vectors, reused, dim.
 
     Vectors of an index of the same model are used again. They are written to
     a new folder, which the description then names.
     """
     made = chunk_corpus(spark, folder, on_source)
     artifacts.write_chunks(made, f"{index}/chunks")
+    Bm25(artifacts.read_chunks(spark, f"{index}/chunks")).write(f"{index}/words")
     return embed_index(spark, index, call, model=model)
 
 
@@ -76,5 +77,5 @@ def load_store(spark: SparkSession, index: str) -> DataFrame:
 
 
 def load(spark: SparkSession, index: str) -> tuple[DataFrame, Bm25]:
-    """The store and the inverted list over the same chunks."""
-    return load_store(spark, index), Bm25(artifacts.read_chunks(spark, f"{index}/chunks"))
+    """The store and the words of the same chunks, as the index keeps them."""
+    return load_store(spark, index), Bm25.read(spark, f"{index}/words")
