@@ -435,13 +435,37 @@ def eval_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("strategy", "corpus_hash", F.round("overall_recall_5", 9).alias("overall_recall_5"), F.round("overall_recall_10", 9).alias("overall_recall_10"))
 
 
-@query()
+_RECALL = "len(list_filter(expected, lambda e: list_contains(coalesce({0}, [])[1:{1}], e))) / len(expected)"
+
+
+@query(f"""
+    with {_STORE}, {_SET}, {_COSINE_DOCS},
+    fused as (select qid, list(source order by rank) as found from ({_hybrid_sql("", "")}) group by qid),
+    pair as (select {_RECALL.format("found", 5)} as f5, {_RECALL.format("found", 10)} as f10, recall_5, recall_10 from eval_set join scores using (ord) left join fused on eval_set.ord = fused.qid)
+    select 'hybrid' as strategy, printf('%+.3f', avg(f5) - avg(recall_5)) as delta_5, printf('%+.3f', avg(f10) - avg(recall_10)) as delta_10 from pair
+""")
 def strategy_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How far fusion is from cosine alone."""
     results = [evaluate.overall(_evaluated(spark, sf_dir, h), n) for h, n in ((True, "hybrid"), (False, "cosine"))]
     return evaluate.delta(*results)
 
 
+@query(f"""
+    with {_FULLTEXT}, ranked as (select qid, split_part(file, '.', 1) as doc, row_number() over (partition by qid order by matches desc, file) as rank from hits where matches > 0),
+    best as (select qid, list(doc order by rank) as found from ranked where rank <= 10 group by qid),
+    e as (select item_id as ord, [item_id::varchar, (item_id * 7 % 1000)::varchar] as expected from benchmark)
+    select 'fulltext' as strategy, '' as corpus_hash, round(avg({_RECALL.format("found", 5)}), 9) as overall_recall_5, round(avg({_RECALL.format("found", 10)}), 9) as overall_recall_10 from e left join best on e.ord = best.qid
+""")
+def eval_fulltext(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the first sentence of an item finds the documents of two ids."""
+    i = F.col("item_id")
+    expected = F.array(i.cast("string"), (i * 7 % 1000).cast("string"))
+    asked = table(spark, sf_dir, "benchmark").select(i.alias("ord"), i.cast("string").alias("id"), F.regexp_extract("text", "^[^.]*", 0).alias("query"), expected.alias("expected"))
+    files = table(spark, sf_dir, "documents").select(F.concat(F.col("doc_id").cast("string"), F.lit(".txt")).alias("file"), "text")
+    found = evaluate.overall(evaluate.run(asked, evaluate.fulltext_docs(files)), "fulltext")
+    return found.select("strategy", "corpus_hash", F.round("overall_recall_5", 9).alias("overall_recall_5"), F.round("overall_recall_10", 9).alias("overall_recall_10"))
+
+
 @query("""
     with s as (select item_id as ord, 'q' || (item_id // 2) as id, case when item_id % 7 = 0 then ' ' else text end as query, case when item_id % 5 = 0 then [] else ['src0'] end as expected from benchmark),
     n as (select *, row_number() over (partition by id order by ord) as nth from s)
