@@ -56,10 +56,10 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = table(spark, sf_dir, "embeddings").select("vec_id", topk.scaled(F.col("embedding")).alias("v"))
-    file, grids = topk.approximations(vectors, key="vec_id", vector="v")
-    asked = file.where("id % 20 = 0").select("id", "v", "dim")
-    return topk.search(asked, file, grids, k=20).select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", topk.scaled(F.col("embedding")).alias("v"))
+    vectors = topk.vectors_of(rows, key="vec_id", vector="v")
+    file, grids = topk.approximations(vectors, k=20)
+    return topk.search(vectors.where("id % 20 = 0"), file, grids, k=20).select("query_id", "rank", F.col("id").alias("vec_id"), "score")
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
