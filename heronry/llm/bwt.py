@@ -4,8 +4,9 @@ All texts grow from their ends together: each round inserts, for every text
 that has one left, the suffix longer by one symbol. Where it goes follows from
 the transform so far: the symbol before a suffix, and how often that symbol
 comes before. The transform and the array of common prefixes are read and
-rewritten from front to back in each round, as two files of one byte a suffix;
-nothing is kept for single suffixes, and no suffix is ever compared.
+rewritten from front to back in each round, as two sequential files; nothing
+is kept for single suffixes, and no suffix is ever compared. Symbols are any
+positive numbers; 16 bits sort in two passes.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ def _least(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
 def transform(texts: np.ndarray, lengths: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """(transform, common prefixes) of the collection.
 
-    ``texts`` holds the symbols, of 1 to 255, of all texts, one after another. A 0 in
+    ``texts`` holds the symbols, of 1 on, of all texts, one after another. A 0 in
     the transform ends a text; ends of texts come first, in order, and differ
     from each other. Common prefixes are with the suffix before, and count up to ``depth``.
     """
@@ -41,7 +42,7 @@ def transform(texts: np.ndarray, lengths: np.ndarray, depth: int) -> tuple[np.nd
     by_length = np.argsort(-lengths, kind="stable").astype(np.int64)
     sorted_lengths = -lengths[by_length]
     last = ends[by_length]
-    bwt = np.where(lengths > 0, texts[np.maximum(ends - 1, 0)], 0).astype(np.uint8) if len(texts) else np.zeros(m, np.uint8)
+    bwt = np.where(lengths > 0, texts[np.maximum(ends - 1, 0)], 0).astype(texts.dtype) if len(texts) else np.zeros(m, texts.dtype)
     lcp = np.zeros(m, np.uint8)
     at = by_length.astype(np.int64)  # where the newest suffix of each text stands, longest texts first
     for j in range(1, int(lengths.max(initial=0)) + 1):
@@ -65,7 +66,7 @@ def transform(texts: np.ndarray, lengths: np.ndarray, depth: int) -> tuple[np.nd
         down = least[len(has) :]
         kept = np.ones(len(bwt) + active, bool)
         kept[place] = False
-        wider = np.empty(len(kept), np.uint8)
+        wider = np.empty(len(kept), bwt.dtype)
         wider[kept] = bwt
         before_symbol = last[:active] - j - 1
         wider[place] = np.where(lengths[by_length[:active]] > j, texts[np.maximum(before_symbol, 0)], 0)

@@ -9,19 +9,22 @@ The order is built by :mod:`bwt`, one symbol of each text a round, over many
 small collections that Spark deals out: each window of ``depth`` bytes belongs
 to its minimiser, the 20-byte gram in it with the least hash, so equal windows
 meet in the same collection wherever they stand. Windows in a row with one
-minimiser travel as one text (at most 64 windows each), so all texts
-are short, and rounds are few, however long a document is.
+minimiser travel as one text (at most 64 windows each), so all texts are
+short, and rounds are few, however long a document is. A symbol is WIDTH bytes:
+each text enters once for each place where its first symbol can start, so that
+every suffix is inserted, in a tenth of the rounds.
 
 Stages, all on one dealing of the documents to batches by id, which Spark
 shuffles once and reuses: (1) each batch lists its minimisers; those of one
 document only are told apart by bucket and need no further work; (2) each batch
-cuts the texts of the shared ones; equal texts in a batch go once, under the
-smallest id; (3) each bucket orders its texts and tells, for each window, the
-smallest id that has it; (4) each batch takes its removed ranges. Copies thus
-shrink before they are shuffled: however many documents hold a passage, a
-bucket gets it at most once from each batch. A minimiser that very many batches
-have, in whatever surroundings, is known from stage 1; all batches then send
-its windows each by its own hash, so no bucket gathers them.
+cuts the texts of the shared ones; a text that it has often travels once, with
+all its places; (3) each bucket orders the texts of all batches, equal ones
+side by side, tells for each window the smallest id that has it, and thus which
+places lose it; (4) each batch takes the ranges out. No text is compared with
+another but by that order. However many documents hold a passage, a bucket gets
+it at most once from each batch. A minimiser that very many batches have, in
+whatever surroundings, is known from stage 1; all batches then send its windows
+each by its own hash, so no bucket gathers them.
 
 Edge cases: a null text counts as empty; a document under ``depth`` bytes
 keeps all its bytes. A null id is neither smaller nor larger than another:
@@ -45,25 +48,34 @@ from .bwt import transform, walk
 
 GRAM = 20
 RUN = 64
-#: Symbols in a collection whose suffixes are ordered together, about: its files stay in a core's cache.
-COLLECTION = 200_000
+#: Bytes in a symbol: a round inserts one symbol for each text, at each of its WIDTH alignments.
+WIDTH = 10
+#: Symbols in a collection whose suffixes are ordered together, about: its files stay in a core's cache, and its symbols within 16 bits.
+COLLECTION = 60_000
 _PART = 1 << 20
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93)
 _LOW = np.uint64((1 << 40) - 1)
 
 
+def _eight(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on, as a number."""
+    n = len(data) - 7
+    out = np.empty(n, np.uint64)
+    for k in range(min(8, n)):
+        out[k::8] = data[k : k + 8 * ((n - k + 7) // 8)].view("<u8")
+    return out
+
+
 def _grams(data: np.ndarray) -> np.ndarray:
-    """A hash of each GRAM bytes in a row, from hashes of 4 and 16 bytes."""
-    h, size, four = data.astype(np.uint64) + np.uint64(1), 1, None
-    while size < 16:
-        n = len(data) - 2 * size + 1
-        a = h[:n]
-        h = (a * _M1 ^ (a >> np.uint64(29))) + h[size : size + n] * _M2
-        size *= 2
-        four = h if size == GRAM - 16 else four
+    """A hash of each GRAM bytes in a row."""
+    eight = _eight(data)
     n = len(data) - GRAM + 1
-    h = h[:n] ^ (h[:n] >> np.uint64(32))
-    h += four[16 : 16 + n]
+    h = eight[:n] * _M1
+    h ^= h >> np.uint64(31)
+    h += eight[8 : 8 + n]
+    h *= _M2
+    h ^= h >> np.uint64(32)
+    h += eight[GRAM - 8 : GRAM - 8 + n]
     h *= _M3
     h ^= h >> np.uint64(29)
     h *= _M1
@@ -222,7 +234,6 @@ def _share_keys(spread: int):
 def _cut_texts(depth: int, buckets: int):
     def task(rows: pa.Table, shared: pa.Table) -> pa.Table:
         out_bucket: list[int] = []
-        out_kind: list[int] = []
         out_raw: list[bytes] = []
         batch = (rows if rows.num_rows else shared)["__batch" if rows.num_rows else "batch"][0].as_py()
         if rows.num_rows and shared.num_rows:
@@ -234,19 +245,14 @@ def _cut_texts(depth: int, buckets: int):
             full = (bucket.astype(np.uint64) << np.uint64(40)) | (runs.key & _LOW)
             wide = np.isin(full, hot)
             chosen = np.flatnonzero(wide | np.isin(full, rest))
-            owners: dict[bytes, int] = {}
-            places: dict[bytes, list[tuple[int, int]]] = {}
-            direct: list[tuple[int, int, int]] = []
+            places: dict[bytes, list[tuple[int, int]]] = {}  # a text that a batch has often is sent, and ordered, once
             home: dict[bytes, int] = {}
 
             def take(piece: bytes, d: int, s: int, b: int) -> None:
-                owner = owners.get(piece)
-                if owner is None:  # documents come by ascending id, so the first has the smallest
-                    owners[piece], places[piece], home[piece] = d, [(d, s)], b
-                elif ids[owner] == ids[d]:
+                if piece in places:
                     places[piece].append((d, s))
                 else:
-                    direct.append((d, s, s + len(piece)))
+                    places[piece], home[piece] = [(d, s)], b
 
             for d, s, n, b, w in zip(*(x[chosen].tolist() for x in (runs.doc, runs.start, runs.count, bucket, wide)), strict=True):
                 if w:  # a minimiser that very many batches have: its windows go each by its own hash
@@ -255,54 +261,81 @@ def _cut_texts(depth: int, buckets: int):
                         take(piece, d, k, xxhash.xxh64_intdigest(piece) % buckets)
                 else:
                     take(texts[d][s : s + n + depth - 1], d, s, b)
-            pieces = list(owners)
             by_bucket: dict[int, list[bytes]] = {}
-            for piece in pieces:
+            for piece in places:
                 by_bucket.setdefault(home[piece], []).append(piece)
             for b, mine in by_bucket.items():
-                spots = [(k, d, s) for k, piece in enumerate(mine) for d, s in places[piece]]
-                columns = [np.array(x, t) for x, t in zip(zip(*spots, strict=True), ("<i4", "<i4", "<i4"), strict=True)]
+                spots = np.array([(d, s) for piece in mine for d, s in places[piece]], "<i4")
+                counts = np.array([len(places[piece]) for piece in mine], "<i4")
                 out_bucket.append(b)
-                out_kind.append(0)
-                out_raw.append(_bytes([np.frombuffer(zstandard.compress(b"".join(mine)), np.uint8), np.array([len(p) for p in mine], "u1"), ids[[owners[p] for p in mine]].astype("<i8"), *columns]))
-            if direct:
-                out_bucket.append(batch % buckets)
-                out_kind.append(1)
-                out_raw.append(_bytes([np.array(x, "<i4") for x in zip(*direct, strict=True)]))
-        return pa.table({"bucket": pa.array(out_bucket, pa.int32()), "batch": pa.array([batch] * len(out_raw), pa.int32()), "kind": pa.array(out_kind, pa.int32()), "raw": pa.array(out_raw, pa.binary())})
+                out_raw.append(_bytes([np.frombuffer(zstandard.compress(b"".join(mine)), np.uint8), np.array([len(p) for p in mine], "u1"), counts, ids[spots[:, 0]].astype("<i8"), spots[:, 0], spots[:, 1]]))
+        return pa.table({"bucket": pa.array(out_bucket, pa.int32()), "batch": pa.array([batch] * len(out_raw), pa.int32()), "raw": pa.array(out_raw, pa.binary())})
 
     return task
 
 
-def smallest_holder(texts: list[bytes], owners: np.ndarray, depth: int) -> list[np.ndarray]:
-    """For each window of each text, the smallest owner of a text that has it, by the order of all suffixes."""
+def _numbered(values: np.ndarray, bits: int) -> tuple[int, np.ndarray]:
+    """How many values there are, of ``bits`` bits, and each one's number among them, in order."""
+    room = max(len(values) - 1, 1).bit_length()
+    if bits + room > 64:
+        found, number = np.unique(values, return_inverse=True)
+        return len(found), number
+    packed = (values.astype(np.uint64) << np.uint64(room)) | np.arange(len(values), dtype=np.uint64)  # sorted with its place
+    packed.sort()
+    place = (packed & np.uint64((1 << room) - 1)).astype(np.int64)
+    packed >>= np.uint64(room)
+    number = np.empty(len(values), np.int64)
+    number[place] = np.cumsum(np.append(False, packed[1:] != packed[:-1])) if len(values) else 0
+    return int(number[place[-1]]) + 1 if len(values) else 0, number
+
+
+def _symbols(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Symbols of WIDTH bytes: of each text, WIDTH rows of them, one for each place where the first symbol can start.
+
+    Gives the symbols, as numbers from 1 on; and for each row its length, its text and its first byte. Every byte starts
+    one symbol, so each suffix of ``depth`` bytes or more stands in one row. Rows too short for ``depth`` are left out.
+    """
     lengths = np.array([len(t) for t in texts], np.int64)
-    symbols = np.frombuffer(b"".join(texts), np.uint8)
-    if not symbols.all() or symbols.max(initial=0) == 255:  # neither byte is in valid UTF-8 but for NUL, which gives way to 255
-        symbols = np.where(symbols == 0, 255, symbols).astype(np.uint8)
-    bwt, lcp = transform(symbols, lengths, depth)
+    first = np.cumsum(lengths) - lengths
+    half = _eight(np.frombuffer(b"".join(texts) + bytes(WIDTH), np.uint8)) & np.uint64((1 << 40) - 1)
+    halves, number = _numbered(half, 40)
+    skip = np.arange(WIDTH)
+    text = np.repeat(np.arange(len(texts)), WIDTH)
+    start = np.tile(skip, len(texts))
+    rows = lengths[text] - start >= depth
+    text, start = text[rows], start[rows]
+    size = (lengths[text] - start) // WIDTH
+    place = np.repeat(first[text] + start, size) + WIDTH * (np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size))
+    found, code = _numbered(number[place] * halves + number[place + WIDTH // 2], (halves * halves).bit_length())
+    return (code + 1).astype(np.uint16 if found < (1 << 16) - 1 else np.uint32), size, text, start
+
+
+def smallest_holder(texts: list[bytes], owners: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each window of each text, one after another, the smallest owner of a text that has it, by the order of all suffixes; and each text's first window.
+
+    ``depth`` is a multiple of WIDTH, and no text is shorter.
+    """
+    symbols, sizes, text, start = _symbols(texts, depth)
+    deep = depth // WIDTH
+    bwt, lcp = transform(symbols, sizes, deep)
     owner = np.full(len(bwt), np.iinfo(np.int64).max)
     spots = []
-    for j, (which, at) in enumerate(walk(bwt, lengths), 1):
-        if j >= depth:
-            owner[at] = owners[which]
+    for j, (which, at) in enumerate(walk(bwt, sizes), 1):
+        if j >= deep:
+            owner[at] = owners[text[which]]
             spots.append((which, at))
-    group = np.flatnonzero(lcp < depth)
+    group = np.flatnonzero(lcp < deep)
     smallest = np.repeat(np.minimum.reduceat(owner, group), np.diff(np.append(group, len(bwt))))
-    out = [np.empty(max(int(n) - depth + 1, 0), np.int64) for n in lengths]
-    flat_at = np.cumsum([len(x) for x in out]) - [len(x) for x in out]
-    flat = np.empty(int(sum(len(x) for x in out)), np.int64)
-    for j, (which, at) in enumerate(spots):
-        flat[flat_at[which] + lengths[which] - depth - j] = smallest[at]
-    return np.split(flat, flat_at[1:])
-
+    windows = np.array([len(t) - depth + 1 for t in texts], np.int64)
+    first = np.cumsum(windows) - windows
+    flat = np.empty(int(windows.sum()), np.int64)
+    for j, (which, at) in enumerate(spots, deep):
+        flat[first[text[which]] + start[which] + WIDTH * (sizes[which] - j)] = smallest[at]
+    return flat, first
 
-def _holders(texts: list[bytes], owners: np.ndarray, depth: int) -> list[np.ndarray]:
-    """:func:`smallest_holder` of a bucket, by collections of texts with the same minimisers.
 
-    Equal texts came together before; one that has its minimiser for itself
-    has no window in another.
-    """
+def _holders(texts: list[bytes], owners: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`smallest_holder` of a bucket, by collections of texts with the same minimisers."""
     lengths = np.array([len(t) for t in texts], np.int64)
     first = np.cumsum(lengths) - lengths
     grams = np.empty(int(lengths.sum()), np.uint64)
@@ -311,67 +344,52 @@ def _holders(texts: list[bytes], owners: np.ndarray, depth: int) -> list[np.ndar
     window = np.stack([first, first + depth - GRAM + 1], axis=1).reshape(-1)
     key = np.minimum.reduceat(np.append(grams, np.uint64(0)), window)[::2]
     order = np.argsort(key, kind="stable")
-    edge = np.flatnonzero(np.append(True, key[order][1:] != key[order][:-1]))
-    size = np.diff(np.append(edge, len(order)))
-    least: list[np.ndarray | None] = [None] * len(texts)
-    for i in order[edge[size == 1]].tolist():
-        least[i] = np.full(len(texts[i]) - depth + 1, owners[i])
-    several = order[np.repeat(size > 1, size)]
-    ends = np.cumsum(size[size > 1])
-    symbols = np.cumsum(lengths[several])
-    at = 0
-    while at < len(several):
-        reach = np.searchsorted(symbols, (symbols[at - 1] if at else 0) + COLLECTION)
-        end = int(ends[min(np.searchsorted(ends, reach), len(ends) - 1)])  # whole groups
-        mine = several[at:end]
-        for i, found in zip(mine.tolist(), smallest_holder([texts[i] for i in mine], owners[mine], depth), strict=True):
-            least[i] = found
-        at = end
-    return least
+    ends = np.append(np.flatnonzero(key[order][1:] != key[order][:-1]) + 1, len(order))
+    symbols = np.cumsum(lengths[order])
+    windows = lengths - depth + 1
+    at = np.cumsum(windows) - windows
+    least = np.empty(int(windows.sum()), np.int64)
+    done = 0
+    while done < len(order):
+        reach = np.searchsorted(symbols, (symbols[done - 1] if done else 0) + COLLECTION)
+        end = int(ends[min(np.searchsorted(ends, max(reach, done + 1)), len(ends) - 1)])  # whole groups
+        mine = order[done:end]
+        found, _ = smallest_holder([texts[i] for i in mine], owners[mine], depth)
+        n = windows[mine]
+        least[np.repeat(at[mine] - (np.cumsum(n) - n), n) + np.arange(len(found))] = found
+        done = end
+    return least, at
 
 
 def _order_texts(depth: int):
     def task(rows: pa.Table) -> pa.Table:
+        texts: list[bytes] = []
+        owners, entries = [], []
+        for batch, raw in zip(rows["batch"].to_pylist(), rows["raw"], strict=True):
+            data, sizes, counts, ids, doc, start = _arrays(raw.as_py(), "u1", "u1", "<i4", "<i8", "<i4", "<i4")
+            whole, at, base = zstandard.decompress(data.tobytes()), 0, len(texts)
+            for n in sizes.tolist():
+                texts.append(whole[at : at + n])
+                at += n
+            owners.append(np.minimum.reduceat(ids, np.cumsum(counts) - counts))
+            entries.append((batch, np.repeat(np.arange(base, len(texts)), counts), ids, doc, start))
+        least, first = _holders(texts, np.concatenate(owners), depth)
+        windows = np.array([len(t) - depth + 1 for t in texts], np.int64)
         out_batch: list[int] = []
         out_raw: list[bytes] = []
-        known: dict[bytes, int] = {}
-        owners: list[int] = []
-        entries = []
-        for batch, kind, raw in zip(rows["batch"].to_pylist(), rows["kind"].to_pylist(), rows["raw"], strict=True):
-            if kind:
+        for batch, number, ids, doc, start in entries:
+            n = windows[number]
+            entry = np.repeat(np.arange(len(number)), n)
+            offset = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+            gone = least[first[number][entry] + offset] < ids[entry]
+            edge = np.diff(np.concatenate([[0], gone.view(np.int8), [0]]))
+            inner = np.flatnonzero(np.append(False, entry[1:] != entry[:-1]) & np.append(False, gone[1:] & gone[:-1]))
+            begins, ends = np.sort(np.concatenate([np.flatnonzero(edge == 1), inner])), np.sort(np.concatenate([np.flatnonzero(edge == -1), inner]))
+            if len(begins):
+                e = entry[begins]
+                low = start[e] + offset[begins]
                 out_batch.append(batch)
-                out_raw.append(raw.as_py())
-                continue
-            data, sizes, ids, which, doc, start = _arrays(raw.as_py(), "u1", "u1", "<i8", "<i4", "<i4", "<i4")
-            whole, at, numbers = zstandard.decompress(data.tobytes()), 0, []
-            for n, i in zip(sizes.tolist(), ids.tolist(), strict=True):
-                piece = whole[at : at + n]
-                at += n
-                number = known.setdefault(piece, len(owners))
-                if number == len(owners):
-                    owners.append(i)
-                elif i < owners[number]:
-                    owners[number] = i
-                numbers.append(number)
-            entries.append((batch, np.array(numbers)[which], ids[which], doc, start))
-        if entries:
-            least = _holders(list(known), np.array(owners, np.int64), depth)
-            sizes = np.array([len(x) for x in least], np.int64)
-            first = np.cumsum(sizes) - sizes
-            flat = np.concatenate(least)
-            for batch, number, ids, doc, start in entries:
-                n = sizes[number]
-                entry = np.repeat(np.arange(len(number)), n)
-                offset = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-                gone = flat[first[number][entry] + offset] < ids[entry]
-                edge = np.diff(np.concatenate([[0], gone.view(np.int8), [0]]))
-                inner = np.flatnonzero(np.append(False, entry[1:] != entry[:-1]) & np.append(False, gone[1:] & gone[:-1])) if len(entry) else np.empty(0, np.int64)
-                begins, ends = np.sort(np.concatenate([np.flatnonzero(edge == 1), inner])), np.sort(np.concatenate([np.flatnonzero(edge == -1), inner]))
-                if len(begins):
-                    e = entry[begins]
-                    low = start[e] + offset[begins]
-                    out_batch.append(batch)
-                    out_raw.append(_bytes([doc[e].astype("<i4"), low.astype("<i4"), (low + (ends - begins) + depth - 1).astype("<i4")]))
+                out_raw.append(_bytes([doc[e].astype("<i4"), low.astype("<i4"), (low + (ends - begins) + depth - 1).astype("<i4")]))
         return pa.table({"batch": pa.array(out_batch, pa.int32()), "raw": pa.array(out_raw, pa.binary())})
 
     return task
@@ -410,11 +428,12 @@ def _take_out(depth: int, kind: pa.DataType):
     return task
 
 
-def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text", depth: int = 50, batch_bytes: int = 4 << 20, most_batches: int = 100_000, spread: int = 512) -> DataFrame:
+def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text", depth: int = 50, batch_bytes: int = 4 << 20, most_partitions: int = 100_000, spread: int = 512) -> DataFrame:
     """The columns of ``docs`` but ``text``, and n_bytes, n_removed, n_spans and kept (binary: the bytes that remain); columns of these names are replaced.
 
-    Batches hold about ``batch_bytes``, more where there would be over
-    ``most_batches``. The windows of a minimiser that over ``spread`` batches
+    Batches hold about ``batch_bytes`` whatever the size of the table; a task
+    takes several, one by one, where there are over ``most_partitions``.
+    ``depth`` is a multiple of WIDTH. The windows of a minimiser that over ``spread`` batches
     have are dealt to all buckets.
     """
     added = ("n_bytes", "n_removed", "n_spans", "kept")
@@ -422,13 +441,16 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     raw = F.coalesce(F.col(text), F.lit("")).cast("binary")
     rows = docs.select(keep, F.coalesce(F.col(key), F.lit(0)).cast("long").alias("__id"), raw.alias("__bytes"), F.col(key).isNull().alias("__null"))
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    n = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(most_batches, -(-total // batch_bytes)))
+    if depth % WIDTH or depth < GRAM:
+        raise ValueError(f"depth must be a multiple of {WIDTH}, {GRAM} at least")
+    n = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // batch_bytes))
+    tasks = min(n, most_partitions)
     identified = rows.where("not __null").drop("__null").withColumn("__tie", F.xxhash64("__bytes"))
-    dealt = identified.withColumn("__batch", F.pmod(F.xxhash64("__id", "__tie"), F.lit(n)).cast("int")).repartition(n, "__batch")
+    dealt = identified.withColumn("__batch", F.pmod(F.xxhash64("__id", "__tie"), F.lit(n)).cast("int")).repartition(tasks, "__batch")
     lists = dealt.groupBy("__batch").applyInArrow(_list_keys(depth, n), "bucket int, batch int, raw binary")
-    shared = lists.repartition(n, "bucket").groupBy("bucket").applyInArrow(_share_keys(spread), "batch int, bucket int, raw binary")
-    cut = dealt.groupBy("__batch").cogroup(shared.groupBy("batch")).applyInArrow(_cut_texts(depth, n), "bucket int, batch int, kind int, raw binary")
-    ranges = cut.repartition(n, "bucket").groupBy("bucket").applyInArrow(_order_texts(depth), "batch int, raw binary")
+    shared = lists.repartition(tasks, "bucket").groupBy("bucket").applyInArrow(_share_keys(spread), "batch int, bucket int, raw binary")
+    cut = dealt.groupBy("__batch").cogroup(shared.groupBy("batch")).applyInArrow(_cut_texts(depth, n), "bucket int, batch int, raw binary")
+    ranges = cut.repartition(tasks, "bucket").groupBy("bucket").applyInArrow(_order_texts(depth), "batch int, raw binary")
     zero = F.lit(0).cast("long")
     whole = rows.where("__null").select("keep", F.octet_length("__bytes").cast("long").alias("n_bytes"), zero.alias("n_removed"), zero.alias("n_spans"), F.col("__bytes").alias("kept"))
     done = dealt.groupBy("__batch").cogroup(ranges.groupBy("batch")).applyInArrow(_take_out(depth, _arrow(dealt, "keep")), whole.schema)

@@ -481,6 +481,21 @@ def test_transform_and_prefixes_equal_sorted_suffixes():
         assert list(common) == [0] + [shared(a[0], b[0]) for a, b in zip(suffixes, suffixes[1:], strict=False)]
 
 
+def test_smallest_holders_of_windows(spark):
+    r = np.random.default_rng(3)
+    texts = [bytes(r.integers(97, 100, int(n)).astype(np.uint8)) for n in r.integers(50, 113, 200)] + [b"x" * 60, b"x" * 80]
+    owners = r.permutation(len(texts))
+    least, first = suffixdedup.smallest_holder(texts, owners, 50)
+    holders = defaultdict(lambda: len(texts))
+    for t, o in zip(texts, owners, strict=True):
+        for k in range(len(t) - 49):
+            holders[t[k : k + 50]] = min(holders[t[k : k + 50]], int(o))
+    for i, t in enumerate(texts):
+        assert least[first[i] : first[i] + len(t) - 49].tolist() == [holders[t[k : k + 50]] for k in range(len(t) - 49)]
+    docs = spark.createDataFrame([(i, "a passage of more than fifty bytes that all of these documents hold, word for word") for i in range(40)], "doc_id long, text string")
+    assert suffixdedup.remove_repeats(docs, batch_bytes=1).where("n_removed > 0").count() == 39
+
+
 # 5
 
 
