@@ -10,6 +10,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -723,6 +724,33 @@ def test_quality(spark, tmp_path):
     assert quality.learn(docs, labels.limit(0)).score("x", None, None) == 0.5
 
 
+def test_confidence_is_measured_on_labelled_rows():
+    odds = np.array([5.0, 4, 3, 2, 1, -1, -2, -3])
+    y = np.array([1, 1, 1, 0, 1, 0, 0, 0])
+    assert quality.confident(odds, y, 0.9, 2) == (3.0, -1.0)
+    assert quality.confident(odds, y, 0.75, 2) == (1.0, 2.0)
+    assert quality.confident(odds, 1 - y, 0.9, 2) == (math.inf, -math.inf)
+
+
+def test_a_round_takes_the_confident_rows_of_all(spark):
+    r = random.Random(2)
+    rows = [(i, r.choice(["good words here", "BAD $$$ THINGS"]) + f" {i}", r.choice(["en", None]), f"s{i % 5}", i) for i in range(300)]
+    rows += [rows[250]] * 20
+    names = ["text", "lang", "source", "size"]
+    pool = spark.createDataFrame(rows, "h long, text string, lang string, source string, size long").repartition(7)
+    found = quality.features(pa.array([x[1] for x in rows]), *([x[k] for x in rows] for k in (2, 3, 4)))
+    y = np.array(["good" in x[1] for x in rows], int)
+    models = [quality.fit(x, y) for x in found]
+    limits = [(0.5, -0.5), (0.2, -0.1)]
+    want = set()
+    for k, (m, x, (good, bad)) in enumerate(zip(models, found, limits, strict=True)):
+        odds = m.odds(x)
+        want |= {(h, k, 1) for h in sorted({rows[i][0] for i in np.flatnonzero(odds >= good)})[:30]}
+        want |= {(h, k, 0) for h in sorted({rows[i][0] for i in np.flatnonzero(odds <= bad)})[:20]}
+    got = [(x["h"], x["view"], x["y"]) for x in quality._confident_rows(pool, models, limits, [20, 30], names).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
 def test_quality_query_keeps_every_row(spark, sf):
     got = by_id(queries.op9_quality(spark, sf))
     assert all(0 <= r["score"] <= 1 for rows in got.values() for r in rows)
