@@ -49,17 +49,32 @@ def grams(word: str, n: int) -> Iterable[str]:
     return [padded[i : i + n] for i in range(len(padded) - n + 1)]
 
 
+@dataclass
+class Costs:
+    """Rows of costs, a column per language, of which only those under PENALTY are held: row i has first[i]..first[i + 1]."""
+
+    first: np.ndarray
+    language: np.ndarray
+    under: np.ndarray  # cost less PENALTY
+
+    @classmethod
+    def of(cls, rows: np.ndarray, languages: np.ndarray, costs: np.ndarray, n: int) -> Costs:
+        """``n`` rows, from entries in the order of their rows."""
+        return cls(np.searchsorted(rows, np.arange(n + 1)), languages, (np.minimum(costs, PENALTY) - PENALTY).astype(np.float32))
+
+
 @dataclass
 class LanguageModel:
-    """tables[0] has words, tables[n] n-grams: text -> row of costs[n], with a column per language."""
+    """tables[0] has words, tables[n] n-grams: text -> row of costs[n]."""
 
     languages: list[str]
     tables: list[dict[str, int]]
-    costs: list[np.ndarray]
+    costs: list[Costs]
 
     def word_costs(self, words: list[str]) -> np.ndarray:
         """A row for each word: its own costs, or the mean over its known grams of the longest length with any."""
-        out = np.full((len(words), len(self.languages)), PENALTY, np.float32)
+        width = len(self.languages)
+        under = np.zeros(len(words) * width)
         rows, sizes, places = ([[] for _ in range(LONGEST + 1)] for _ in range(3))
         for i, word in enumerate(words):
             if (row := self.tables[0].get(word)) is not None:
@@ -75,12 +90,14 @@ class LanguageModel:
                     sizes[n].append(len(found))
                     places[n].append(i)
                     break
-        for n, place in enumerate(places):
+        for held, row, size, place in zip(self.costs, rows, sizes, places, strict=True):
             if place:
-                size = np.array(sizes[n])
-                sums = np.add.reduceat(self.costs[n][rows[n]], np.cumsum(size) - size, axis=0)
-                out[place] = sums / size[:, None].astype(np.float32)
-        return out
+                row, size = np.array(row), np.array(size)
+                many = held.first[row + 1] - held.first[row]
+                entry = np.repeat(held.first[row] - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
+                cell = np.repeat(np.repeat(np.array(place), size) * width, many) + held.language[entry]
+                under += np.bincount(cell, held.under[entry] / np.repeat(np.repeat(size, size), many), len(under))
+        return (under + PENALTY).reshape(len(words), width)
 
     def word_cost(self, word: str) -> np.ndarray:
         return self.word_costs([word])[0]
@@ -90,17 +107,19 @@ class Scorer:
     """Scores texts, keeping the costs of recent words."""
 
     def __init__(self, model: LanguageModel, keep: int = 150_000):
-        self.model, self.keep = model, keep
+        width = max(len(model.languages), 1)
+        self.model, self.keep = model, max(min(keep, (1 << 24) // width), 1000)  # 64 MB at most, whatever the number of languages
         self.known: dict[str, int] = {}
-        self.costs = np.empty((keep, len(model.languages)), np.float32)
+        self.costs = np.empty((self.keep, len(model.languages)), np.float32)
 
     def __call__(self, text: str | None) -> tuple[str, float]:
         found = words(text) if text else []
         if not found or not self.model.languages:
             return UNDETERMINED, 0.0
         total = np.zeros(len(self.model.languages))
-        for start in range(0, len(found), 50_000):
-            total += self._sum(found[start : start + 50_000])
+        step = min(50_000, self.keep)
+        for start in range(0, len(found), step):
+            total += self._sum(found[start : start + step])
         mean = total / len(found)
         best = int(mean.argmin())
         weight = np.exp((mean[best] - mean) * np.log(10) * np.sqrt(len(found)))
@@ -135,23 +154,26 @@ def learn(
     key: str = "doc_id",
     rows_per_language: int = 4000,
     features_per_table: int = 15_000,
-    max_languages: int = 512,
+    entries_per_table: int = 1_000_000,
 ) -> LanguageModel:
     """Fit on a bounded sample of the rows of ``docs`` with a language.
 
     The bounds are parameters: about ``rows_per_language`` rows of each
     language, chosen by a hash of ``key``; of the words and of the n-grams of
-    each length, the ``features_per_table`` most frequent of each language;
-    the ``max_languages`` most frequent languages. Only the model, of a size
-    that these bound, reaches the driver.
+    each length, the ``features_per_table`` most frequent of each language,
+    fewer where the languages together would have over ``entries_per_table``.
+    Every language is learnt. Only the model, at most six tables of that many
+    entries, reaches the driver.
     """
     rows = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.xxhash64(F.col(key)).alias("h")).where("text is not null and lang is not null")
-    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
+    counts = written(rows.groupBy("lang").agg(F.count("*").alias("rows")), "languages")
+    sizes = counts.orderBy(F.desc("rows"), "lang").collect()  # a row a language
     if not sizes:
-        return LanguageModel([], [{}] * (LONGEST + 1), [np.empty((0, 0), np.float32)] * (LONGEST + 1))
+        nothing = Costs.of(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0), 0)
+        return LanguageModel([], [{}] * (LONGEST + 1), [nothing] * (LONGEST + 1))
     languages = [r["lang"] for r in sizes]
-    share = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], min(1.0, rows_per_language / r["count"]))])
-    sample = rows.where(F.pmod("h", F.lit(1 << 30)) < share[F.col("lang")] * float(1 << 30)).select("text", "lang")
+    chance = F.pmod("h", F.lit(1 << 30)) / float(1 << 30)
+    sample = rows.join(F.broadcast(counts), "lang").where(chance < rows_per_language / F.col("rows")).select("text", "lang")
 
     def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: Counter[tuple[str, str]] = Counter()
@@ -182,17 +204,16 @@ def learn(
     counted = written(counted_words.withColumn("n", F.lit(0)).unionByName(counted_grams.withColumn("n", F.length("gram"))), "grams")
     totals = {(r["lang"], r["n"]): r["t"] for r in counted.groupBy("lang", "n").agg(F.sum("c").alias("t")).collect()}
     most = Window.partitionBy("lang", "n").orderBy(F.desc("c"), "gram")
-    kept = counted.withColumn("r", F.row_number().over(most)).where(F.col("r") <= features_per_table).select("lang", "n", "gram", "c").toPandas()
+    limit = min(features_per_table, max(entries_per_table // len(languages), 1))
+    kept = counted.withColumn("r", F.row_number().over(most)).where(F.col("r") <= limit).select("lang", "n", "gram", "c").toPandas()
     place = {name: i for i, name in enumerate(languages)}
     tables, costs = [], []
     for n in range(LONGEST + 1):
-        part = kept[kept.n == n]
+        part = kept[kept.n == n].sort_values(["gram", "lang"])
         table = {g: i for i, g in enumerate(sorted(set(part.gram)))}
-        cost = np.full((len(table), len(languages)), PENALTY, np.float32)
-        for name, g, c in zip(part.lang, part.gram, part.c, strict=True):
-            cost[table[g], place[name]] = min(PENALTY, -np.log10(c / totals[name, n]))
+        total = np.array([totals[name, n] for name in part.lang], np.float64)
+        costs.append(Costs.of(part.gram.map(table).to_numpy(np.int64), part.lang.map(place).to_numpy(np.int64), -np.log10(part.c.to_numpy(np.float64) / total), len(table)))
         tables.append(table)
-        costs.append(cost)
     return LanguageModel(languages, tables, costs)
 
 
