@@ -25,6 +25,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .rows import slices
+from .scratch import written
 
 CLASSES = 8
 HASHED = 64
@@ -252,10 +254,14 @@ def _confident_rows(pool: DataFrame, models: list[Logistic], limits: list[tuple[
             column = lambda i: pa.array(np.repeat([o[i] for o in out], [len(o[0]) for o in out]), pa.int32())  # noqa: B023, E731
             yield pa.record_batch([pa.array(np.concatenate([o[0] for o in out])), column(1), column(2)], names=["h", "view", "y"])
 
-    said = pool.mapInArrow(task, "h long, view int, y int")
+    said = written(pool.mapInArrow(task, "h long, view int, y int"), "said")
+    # hashes are even, so those under this share hold the least ones wanted, and few others
+    shares = [(r["view"], r["y"], (wanted[r["y"]] + 10 * wanted[r["y"]] ** 0.5 + 50) / r["count"]) for r in said.groupBy("view", "y").count().collect()]  # four rows at most
+    low = reduce(lambda rest, s: F.when((F.col("view") == s[0]) & (F.col("y") == s[1]), s[2]).otherwise(rest), shares, F.lit(0.0))
     first = Window.partitionBy("view", "y").orderBy("h")
     most = F.when(F.col("y") == 1, wanted[1]).otherwise(wanted[0])
-    chosen = said.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= max(wanted)).where(F.col("nth") <= most).drop("nth").distinct()
+    few = said.where(F.col("h") / float(1 << 64) + 0.5 <= low)
+    chosen = few.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= most).drop("nth").distinct()
     texts = pool.join(F.broadcast(chosen.select("h").distinct()), "h", "left_semi").groupBy("h").agg(*[F.first(c).alias(c) for c in names])  # at most 4 * max(wanted) hashes
     return texts.join(F.broadcast(chosen), "h")
 
