@@ -2,9 +2,10 @@
 
 Every round hooks the larger neighbours of each node to its smallest one, then
 the smaller ones; the number of rounds grows with the logarithm of the longest
-path. A node's minimum is an aggregate that Spark combines before the shuffle,
-and the links are joined back to it, so a node with very many links never
-gathers in one task. Each round is written to the shared folder.
+path. A node's minimum is an aggregate that Spark combines before the shuffle;
+the links are joined back to it by that node, and a node with very many links
+is split there by Spark's handling of skewed joins (``spark.sql.adaptive``).
+Each round is written to the shared folder; the last one changes nothing.
 """
 
 from __future__ import annotations
@@ -23,17 +24,15 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """
     edges = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
     edges = written(edges.distinct(), "links")
-    before = None
     while True:
-        mark = edges.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))")).first()
-        if mark == before:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
-        before = mark
         ends = edges.select(F.col("v").alias("c"), "u").unionByName(edges.select(F.col("u").alias("c"), F.col("v").alias("u")))
         least = ends.groupBy("c").agg(F.min("u").alias("m")).select("c", F.least("c", "m").alias("m"))
         large = edges.join(least, edges["v"] == least["c"]).select("u", F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(low.select("u", F.col("m").alias("v")))
         after = written(small.distinct(), "links")
+        same = after.count() == edges.count() and after.join(edges, ["u", "v"], "left_anti").isEmpty()
         discard(edges)
         edges = after
+        if same:
+            return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

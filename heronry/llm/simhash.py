@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 from .components import components
 from .rows import slices
 from .scratch import written
+from .skew import joined
 
 SEED = 42
 #: Minima in a band.
@@ -119,100 +120,12 @@ def exact_links(prints: DataFrame, *, fp: str = "fp", distance: int = 2, match:
 
 
 def classes(prints: DataFrame, links: DataFrame, *, key: str, fp: str = "fp") -> DataFrame:
-    """The columns of ``prints`` and ``component_id``: the smallest ``key`` of all rows whose fingerprints are linked."""
+    """The columns of ``prints``, a written table, and ``component_id``: the smallest ``key`` of all rows whose fingerprints are linked."""
     first = prints.groupBy(F.col(fp).alias("node")).agg(F.min(key).alias("least"))
-    rooted = first.join(components(links), "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
+    rooted = written(first.join(components(links), "node", "left").select("node", "least", F.coalesce("root", "node").alias("root")), "rooted")
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(least, "root").select(F.col("node").alias(fp), "component_id")
-    return prints.join(named, fp).select(*prints.columns, "component_id")
-
-
-def _group_links(node: np.ndarray, fp: np.ndarray, group: np.ndarray, distance: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Links that connect, within each run of one group, all rows that a chain of close rows joins."""
-    a, b = [], []
-    edge = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
-    size = np.diff(np.append(edge, len(group)))
-    few = np.repeat(size <= 32, size)
-    rows = np.flatnonzero(few)
-    n, g, f = node[rows], group[rows], fp[rows]
-    for lag in range(1, 32):  # small groups: each row with the rows after it
-        near = np.flatnonzero(g[lag:] == g[:-lag]) if len(g) > lag else np.empty(0, np.int64)
-        if not len(near):
-            break
-        near = near[np.bitwise_count(f[near] ^ f[near + lag]).sum(axis=1, dtype=np.int64) <= distance]
-        a.append(n[near])
-        b.append(n[near + lag])
-    for start, count in zip(edge[size > 32].tolist(), size[size > 32].tolist(), strict=True):
-        rest = np.arange(start, start + count)
-        while len(rest):  # large ones: from row to row, each held against those not yet reached
-            queue, rest = [rest[0]], rest[1:]
-            while queue and len(rest):
-                here = queue.pop()
-                close = np.bitwise_count(fp[rest] ^ fp[here]).sum(axis=1, dtype=np.int64) <= distance
-                reached = rest[close]
-                if len(reached):
-                    a.append(np.full(len(reached), node[here]))
-                    b.append(node[reached])
-                    queue += reached.tolist()
-                    rest = rest[~close]
-    return a, b
-
-
-def _stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Links that join the same rows: from the smallest of each component to each other one."""
-    ids, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
-    x, y = ends[: len(a)], ends[len(a) :]
-    label = np.arange(len(ids))
-    while True:
-        least = np.minimum(label[x], label[y])
-        after = label.copy()
-        np.minimum.at(after, x, least)
-        np.minimum.at(after, y, least)
-        np.minimum.at(after, label[x], least)
-        np.minimum.at(after, label[y], least)
-        after = after[after]
-        if (after == label).all():
-            break
-        label = after
-    others = np.flatnonzero(label != np.arange(len(ids)))
-    return ids[label[others]], ids[others]
-
-
-def wide_links(prints: DataFrame, *, lanes: int, width: int, distance: int, most: int = 1 << 16) -> DataFrame:
-    """(a, b) links between rows of distinct wide fingerprints that share a block and differ in at most ``distance`` bits.
-
-    ``prints`` has ``node`` (long) and ``fp`` (array<long> of ``lanes``). Rows meet
-    by block once, sorted; links that connect a block's rows are emitted, not
-    its pairs. A block of over ``most`` rows is dealt to parts of about that
-    many, and each part meets every other one as a group of its own.
-    """
-    per = 64 // width
-    blocks = F.array(*[F.shiftrightunsigned(F.col("fp")[i // per], (i % per) * width).bitwiseAND(F.lit((1 << width) - 1)) for i in range(lanes * per)])
-    keyed = prints.select("node", "fp", F.posexplode(blocks).alias("k", "key")).select("node", "fp", (F.col("k").cast("long") * (1 << width) + F.col("key")).alias("block"))
-    crowds = keyed.groupBy("block").agg(F.ceil(F.count("*") / most).cast("int").alias("parts")).where("parts > 1")
-    dealt = keyed.join(F.broadcast(crowds), "block", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("node"), "parts")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    dealt = dealt.select("node", "fp", F.xxhash64("block", F.least("part", "other"), F.greatest("part", "other")).alias("group"))
-    n = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        node, group, fp = np.empty(0, np.int64), np.empty(0, np.int64), np.empty((0, lanes), np.uint64)
-
-        def found(upto: int) -> pa.RecordBatch:
-            links = _group_links(node[:upto], fp[:upto], group[:upto], distance)
-            return pa.record_batch([pa.array(x) for x in _stars(*(np.concatenate([np.empty(0, np.int64), *x]) for x in links))], names=["a", "b"])
-
-        for batch in batches:
-            node = np.append(node, batch.column("node").to_numpy())
-            group = np.append(group, batch.column("group").to_numpy())
-            fp = np.vstack([fp, batch.column("fp").flatten().to_numpy().view(np.uint64).reshape(-1, lanes)])
-            open_ = int(np.searchsorted(group, group[-1])) if len(group) else 0
-            if len(node) >= most and open_:
-                yield found(open_)
-                node, group, fp = node[open_:], group[open_:], fp[open_:]
-        yield found(len(node))
-
-    return dealt.repartition(n, "group").sortWithinPartitions("group").mapInArrow(task, "a long, b long")
+    named = joined(rooted, least, "root").select(F.col("node").alias(fp), "component_id")
+    return joined(prints, named, fp).select(*prints.columns, "component_id")
 
 
 def band_count(similarity: float, recall: float, rows: int = BAND) -> int:

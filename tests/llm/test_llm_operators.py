@@ -15,7 +15,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from heronry.llm import bpe_automaton, bwt, components, docsketch, langid, packing, pii, quality, queries, secrets, simhash, suffixdedup, topk
+from heronry.llm import bpe_automaton, bwt, components, docsketch, langid, packing, pii, quality, queries, secrets, simhash, skew, suffixdedup, topk
 from heronry.llm.queries import vocabulary
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -146,7 +146,7 @@ def test_languages(spark, sf):
 
 
 def test_unseen_words_fall_back_to_shorter_grams():
-    costs = lambda *v: np.array([v], np.float32)
+    costs = lambda *v: langid.Costs.of(np.zeros(2, np.int64), np.arange(2), np.array(v), 1)
     tables = [{"known": 0}, {"z": 0}, {}, {"abc": 0}, {}, {}]
     model = langid.LanguageModel(["x", "y"], tables, [costs(1, 7), costs(7, 2), costs(0, 0), costs(3, 5), costs(0, 0), costs(0, 0)])
     assert list(model.word_cost("known")) == [1, 7]
@@ -155,6 +155,32 @@ def test_unseen_words_fall_back_to_shorter_grams():
     assert list(model.word_cost("qq")) == [langid.PENALTY] * 2
 
 
+def test_languages_equal_a_plain_scorer(spark, sf):
+    """Whole texts against sums over dictionaries, word by word; more languages than any table is wide."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").withColumn("lang", F.when(F.col("doc_id") % 7 == 0, F.concat(F.lit("l"), F.col("doc_id"))).otherwise(F.col("lang")))
+    model = langid.learn(docs, features_per_table=40)
+    cost = [{g: {int(t.language[e]): float(t.under[e]) for e in range(t.first[i], t.first[i + 1])} for g, i in table.items()} for table, t in zip(model.tables, model.costs, strict=True)]
+    n = len(model.languages)
+
+    def plain(word):
+        if word in cost[0]:
+            return [cost[0][word].get(j, 0.0) for j in range(n)]
+        for size in range(5, 0, -1):
+            padded = f" {word} "
+            known = [cost[size][g] for g in (padded[i : i + size] for i in range(len(padded) - size + 1)) if g in cost[size]]
+            if known:
+                return [sum(k.get(j, 0.0) for k in known) / len(known) for j in range(n)]
+        return [0.0] * n
+
+    got = {r["doc_id"]: r for r in langid.identify(docs, model, keep=[F.col("doc_id")]).collect() if r["doc_id"] is not None}
+    assert n > 15
+    for i, text in TEXTS.items():
+        found = langid.words(text)
+        if found:
+            mean = [sum(x) / len(found) for x in zip(*map(plain, found), strict=True)]
+            assert mean[model.languages.index(got[i]["lang_pred"])] <= min(mean) + 1e-5
+
+
 def test_letters_are_by_unicode():
     assert langid.words("Ab²c d_e 1f Été") == ["ab", "c", "d", "e", "f", "été"]
 
@@ -370,36 +396,11 @@ def test_bands_reach_the_stated_recall():
     assert met >= 994
 
 
-def test_large_blocks_are_read_in_parts(spark):
-    rows = spark.createDataFrame([(i, [(i % 5) << 40, 7]) for i in range(400)], "node long, fp array<long>")
-    links = simhash.wide_links(rows, lanes=2, width=16, distance=0, most=64)
-    root = {r["node"]: r["root"] for r in components.components(links).collect()}
-    assert len(set(root.values())) == 5
-
-
-def test_chains_in_crowded_blocks_stay_whole(spark):
-    r = random.Random(5)
-    # chains of 30 fingerprints, each four bits from the next, that all share the blocks of the second part
-    rows = []
-    for c in range(3):
-        fp = r.getrandbits(64)
-        for _ in range(30):
-            for bit in r.sample(range(64), 4):
-                fp ^= 1 << bit
-            rows.append((fp, c))
-    r.shuffle(rows)
-    signed = lambda x: x - (1 << 64) if x >> 63 else x
-    prints = spark.createDataFrame([(i, [signed(fp), 7]) for i, (fp, _) in enumerate(rows)], "node long, fp array<long>")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 4)
-    try:
-        root = {x["node"]: x["root"] for x in components.components(simhash.wide_links(prints, lanes=2, width=16, distance=4, most=8)).collect()}
-    finally:
-        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
-    want = brute_classes([fp for fp, _ in rows], 4)
-    first = {}
-    for i, (fp, _) in enumerate(rows):
-        first.setdefault(want[fp], i)
-    assert {i: root.get(i, i) for i in range(len(rows))} == {i: first[want[fp]] for i, (fp, _) in enumerate(rows)}
+def test_hot_keys_are_joined_where_they_are(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(skew, "ROWS", 10)
+    spark.createDataFrame([(i, i % 3 if i % 2 else 1000 + i) for i in range(200)] + [(900, None)], "i int, k int").write.parquet(f"{tmp_path}/rows")
+    rows, table = spark.read.parquet(f"{tmp_path}/rows"), spark.createDataFrame([(k, -k) for k in (0, 1, 2, 1002, 1004)], "k int, v int")
+    assert sorted(map(tuple, skew.joined(rows, table, "k").collect())) == sorted(map(tuple, rows.join(table, "k").collect()))
 
 
 @pytest.mark.parametrize("most", [300, 1 << 20])
@@ -734,7 +735,7 @@ def test_confidence_is_measured_on_labelled_rows():
 
 def test_a_round_takes_the_confident_rows_of_all(spark):
     r = random.Random(2)
-    rows = [(i, r.choice(["good words here", "BAD $$$ THINGS"]) + f" {i}", r.choice(["en", None]), f"s{i % 5}", i) for i in range(300)]
+    rows = [(r.getrandbits(64) - (1 << 63), r.choice(["good words here", "BAD $$$ THINGS"]) + f" {i}", r.choice(["en", None]), f"s{i % 5}", i) for i in range(300)]
     rows += [rows[250]] * 20
     names = ["text", "lang", "source", "size"]
     pool = spark.createDataFrame(rows, "h long, text string, lang string, source string, size long").repartition(7)
