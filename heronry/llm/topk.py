@@ -107,7 +107,7 @@ def survivors(queries: np.ndarray, query_ids: np.ndarray, ids: np.ndarray, cells
     """Per query the rows whose upper bound reaches the k-th best lower bound and their middle scores; the queries' slacks."""
     low, width = grid
     reach = np.maximum(np.abs(low), np.abs(low + width * 256))
-    slack = np.abs(queries) @ (width / 2) + np.abs(queries) @ reach * 1e-12
+    slack = np.abs(queries) @ ((width - 1) / 2) + np.abs(queries) @ reach * 1e-12
     rows, scores = [np.empty(0, np.int64)] * len(queries), [np.empty(0)] * len(queries)
     for first in range(0, len(ids), _ROWS):
         middle = low + (cells[first : first + _ROWS] + 0.5) * width - 0.5
