@@ -33,8 +33,7 @@ def _query(spark: SparkSession, a: argparse.Namespace) -> None:
     if not (a.embed or a.hybrid):
         if a.tier:
             raise ManifestError("--tier only applies with --embed or --hybrid")
-        files = corpus.files(spark, a.where or "corpus").select("file", corpus.lossy_text(F.col("content")).alias("text"))
-        hits = search.fulltext(queries, files).orderBy("rank").collect()
+        hits = index.searcher(spark, a.where or "corpus")(queries).orderBy("rank").collect()
         if not hits:
             print(f"no hits for {a.query!r} in {a.where or 'corpus'}")
         for h in hits:
@@ -62,16 +61,9 @@ def _eval(spark: SparkSession, a: argparse.Namespace) -> None:
     at = f"{a.corpus}/manifest.json"
     for r in evaluate.missing(queries, manifest.read(spark, at).select("name")).collect():
         print(f"warning: query {r['id']} expects {r['doc']}, which is not in the corpus", file=sys.stderr)
-    if a.strategy == "fulltext":
-        files = corpus.files(spark, a.corpus).select("file", corpus.lossy_text(F.col("content")).alias("text"))
-        strategy = evaluate.fulltext_docs(files)
-    else:
-        store, words = index.load(spark, a.index)
-        add = _vectors(embed.http_embedder(a.server))
-        strategy = evaluate.hybrid_docs(store, words, add) if a.strategy == "hybrid" else evaluate.cosine_docs(store, add)
-    digest = spark.read.format("binaryFile").load(at).select(F.sha2("content", 256).alias("h")).first()["h"]
+    strategy = index.strategy(spark, a.strategy, folder=a.corpus, index=a.index, vectors=_vectors(embed.http_embedder(a.server)))
     scores = evaluate.run(queries, strategy)
-    result = evaluate.overall(scores, a.strategy, digest)
+    result = evaluate.overall(scores, a.strategy, manifest.digest_of(spark, at))
     for r in scores.orderBy("ord").collect():
         print(f"recall@5 {r['recall_5']:>5.3f}  recall@10 {r['recall_10']:>5.3f}  {r['id']:<24} {r['query']}")
     artifacts.write_json(result, f"{a.results}/{a.strategy}")

@@ -23,10 +23,6 @@ class HashMismatch(IngestError):
         self.source, self.expected, self.actual = source, expected, actual
 
 
-class ChunksError(HeronryError):
-    pass
-
-
 class EmbedError(HeronryError):
     pass
 
@@ -42,8 +38,8 @@ class StoreError(HeronryError):
 
 
 class SearchError(HeronryError):
-    pass
+    """A corpus folder that cannot be searched."""
 
 
 class EvalError(HeronryError):
-    pass
+    """A strategy whose index cannot be loaded."""

@@ -34,9 +34,9 @@ def missing(queries: DataFrame, sources: DataFrame) -> DataFrame:
     return wanted.join(sources.select(F.col("name").alias("doc")), "doc", "left_anti").join(F.broadcast(some)).select("id", "doc")  # one row at most
 
 
-def fulltext_docs(files: DataFrame) -> Strategy:
+def fulltext_docs(searcher: R.Searcher) -> Strategy:
     """File stems in their order; equal stems are not merged."""
-    return lambda queries: R.fulltext(queries, files).select("qid", "rank", T.stem(F.col("file")).alias("doc"))
+    return lambda queries: searcher(queries).select("qid", "rank", T.stem(F.col("file")).alias("doc"))
 
 
 def _first_ranks(hits: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ rows, so what is shuffled for a query is at most k rows a task.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -23,6 +23,9 @@ from ..functions import text as T
 from ..scratch import written
 from .best import Best
 
+#: Takes queries (qid, query); gives (qid, rank, file, matches, snippet).
+Searcher = Callable[[DataFrame], DataFrame]
+
 MOST_QUERIES = 1024
 #: Hits a query of which a block's are broadcast.
 MOST_BROADCAST = 100

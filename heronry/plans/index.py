@@ -8,9 +8,9 @@ from pyspark import Accumulator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..errors import StoreError
-from ..operators import chunk, embed, store
-from ..operators.search import Bm25
+from ..errors import EvalError, StoreError
+from ..operators import chunk, embed, evaluate, store
+from ..operators.search import Bm25, Searcher, fulltext
 from ..sources import artifacts, corpus, manifest
 
 Progress = Callable[[str, int], None]
@@ -79,3 +79,21 @@ def load_store(spark: SparkSession, index: str) -> DataFrame:
 def load(spark: SparkSession, index: str) -> tuple[DataFrame, Bm25]:
     """The store and the words of the same chunks, as the index keeps them."""
     return load_store(spark, index), Bm25.read(spark, f"{index}/words")
+
+
+def searcher(spark: SparkSession, folder: str) -> Searcher:
+    """Full-text search over a corpus folder; bytes that are not UTF-8 are replaced."""
+    files = corpus.files(spark, folder).select("file", corpus.lossy_text(F.col("content")).alias("text"))
+    return lambda queries: fulltext(queries, files)
+
+
+def strategy(spark: SparkSession, name: str, *, folder: str, index: str, vectors: Callable[[DataFrame], DataFrame]) -> evaluate.Strategy:
+    """The named strategy over what is stored; an index that cannot be loaded fails here, not when it is asked."""
+    if name == "fulltext":
+        return evaluate.fulltext_docs(searcher(spark, folder))
+    try:
+        if name == "hybrid":
+            return evaluate.hybrid_docs(*load(spark, index), vectors)
+        return evaluate.cosine_docs(load_store(spark, index), vectors)
+    except StoreError as e:
+        raise EvalError(f"cannot load {index}: {e}") from e

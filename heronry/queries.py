@@ -78,6 +78,31 @@ def manifest_filenames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return names.select("name", manifest.file_name(F.col("name"), kind).alias("file"))
 
 
+def _sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A manifest of the documents' sources in the order of their names; some leave out a tier or a format."""
+    name = F.col("name")
+    nth = F.length("name") % 3
+    fields = F.struct(
+        name, F.lit("MIT").alias("license"), F.concat(F.lit("https://x/"), name).alias("url"), F.lit(None).cast("string").alias("hash"),
+        F.when(nth == 0, "docs-wiki").when(nth == 1, "navigational").alias("tier"), F.when(F.right("name", F.lit(1)).cast("int") % 2 == 0, "text").alias("format"),
+    )
+    names = table(spark, sf_dir, "documents").select(F.col("source").alias("name")).where("name is not null").distinct()
+    # a manifest is one hand-written list, so it is one row
+    return manifest.of(names.agg(F.lit(1).alias("version"), F.array_sort(F.collect_list(fields)).alias("sources")))
+
+
+_SOURCES = """
+    sources as (select (row_number() over (order by name) - 1)::int as ord, 1 as version, name, 'MIT' as license, 'https://x/' || name as url, null::varchar as hash,
+        case length(name) % 3 when 0 then 'docs-wiki' when 1 then 'navigational' else 'pinned-source' end as tier, case when right(name, 1)::int % 2 = 0 then 'text' else 'html' end as format
+        from (select distinct source as name from documents where source is not null))
+"""
+
+
+@query(f"with {_SOURCES} select * from sources")
+def manifest_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sources(spark, sf_dir)
+
+
 def _pinned(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     pages = table(spark, sf_dir, "pages")
     name = F.concat(F.lit("page"), F.col("page_id").cast("string"))
@@ -429,9 +454,16 @@ def eval_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("ord", "id", "query", F.array_join("hits", ",").alias("hits"), F.round("recall_5", 9).alias("recall_5"), F.round("recall_10", 9).alias("recall_10"))
 
 
-@query(f"with {_STORE}, {_SET}, {_COSINE_DOCS} select 'cosine' as strategy, '' as corpus_hash, round(coalesce(avg(recall_5), 0), 9) as overall_recall_5, round(coalesce(avg(recall_10), 0), 9) as overall_recall_10 from scores")
+_DIGEST = """
+    manifest as (select sha256('{' || chr(10) || '  "version": 1,' || chr(10) || '  "sources": [' || chr(10) || string_agg('    {' || chr(10) || '      "name": "' || name || '",' || chr(10)
+        || '      "license": "MIT",' || chr(10) || '      "url": "' || url || '",' || chr(10) || '      "tier": "' || tier || '",' || chr(10) || '      "format": "' || format || '"' || chr(10) || '    }',
+        ',' || chr(10) order by ord) || chr(10) || '  ]' || chr(10) || '}') as h from sources)
+"""
+
+
+@query(f"with {_STORE}, {_SET}, {_COSINE_DOCS}, {_SOURCES}, {_DIGEST} select 'cosine' as strategy, (select h from manifest) as corpus_hash, round(coalesce(avg(recall_5), 0), 9) as overall_recall_5, round(coalesce(avg(recall_10), 0), 9) as overall_recall_10 from scores")
 def eval_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = evaluate.overall(_evaluated(spark, sf_dir, False), "cosine")
+    found = evaluate.overall(_evaluated(spark, sf_dir, False), "cosine", manifest.digest(manifest.to_json(_sources(spark, sf_dir))))
     return found.select("strategy", "corpus_hash", F.round("overall_recall_5", 9).alias("overall_recall_5"), F.round("overall_recall_10", 9).alias("overall_recall_10"))
 
 
@@ -462,7 +494,7 @@ def eval_fulltext(spark: SparkSession, sf_dir: str) -> DataFrame:
     expected = F.array(i.cast("string"), (i * 7 % 1000).cast("string"))
     asked = table(spark, sf_dir, "benchmark").select(i.alias("ord"), i.cast("string").alias("id"), F.regexp_extract("text", "^[^.]*", 0).alias("query"), expected.alias("expected"))
     files = table(spark, sf_dir, "documents").select(F.concat(F.col("doc_id").cast("string"), F.lit(".txt")).alias("file"), "text")
-    found = evaluate.overall(evaluate.run(asked, evaluate.fulltext_docs(files)), "fulltext")
+    found = evaluate.overall(evaluate.run(asked, evaluate.fulltext_docs(lambda asked: search.fulltext(asked, files))), "fulltext")
     return found.select("strategy", "corpus_hash", F.round("overall_recall_5", 9).alias("overall_recall_5"), F.round("overall_recall_10", 9).alias("overall_recall_10"))
 
 

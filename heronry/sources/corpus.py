@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
 import urllib.request
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..errors import FetchError, HashMismatch
+from ..errors import FetchError, HashMismatch, IngestError, SearchError
 from . import manifest as m
 
 Fetcher = Callable[[str], bytes]
@@ -16,7 +18,10 @@ FETCH_SECONDS = 60
 
 
 def files(spark: SparkSession, folder: str) -> DataFrame:
-    """(file, content) of the folder's own .html and .txt files."""
+    """(file, content) of the folder's own .html and .txt files. A folder that is not there fails."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    if not at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
+        raise SearchError(f"no folder {folder}")
     found = spark.read.format("binaryFile").option("pathGlobFilter", "*.{html,txt}").load(folder)
     return found.select(F.element_at(F.split("path", "/"), -1).alias("file"), "content")
 
@@ -53,9 +58,11 @@ def http_fetcher(url: str) -> bytes:
 
 
 def local_fetcher(spark: SparkSession) -> Fetcher:
-    """Fetches ``file://`` addresses: a file's bytes, or a folder as a :func:`tree`."""
+    """Fetches ``file://`` addresses alone: a file's bytes, or a folder as a :func:`tree`."""
 
     def fetch(url: str) -> bytes:
+        if not url.startswith("file://"):
+            raise FetchError(f"not a file:// address: {url}")
         path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(url)
         fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
         if not fs.exists(path):
@@ -86,8 +93,9 @@ def ingest(spark: SparkSession, sources: DataFrame, folder: str, fetch: Fetcher
     """Bring the corpus folder to its manifest: (ord, name, action).
 
     Sources whose file has its pinned hash are skipped. The others are all
-    fetched and verified before anything is published, so a mismatch leaves
-    the folder as it was. The resolved manifest is written beside the files.
+    fetched to a folder of their own and verified before anything is published,
+    so a mismatch leaves the corpus as it was, and the driver holds one source
+    at a time. The resolved manifest is written beside the files.
     """
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     at = jvm.org.apache.hadoop.fs.Path(folder)
@@ -97,32 +105,35 @@ def ingest(spark: SparkSession, sources: DataFrame, folder: str, fetch: Fetcher
     report = verify(sources, found).orderBy("ord").collect()
     rows = {r["name"]: r for r in sources.withColumn("file", m.file_name(F.col("name"), F.col("format"))).collect()}
     local = local_fetcher(spark)
-    staged, hashes = {}, {}
-    for r in report:
-        if r["action"] == "fetched":
-            source = rows[r["name"]]
-            get = fetch or (local if source["url"].startswith("file://") else http_fetcher)
-            body = get(source["url"])
-            actual = _sha256(body)
-            if source["hash"] is not None and actual != source["hash"]:
-                raise HashMismatch(source["name"], source["hash"], actual)
-            staged[source["file"]], hashes[source["name"]] = body, actual
-    resolved = sources
-    for name, value in hashes.items():
-        resolved = resolved.withColumn("hash", F.when(F.col("name") == name, F.lit(value)).otherwise(F.col("hash")))
-    staged["manifest.json"] = m.to_json(resolved).encode()
+    staged, hashes = [], {}
+    staging = jvm.org.apache.hadoop.fs.Path(at, f".staged-{uuid.uuid4().hex}")
+
+    def put(name: str, body: bytes) -> None:
+        out = fs.create(jvm.org.apache.hadoop.fs.Path(staging, name), True)
+        out.write(bytearray(body))
+        out.close()
+        staged.append(name)
+
     fs.setWriteChecksum(False)  # a file that someone changes later is then read, found to differ, and fetched again
     try:
-        for name, body in staged.items():
-            out = fs.create(jvm.org.apache.hadoop.fs.Path(at, name), True)
-            out.write(bytearray(body))
-            out.close()
+        for r in report:
+            if r["action"] == "fetched":
+                source = rows[r["name"]]
+                get = fetch or (local if source["url"].startswith("file://") else http_fetcher)
+                body = get(source["url"])
+                actual = hashlib.sha256(body).hexdigest()
+                if source["hash"] is not None and actual != source["hash"]:
+                    raise HashMismatch(source["name"], source["hash"], actual)
+                put(source["file"], body)
+                hashes[source["name"]] = actual
+        pinned = spark.createDataFrame(list(hashes.items()), "name string, found string")
+        put("manifest.json", m.to_json(sources.join(pinned, "name", "left").withColumn("hash", F.coalesce("found", "hash"))).encode())
+        for name in staged:
+            to = jvm.org.apache.hadoop.fs.Path(at, name)
+            fs.delete(to, False)
+            if not fs.rename(jvm.org.apache.hadoop.fs.Path(staging, name), to):
+                raise IngestError(f"cannot publish {to}")
     finally:
+        fs.delete(staging, True)
         fs.setWriteChecksum(True)
     return spark.createDataFrame([(r["ord"], r["name"], r["action"]) for r in report], "ord int, name string, action string")
-
-
-def _sha256(body: bytes) -> str:
-    import hashlib
-
-    return hashlib.sha256(body).hexdigest()

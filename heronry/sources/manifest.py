@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -47,3 +48,16 @@ def to_json(sources: DataFrame) -> str:
     rows = sources.orderBy("ord").collect()
     fields = ("name", "license", "url", "hash", "tier", "format")
     return json.dumps({"version": rows[0]["version"] if rows else 1, "sources": [{f: r[f] for f in fields if r[f] is not None} for r in rows]}, indent=2, ensure_ascii=False)
+
+
+def digest(text: str) -> str:
+    """What names a corpus in results: the hash of its manifest's bytes."""
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def digest_of(spark: SparkSession, path: str) -> str:
+    """The hash of the manifest file at ``path``, empty if there is none."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
+        return ""
+    return spark.read.format("binaryFile").load(path).select(F.sha2("content", 256).alias("h")).first()["h"]

@@ -122,9 +122,9 @@ def test_embedding_reuses_prunes_and_checks(spark, small):
 def test_evaluation(spark, small):
     queries = spark.createDataFrame([(0, "q0", "borrow", ["A"]), (1, "q1", "traits", ["C", "Z"]), (2, "q1", " ", [])], "ord int, id string, query string, expected array<string>")
     files = small[0].select(F.concat("source", F.lit(".html")).alias("file"), "text")
-    scores = {r["ord"]: (r["hits"], r["recall_5"]) for r in evaluate.run(queries, evaluate.fulltext_docs(files)).collect()}
+    scores = {r["ord"]: (r["hits"], r["recall_5"]) for r in evaluate.run(queries, evaluate.fulltext_docs(lambda asked: search.fulltext(asked, files))).collect()}
     assert scores == {0: (["A", "B"], 1.0), 1: (["C"], 0.5), 2: ([], 0.0)}
-    total = evaluate.overall(evaluate.run(queries, evaluate.fulltext_docs(files)), "fulltext", "h")
+    total = evaluate.overall(evaluate.run(queries, evaluate.fulltext_docs(lambda asked: search.fulltext(asked, files))), "fulltext", "h")
     assert total.first()["overall_recall_5"] == pytest.approx(0.5)
     assert evaluate.delta(total, total).first()["delta_5"] == "+0.000"
     assert [r["problem"] for r in evaluate.problems(queries).collect()] == ["duplicate query id: q1", "query q1 has an empty needle", "query q1 has an empty expected set"]

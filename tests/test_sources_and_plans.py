@@ -2,10 +2,11 @@ import hashlib
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from heronry import cli
-from heronry.errors import HashMismatch, ManifestError, StoreError
-from heronry.operators import chunk, store
+from heronry.errors import EvalError, FetchError, HashMismatch, ManifestError, SearchError, StoreError
+from heronry.operators import chunk, evaluate, store
 from heronry.plans import index
 from heronry.sources import artifacts, corpus, manifest
 from heronry.streaming import ingest as stream
@@ -67,7 +68,51 @@ def test_a_mismatch_publishes_nothing(spark, tmp_path):
     at = write_manifest(tmp_path / "c", source("a"), source("b", hash="0" * 64))
     with pytest.raises(HashMismatch):
         corpus.ingest(spark, manifest.read(spark, f"{at}/manifest.json"), at, lambda url: b"x")
-    assert not (tmp_path / "c" / "a.html").exists()
+    assert [f.name for f in (tmp_path / "c").iterdir()] == ["manifest.json"]
+
+
+def test_local_sources_are_files_or_trees(spark, tmp_path):
+    (tmp_path / "t").mkdir()
+    (tmp_path / "t" / "A.java").write_text("A")
+    (tmp_path / "one.txt").write_bytes(b"\xffone")
+    at = write_manifest(tmp_path / "c", source("tree", url=f"file://{tmp_path}/t", format="text"), source("one", url=f"file://{tmp_path}/one.txt", format="text"))
+    assert corpus.fetched_count(corpus.ingest(spark, manifest.read(spark, f"{at}/manifest.json"), at)) == 2
+    assert (tmp_path / "c" / "tree.txt").read_text() == "===== FILE: A.java =====\nA\n"
+    assert (tmp_path / "c" / "one.txt").read_bytes() == b"\xffone"
+    assert sorted(f.name for f in (tmp_path / "c").iterdir()) == ["manifest.json", "one.txt", "tree.txt"]
+    for url in ("https://example.invalid/x", f"file://{tmp_path}/none"):
+        with pytest.raises(FetchError):
+            corpus.local_fetcher(spark)(url)
+
+
+def test_a_corpus_that_is_not_there_fails(spark, tmp_path):
+    with pytest.raises(SearchError):
+        index.searcher(spark, str(tmp_path / "none"))
+    assert cli.main(["query", "borrow", str(tmp_path / "none")]) == 1
+
+
+def test_searchers_are_interchangeable(spark, tmp_path):
+    """A strategy asks whatever searcher it is given."""
+    (tmp_path / "a.txt").write_bytes(b"One needle\xff\nno more")
+    (tmp_path / "b.html").write_text("needle needle")
+    (tmp_path / "c.md").write_text("needle")
+    asked = spark.createDataFrame([(0, "needle")], "qid int, query string")
+    found = index.searcher(spark, str(tmp_path))
+    assert [(r["file"], r["matches"]) for r in found(asked).orderBy("rank").collect()] == [("b.html", 2), ("a.txt", 1)]
+    upside = lambda queries: found(queries).withColumn("rank", 3 - F.col("rank"))
+    assert [r["doc"] for r in evaluate.fulltext_docs(upside)(asked).orderBy("rank").collect()] == ["a", "b"]
+
+
+def test_strategies_report_what_cannot_be_loaded(spark, tmp_path):
+    for name in ("cosine", "hybrid"):
+        with pytest.raises(EvalError):
+            index.strategy(spark, name, folder="none", index=str(tmp_path / "none"), vectors=lambda queries: queries)
+
+
+def test_a_manifest_names_its_corpus(spark, tmp_path):
+    at = write_manifest(tmp_path / "c", source("a")) + "/manifest.json"
+    assert manifest.digest_of(spark, at) == hashlib.sha256((tmp_path / "c" / "manifest.json").read_bytes()).hexdigest()
+    assert manifest.digest_of(spark, str(tmp_path / "none.json")) == ""
 
 
 def test_trees_come_in_the_order_of_path_components(spark, tmp_path):
