@@ -1,40 +1,5 @@
-"""Written tables in the folder that the cluster shares."""
+"""Written tables in the folder that the cluster shares, as the library has them."""
 
-from __future__ import annotations
+from ..scratch import discard, folder, written
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
-
-
-def folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a folder of our own only where it is unset and Spark runs in one process."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        found = tempfile.mkdtemp(prefix="heronry-")
-        spark.sparkContext.setCheckpointDir(found)
-    return found.rstrip("/")
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it back: the lineage ends here.
-
-    A lost executor costs only the tasks it ran: files of finished tasks stay.
-    """
-    spark = df.sparkSession
-    path = f"{folder(spark)}/heronry-{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def discard(df: DataFrame) -> None:
-    """Delete the files behind a table of :func:`written` that is read no more."""
-    jvm = df.sparkSession._jvm
-    conf = df.sparkSession._jsc.hadoopConfiguration()
-    for file in df.inputFiles()[:1]:
-        path = jvm.org.apache.hadoop.fs.Path(file).getParent()
-        if "heronry-" in path.getName():
-            path.getFileSystem(conf).delete(path, True)
+__all__ = ["discard", "folder", "written"]
