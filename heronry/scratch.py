@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Paths of the tables written so far in each open :func:`step`.
+_steps: list[list[str]] = []
+
 
 def folder(spark: SparkSession) -> str:
     """``spark.checkpoint.dir`` of the session; a folder of our own only where it is unset and Spark runs in one process."""
@@ -26,15 +31,36 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{folder(spark)}/heronry-{name}-{uuid.uuid4().hex}"
+    for made in _steps:
+        made.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def step(spark: SparkSession) -> Iterator[None]:
+    """Deletes the tables that were written inside it, but for the last one, which must need none of the others.
+
+    After an error they stay. Steps may stand inside each other.
+    """
+    made: list[str] = []
+    _steps.append(made)
+    try:
+        yield
+    finally:
+        _steps.pop()
+    for path in made[:-1]:
+        _delete(spark, path)
+
+
 def discard(df: DataFrame) -> None:
     """Delete the files behind a table of :func:`written` that is read no more."""
-    jvm = df.sparkSession._jvm
-    conf = df.sparkSession._jsc.hadoopConfiguration()
     for file in df.inputFiles()[:1]:
-        path = jvm.org.apache.hadoop.fs.Path(file).getParent()
-        if "heronry-" in path.getName():
-            path.getFileSystem(conf).delete(path, True)
+        path = file.rpartition("/")[0]
+        if path.rpartition("/")[2].startswith("heronry-"):
+            _delete(df.sparkSession, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)

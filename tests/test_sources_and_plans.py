@@ -4,7 +4,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from heronry import cli
+from heronry import cli, scratch
 from heronry.errors import EvalError, FetchError, HashMismatch, ManifestError, SearchError, StoreError
 from heronry.operators import chunk, evaluate, store
 from heronry.plans import index
@@ -192,3 +192,20 @@ def test_command_line(spark, tmp_path, capsys):
     assert cli.main(["eval", at, str(sets), "--results", str(tmp_path / "results")]) == 0
     assert "overall recall@5 1.000  recall@10 1.000  (strategy: fulltext)" in capsys.readouterr().out
     assert cli.main(["--server", "http://127.0.0.1:1", "query", "--embed", "borrow", where]) == 1
+
+
+def test_a_step_leaves_its_last_table_alone(spark):
+    before = scratch.written(spark.range(3), "before")
+    with scratch.step(spark):
+        middle = scratch.written(before, "middle")
+        with scratch.step(spark):
+            inner = scratch.written(middle, "inner")
+        last = scratch.written(inner, "last")
+    assert before.count() == last.count() == 3
+    for gone in (middle, inner):
+        with pytest.raises(Exception, match="FILE_NOT_EXIST|does not exist"):
+            gone.collect()
+    with pytest.raises(ZeroDivisionError), scratch.step(spark):
+        kept, _ = scratch.written(last, "kept"), scratch.written(last, "other")
+        1 / 0
+    assert kept.count() == 3 and not scratch._steps
