@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from .components import components
 from .rows import slices
 from .scratch import written
-from .skew import joined
+from .skew import beside, joined
 
 SEED = 42
 #: Minima in a band.
@@ -213,29 +213,31 @@ def alike(sets: DataFrame, similarity: float, most: int = 1 << 20) -> DataFrame:
 
     ``sets`` (a written table) has node, root and hashes. A root of over ``most`` hashes is not read by one task: its
     sets are held against a few of its own first. Those near the best of these need no further test against each other;
-    each part of the others meets each part of the root, as tasks of their own.
+    each part of the others meets each part of the root, as tasks of their own. What is known of crowded roots is
+    broadcast only while it is small.
     """
     n = F.size("hashes")
     parts = F.ceil(F.sum(n) / most).cast("int")
     crowds = written(sets.groupBy("root").agg(parts.alias("parts")).where("parts > 1"), "crowds")
     none = F.lit(0)
     few = sets.join(crowds, "root", "left_anti").select("root", none.alias("i"), none.alias("j"), "node", "hashes", F.lit(False).alias("known"))
-    many = sets.join(F.broadcast(crowds), "root")
+    many = beside(sets, crowds, "root")
     # up to eight sets of a crowded root, as pivots
     pivots = many.groupBy("root", F.pmod(F.xxhash64("node"), F.lit(8)).alias("slot")).agg(F.min_by(F.struct("node", "hashes"), "node").alias("p"))
+    pivots = written(pivots, "pivots")
     both = F.size(F.array_intersect("hashes", "p.hashes"))
-    near = many.join(F.broadcast(pivots), "root").where(both / (n + F.size("p.hashes") - both) >= similarity).select("root", "node", F.col("p.node").alias("pivot"))
+    near = beside(many, pivots, "root", F.size("p.hashes")).where(both / (n + F.size("p.hashes") - both) >= similarity).select("root", "node", F.col("p.node").alias("pivot"))
     near = written(near, "near")
-    best = near.groupBy("root", "pivot").count().groupBy("root").agg(F.max_by("pivot", F.struct("count", "pivot")).alias("pivot"))
-    joined = near.join(F.broadcast(best), ["root", "pivot"]).select("node", F.lit(True).alias("known"))
-    told = written(many.join(joined, "node", "left").select("root", "parts", "node", "hashes", F.coalesce("known", F.lit(False)).alias("known")), "told")
+    best = written(near.groupBy("root", "pivot").count().groupBy("root").agg(F.max_by("pivot", F.struct("count", "pivot")).alias("pivot")), "best")
+    known = beside(near, best, ["root", "pivot"]).select("node", F.lit(True).alias("known"))
+    told = written(many.join(known, "node", "left").select("root", "parts", "node", "hashes", F.coalesce("known", F.lit(False)).alias("known")), "told")
     rest = told.where(~F.col("known"))
     others = written(rest.groupBy("root").agg(parts.alias("others")), "others")
     dealt = lambda c: F.pmod(F.xxhash64("node", F.lit(c)), F.col(c)).cast("int")
     each = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
     columns = ["root", "i", "j", "node", "hashes", "known"]
-    left = rest.join(F.broadcast(others), "root").withColumn("i", dealt("others")).withColumn("j", each("parts")).select(*columns)
-    right = told.join(F.broadcast(others), "root").withColumn("j", dealt("parts")).withColumn("i", each("others")).select(*columns)
+    left = beside(rest, others, "root").withColumn("i", dealt("others")).withColumn("j", each("parts")).select(*columns)
+    right = beside(told, others, "root").withColumn("j", dealt("parts")).withColumn("i", each("others")).select(*columns)
 
     def meet(rows: pa.Table) -> pa.Table:
         node, first = np.unique(rows["node"].to_numpy(), return_index=True)  # a set may come from either side
@@ -245,7 +247,9 @@ def alike(sets: DataFrame, similarity: float, most: int = 1 << 20) -> DataFrame:
         a, b = set_links(node, hashes.flatten().to_numpy(), hashes.value_lengths().to_numpy().astype(np.int64), rows["known"].to_numpy().astype(bool), similarity)
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    met = few.unionByName(left).unionByName(right).groupBy("root", "i", "j").applyInArrow(meet, "a long, b long")
+    # dealt by all three: a shuffle by the root alone, which a join may have made, would do for the groups, but not deal them out
+    dealt_out = few.unionByName(left).unionByName(right).repartition("root", "i", "j")
+    met = dealt_out.groupBy("root", "i", "j").applyInArrow(meet, "a long, b long")
     return met.unionByName(near.select(F.col("node").alias("a"), F.col("pivot").alias("b")).where("a <> b"))
 
 

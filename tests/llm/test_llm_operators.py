@@ -403,8 +403,9 @@ def test_hot_keys_are_joined_where_they_are(spark, tmp_path, monkeypatch):
     assert sorted(map(tuple, skew.joined(rows, table, "k").collect())) == sorted(map(tuple, rows.join(table, "k").collect()))
 
 
-@pytest.mark.parametrize("most", [300, 1 << 20])
-def test_crowded_classes_of_sets_lose_no_link(spark, most):
+@pytest.mark.parametrize(("most", "values"), [(300, 1 << 22), (300, 0), (1 << 20, 1 << 22)])
+def test_crowded_classes_of_sets_lose_no_link(spark, monkeypatch, most, values):
+    monkeypatch.setattr(skew, "VALUES", values)
     r = random.Random(15)
     sets = [set(range(c * 1000, c * 1000 + 20)) for c in range(2)]
     for c in range(2):
