@@ -82,7 +82,7 @@ def op7_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = both.withColumn("edited", F.concat(F.expr("left(text, cast(n as int) - cut)"), "head"))
     both = both.withColumn("edited_own", docsketch.sketch(F.col("edited")))
     near = lambda c: docsketch.resemblance(F.col("own"), F.col(c))
-    return both.select(F.nullif("at", least).alias("doc_id"), F.col("n").alias("n_chars"), digest(F.col("edited")).alias("edited_sha256"), docsketch.text_of(F.col("own")).alias("fingerprint"), docsketch.text_of(F.col("edited_own")).alias("edited_fingerprint"), near("edited_own").alias("near_edited"), near("next_own").alias("near_next"))
+    return both.select(F.nullif("at", least).alias("doc_id"), F.col("n").alias("n_chars"), digest(F.col("edited")).alias("edited_sha256"), docsketch.text_of(F.col("own")).alias("fingerprint"), docsketch.text_of(F.col("edited_own")).alias("edited_fingerprint"), near("edited_own").alias("near_edited"), near("next_own").alias("near_next"), docsketch.distinct_count(F.col("own")).alias("n_shingles"), docsketch.containment(F.col("own"), F.col("edited_own")).alias("contained_edited"))
 
 
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -598,7 +598,7 @@ def test_document_fingerprints(spark, sf):
     assert len(got) == len(ROWS)
     shingles = lambda t: {tuple(w[i : i + 5]) for w in [t.lower().split()] for i in range(max(1, len(w) - 4)) if w}
     jaccard = lambda a, b: len(a & b) / len(a | b) if a | b else 1.0
-    wrong, prints = [], {}
+    wrong, off, prints = [], [], {}
     seen = Counter()
     for r in got:
         options = [t for i, t in texts if i == (r["doc_id"] if r["doc_id"] is not None else -(1 << 63))]
@@ -611,9 +611,13 @@ def test_document_fingerprints(spark, sf):
         edited = _edited(text, after[(r["doc_id"] if r["doc_id"] is not None else -(1 << 63), text)])
         assert 0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1
         wrong.append(abs(r["near_edited"] - jaccard(shingles(text), shingles(edited))))
+        own = shingles(text)
+        assert r["n_shingles"] == pytest.approx(len(own), rel=0 if len(own) < docsketch.K else 0.5)
+        off.append(abs(r["contained_edited"] - (len(own & shingles(edited)) / len(own) if own else 1.0)))
     assert seen == Counter(i for i, *_ in ROWS)
     assert all(len(p) == 1 for p in prints.values())
     assert sum(wrong) / len(wrong) < 0.05 and max(wrong) < 0.3
+    assert sum(off) / len(off) < 0.05 and max(off) < 0.4
 
 
 def _edited(text, following):
