@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_automaton, docsketch, langid, packing, pii, quality, secrets, simhash, suffixdedup, topk
+from . import bpe_automaton, docsketch, langid, mixing, packing, pii, quality, secrets, simhash, suffixdedup, topk, variants, whitening
 from .scratch import written
 from .succession import successors
 
@@ -106,8 +106,25 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), digest(ids).alias("ids_sha256"), digest(F.col("decoded")).alias("decoded_sha256"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"), key="vec_id", vector="embedding").withColumnRenamed("id", "vec_id")
+
+
+def op12_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.grouped(variants.words(table(spark, sf_dir, "documents"))).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = mixing.sized(table(spark, sf_dir, "documents"))
+    sources = mixing.plan(rows)
+    rows = mixing.placed(rows, sources)
+    own = spark.createDataFrame([(s.number, s.size, s.target) for s in sources], "src int, source_size long, target double")
+    found = mixing.taken(rows, mixing.mix(rows, sources)).join(F.broadcast(own), "src")  # the list of sources
+    return found.select(F.col("key").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_language_id, op2_pii, op3_simhash, op4_suffix_dedup, op5_topk, op6_packing, op7_fingerprint, op8_secrets, op9_quality, op10_bpe)
+    f.__name__: f for f in (op1_language_id, op2_pii, op3_simhash, op4_suffix_dedup, op5_topk, op6_packing, op7_fingerprint, op8_secrets, op9_quality, op10_bpe, op11_whitening, op12_variants, op13_mixing)
 }
 ORACLE_SQL: dict[str, str] = {
     "op4_suffix_dedup": """
