@@ -61,7 +61,7 @@ def content(texts: pa.Array) -> np.ndarray:
     words = pc.utf8_split_whitespace(pc.utf8_trim_whitespace(texts))
     coded = words.flatten().dictionary_encode()
     place, doc = coded.indices.to_numpy(), pc.list_parent_indices(words).to_numpy()
-    bucket = np.array([zlib.crc32(w[:64].encode()) % WORDS for w in coded.dictionary.to_pylist()], np.int64)
+    bucket = np.array([zlib.crc32(w.encode()) % WORDS for w in coded.dictionary.to_pylist()], np.int64)
     m = np.maximum(np.bincount(doc, minlength=n), 1)
     hashed = np.bincount(doc * WORDS + bucket[place], minlength=n * WORDS).reshape(n, WORDS) if len(doc) else np.zeros((n, WORDS))
     again = np.flatnonzero((place[1:] == place[:-1]) & (doc[1:] == doc[:-1]))

@@ -816,3 +816,9 @@ def test_small_automaton_by_hand():
     for _ in range(2000):
         text = [r.choice([a, a, b, c, d]) for _ in range(r.randint(0, 9))]
         assert automaton.encode(text) == plain(text), text
+
+
+def test_words_count_by_their_whole_length():
+    long = "w" * 64
+    found = quality.content(pa.array([f"{long}{c} " * 40 for c in "abcdefgh"]))
+    assert len({r.tobytes() for r in found[:, 320 : 320 + quality.WORDS]}) > 1
