@@ -13,20 +13,23 @@ from ..functions import text as T
 
 TARGET_TOKENS = 500
 WINDOW = TARGET_TOKENS * T.CHARS_PER_TOKEN
-#: Code points that no text may hold (Unicode reserves them for such use): before and after a heading.
-OPEN, CLOSE = "﷐", "﷑"
+#: Marks before and after a heading. They begin with a code point that a text may hold, so there it is written as KEPT while the marks stand.
+MARK = "\x01"
+KEPT, OPEN, CLOSE = MARK + "\x02", MARK + "\x03", MARK + "\x04"
 _HEADING = r"(?s)<h[1-6][^>]*(?:>|\z)(.*?)(?:</h[^>]*(?:>|\z)|\z)"
 _MARKER = r"(?<![^\n])===== FILE: ([^\n]*) =====\n"
 SECTIONS = "array<struct<heading:string,text:string>>"
 
 
-def _split(marked: Column, heading, body) -> Column:
-    """Sections of a text in which OPEN heading CLOSE stands before each but the first."""
+def _split(text: Column, pattern: str, heading, body) -> Column:
+    """Sections of a text; each but the first begins with a match of ``pattern``, whose group is its heading."""
+    marked = F.regexp_replace(F.replace(text, F.lit(MARK), F.lit(KEPT)), pattern, OPEN + "$1" + CLOSE)
+    whole = lambda x: F.replace(x, F.lit(KEPT), F.lit(MARK))
     parts = F.transform(
         F.split(marked, OPEN, -1),
         lambda x, i: F.struct(
-            F.when(i == 0, F.lit("")).otherwise(heading(F.split_part(x, F.lit(CLOSE), F.lit(1)))).alias("heading"),
-            body(F.when(i == 0, x).otherwise(F.split_part(x, F.lit(CLOSE), F.lit(2)))).alias("text"),
+            F.when(i == 0, F.lit("")).otherwise(heading(whole(F.split_part(x, F.lit(CLOSE), F.lit(1))))).alias("heading"),
+            body(whole(F.when(i == 0, x).otherwise(F.split_part(x, F.lit(CLOSE), F.lit(2))))).alias("text"),
         ),
     )
     return F.filter(parts, lambda s: ~T.blank(s["text"]) | (s["heading"] != ""))
@@ -34,14 +37,14 @@ def _split(marked: Column, heading, body) -> Column:
 
 def html_sections(html: Column) -> Column:
     """Sections at h1 to h6: heading without tags, text without tags and with white space collapsed."""
-    return _split(F.regexp_replace(html, _HEADING, OPEN + "$1" + CLOSE), lambda h: T.trim(T.strip_tags(h)), lambda b: T.collapse(T.strip_tags(b)))
+    return _split(html, _HEADING, lambda h: T.trim(T.strip_tags(h)), lambda b: T.collapse(T.strip_tags(b)))
 
 
 def text_sections(text: Column) -> Column:
     """Sections at file marker lines; bodies are kept as they are, each line with its line end."""
     lines = F.replace(text, F.lit("\r\n"), F.lit("\n"))
     ended = F.when((lines != "") & ~lines.endswith("\n"), F.concat(lines, F.lit("\n"))).otherwise(lines)
-    return _split(F.regexp_replace(ended, _MARKER, OPEN + "$1" + CLOSE), T.trim, lambda b: b)
+    return _split(ended, _MARKER, T.trim, lambda b: b)
 
 
 def _let(value: Column, then) -> Column:

@@ -154,14 +154,16 @@ def term_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Chunks
 
-_HTML = r"""string_split(regexp_replace({0}, '(?s)<h[1-6][^>]*(?:>|\z)(.*?)(?:</h[^>]*(?:>|\z)|\z)', chr(64976) || '\1' || chr(64977), 'g'), chr(64976))"""
-_TEXT = r"""string_split(regexp_replace(regexp_replace(replace({0}, chr(13) || chr(10), chr(10)) || case when {0} = '' or right({0}, 1) = chr(10) then '' else chr(10) end,
-            '([^\n]*)\n', chr(10) || '\1' || chr(10), 'g'), '\n===== FILE: ([^\n]*) =====\n', chr(64976) || '\1' || chr(64977), 'g'), chr(64976))"""
+_HTML = ("{0}", r"(?s)<h[1-6][^>]*(?:>|\z)(.*?)(?:</h[^>]*(?:>|\z)|\z)")
+_TEXT = (r"""regexp_replace(replace({0}, chr(13) || chr(10), chr(10)) || case when {0} = '' or right({0}, 1) = chr(10) then '' else chr(10) end,
+            '([^\n]*)\n', chr(10) || '\1' || chr(10), 'g')""", r"\n===== FILE: ([^\n]*) =====\n")
 
 
-def _sections_sql(parts: str, heading: str, body: str) -> str:
-    return f"""list_filter(list_transform({parts}, lambda x, i: {{'heading': case when i = 1 then '' else {heading.format("split_part(x, chr(64977), 1)")} end,
-        'text': {body.format("case when i = 1 then x else split_part(x, chr(64977), 2) end")}}}), lambda s: {_trim("s.text")} <> '' or s.heading <> '')"""
+def _sections_sql(cut: tuple[str, str], heading: str, body: str) -> str:
+    """What stands between the matches of a pattern, each with the group of the match before it."""
+    text, pattern = cut
+    return f"""list_filter(list_transform(list_zip(string_split_regex({text}, '{pattern}'), list_concat([''], regexp_extract_all({text}, '{pattern}', 1))),
+        lambda z: {{'heading': {heading.format("z[2]")}, 'text': {body.format("z[1]")}}}), lambda s: {_trim("s.text")} <> '' or s.heading <> '')"""
 
 
 _HTML_SECTIONS = _sections_sql(_HTML, _trim(_strip("{0}")).replace("{0}", "§").replace("{", "{{").replace("}", "}}").replace("§", "{0}"), _collapse(_strip("{0}")).replace("{0}", "§").replace("{", "{{").replace("}", "}}").replace("§", "{0}"))

@@ -2,22 +2,25 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Paths of the tables written so far in each open :func:`step`.
-_steps: list[list[str]] = []
+#: Paths of the tables written so far in each :func:`step` that is open here. A thread starts outside all
+#: steps; one that should write for a step of its caller is run in a copy of the caller's context.
+_steps: ContextVar[tuple[list[str], ...]] = ContextVar("steps", default=())
 
 
 def folder(spark: SparkSession) -> str:
     """``spark.checkpoint.dir`` of the session; a folder of our own only where it is unset and Spark runs in one process."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="heronry-")
         spark.sparkContext.setCheckpointDir(found)
@@ -31,7 +34,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{folder(spark)}/heronry-{name}-{uuid.uuid4().hex}"
-    for made in _steps:
+    for made in _steps.get():
         made.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -39,16 +42,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 @contextmanager
 def step(spark: SparkSession) -> Iterator[None]:
-    """Deletes the tables that were written inside it, but for the last one, which must need none of the others.
+    """Deletes the tables that were written inside it, by this thread, but for the last one, which must need none of the others.
 
     After an error they stay. Steps may stand inside each other.
     """
     made: list[str] = []
-    _steps.append(made)
+    outside = _steps.set((*_steps.get(), made))
     try:
         yield
     finally:
-        _steps.pop()
+        _steps.reset(outside)
     for path in made[:-1]:
         _delete(spark, path)
 

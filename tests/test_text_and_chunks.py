@@ -112,3 +112,20 @@ def test_many_sections_take_linear_time(spark):
     began = time.time()
     found = chunked(spark, "".join(f"<h2>H{i}</h2>" + f"w{i} " * 50 for i in range(10_000)))
     assert len(found) > 1000 and time.time() - began < 60
+
+
+NONCHARACTERS = [chr(c) for c in [*range(0xFDD0, 0xFDF0), *(p << 16 | low for p in range(17) for low in (0xFFFE, 0xFFFF))]]
+
+
+@pytest.mark.parametrize("format_", ["html", "text"])
+def test_texts_keep_every_code_point(spark, format_):
+    odd = "".join(f"a{c}" for c in [*map(chr, range(1, 9)), *NONCHARACTERS]) + "\x01\x02\x03\x04\x01\x01\x04"
+    heading = {"html": "<h2>{}</h2>", "text": "===== FILE: {} =====\n"}[format_]
+    end = "\n" if format_ == "text" else ""
+    got = chunked(spark, f"one{odd}two{end}" + heading.format(f"x{odd}y") + "z" * 2000 + odd, format_)
+    assert [c["text"] for c in got][0].startswith(f"one{odd}two") and "".join(c["text"] for c in got).endswith("z" * 2000 + odd)
+    assert got[-1]["heading"] == f"x{odd}y"
+
+
+def test_marks_in_a_text_make_no_heading(spark):
+    assert [(c["heading"], c["text"]) for c in chunked(spark, "<p>one ﷐two﷑ three \x01\x03four\x01\x04 five</p>")] == [("", "one ﷐two﷑ three \x01\x03four\x01\x04 five")]
