@@ -11,6 +11,8 @@ from ..functions import text as T
 from ..functions.scores import recall_at
 from . import search as R
 
+#: Hits that are looked at.
+HITS = 10
 #: Takes queries (qid, query); gives (qid, rank, doc).
 Strategy = Callable[[DataFrame], DataFrame]
 
@@ -49,14 +51,14 @@ def cosine_docs(store: DataFrame, vectors: Callable[[DataFrame], DataFrame], k:
     return lambda queries: _first_ranks(R.cosine(vectors(queries), store, k))
 
 
-def hybrid_docs(store: DataFrame, bm25: R.Bm25, vectors: Callable[[DataFrame], DataFrame], k: int = 10) -> Strategy:
+def hybrid_docs(store: DataFrame, bm25: R.Ranked, vectors: Callable[[DataFrame], DataFrame], k: int = 10) -> Strategy:
     return lambda queries: R.hybrid(vectors(queries), store, bm25, k).select("qid", "rank", F.col("source").alias("doc"))
 
 
 def run(queries: DataFrame, strategy: Strategy) -> DataFrame:
-    """(ord, id, query, hits, recall_5, recall_10), all queries in one plan; hits are the first ten."""
+    """(ord, id, query, hits, recall_5, recall_10), all queries in one plan; hits are the first HITS."""
     asked = queries.select(F.col("ord").alias("qid"), "query")
-    hits = strategy(asked).where("rank <= 10").groupBy("qid").agg(F.array_sort(F.collect_list(F.struct("rank", "doc"))).alias("hs"))
+    hits = strategy(asked).where(F.col("rank") <= HITS).groupBy("qid").agg(F.array_sort(F.collect_list(F.struct("rank", "doc"))).alias("hs"))
     found = queries.join(hits, queries["ord"] == hits["qid"], "left")
     docs = F.coalesce(F.transform("hs", lambda h: h["doc"]), F.expr("cast(array() as array<string>)"))
     rows = found.withColumn("hits", docs)

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import reduce
+from typing import Protocol
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +23,8 @@ from ..functions import scores as S
 from ..functions import text as T
 from ..scratch import written
 from .best import Best
+from .needles import matched
+from .order import numbered
 
 #: Takes queries (qid, query); gives (qid, rank, file, matches, snippet).
 Searcher = Callable[[DataFrame], DataFrame]
@@ -55,7 +58,12 @@ def _blocks(queries: DataFrame) -> list[DataFrame]:
     return [queries.where(block == i) for i in range(parts)]
 
 
-def _named(spark: SparkSession, found: DataFrame, qids: list, kind: StructType) -> DataFrame:
+def asked_terms(queries: DataFrame) -> list[list]:
+    """Blocks of (qid, ts), queries with their terms."""
+    return [block.select("qid", T.words(F.coalesce("query", F.lit(""))).alias("ts")).collect() for block in _blocks(queries)]
+
+
+def named(spark: SparkSession, found: DataFrame, qids: list, kind: StructType) -> DataFrame:
     """Hits of numbered queries with the queries' own ids."""
     names = spark.createDataFrame(list(enumerate(qids)), StructType([StructField("q", IntegerType()), *kind.fields]))
     return found.join(F.broadcast(names), "q").drop("q")  # a block's queries
@@ -116,7 +124,7 @@ def nearest(queries: DataFrame, store: DataFrame, k: int = TOP) -> DataFrame:
             yield from best.batches(arrow)
 
         hits = store.select("id", "embedding", "norm").where("embedding is not null").mapInArrow(task, _hits(kind.schema))
-        found.append(_named(store.sparkSession, hits, [r["qid"] for r in asked], block.select("qid").schema))
+        found.append(named(store.sparkSession, hits, [r["qid"] for r in asked], block.select("qid").schema))
     return ranked(reduce(DataFrame.unionByName, found), [F.desc("score"), F.col("id")], k).select("qid", "rank", "id", "score")
 
 
@@ -141,19 +149,11 @@ class Bm25:
     Equal ids hold equal texts: an id is found once, but each of its rows
     counts in the number of rows, the document frequencies and the mean length.
     ``words`` has a row for each row of ``chunks``: id, dl (its words), terms and tfs (its distinct words and their
-    counts). It is what an index keeps: :meth:`write` and :meth:`read`.
+    counts). Every search reads all of it; an index that is kept is a :class:`postings.InvertedIndex`.
     """
 
-    def __init__(self, chunks: DataFrame, words: DataFrame | None = None):
-        self.words = _counted(chunks) if words is None else words
-
-    @classmethod
-    def read(cls, spark: SparkSession, path: str) -> Bm25:
-        words = spark.read.parquet(path)
-        return cls(words, words)
-
-    def write(self, path: str) -> None:
-        self.words.write.mode("overwrite").parquet(path)
+    def __init__(self, chunks: DataFrame):
+        self.words = counted(chunks)
 
     @property
     def stats(self) -> DataFrame:
@@ -176,7 +176,7 @@ class Bm25:
         """
         spark = self.words.sparkSession
         kind = self.words.select("id").schema
-        blocks = [block.select("qid", T.words(F.coalesce("query", F.lit(""))).alias("ts")).collect() for block in _blocks(queries)]
+        blocks = asked_terms(queries)
         terms = sorted({t for block in blocks for r in block for t in r["ts"]})
         value_set = pa.array(terms, pa.string())
 
@@ -199,12 +199,12 @@ class Bm25:
         average = max(total / max(n, 1), 1e-9)
         weight = np.log((n - df + 0.5) / (df + 0.5) + 1)
         place = {t: i for i, t in enumerate(terms)}
-        found = [_named(spark, held.mapInArrow(_score(block, place, weight, average, max(k, 0), kind), _hits(kind)), [r["qid"] for r in block], queries.select("qid").schema) for block in blocks]
+        found = [named(spark, held.mapInArrow(_score(block, place, weight, average, max(k, 0), kind), _hits(kind)), [r["qid"] for r in block], queries.select("qid").schema) for block in blocks]
         once = reduce(DataFrame.unionByName, found).groupBy("qid", "id").agg(F.max("score").alias("score"))
         return ranked(once, [F.desc("score"), F.col("id")], max(k, 0)).select("qid", "rank", "id", "score")
 
 
-def _counted(chunks: DataFrame) -> DataFrame:
+def counted(chunks: DataFrame) -> DataFrame:
     kind = chunks.select("id").schema
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,30 +222,55 @@ def _counted(chunks: DataFrame) -> DataFrame:
     return rows.mapInArrow(task, StructType([*kind.fields, *_counts(StringType())]))
 
 
+class Uses:
+    """Which queries use which terms, how often; terms by their place, uses sorted by term."""
+
+    def __init__(self, block: list, place: dict[str, int]):
+        uses = sorted((place[t], q, c) for q, r in enumerate(block) for t, c in Counter(r["ts"]).items())
+        self.n, self.term, self.query, self.times = len(block), *(np.array(x, np.int64) for x in (zip(*uses, strict=True) if uses else ([], [], [])))
+        self.first = np.searchsorted(self.term, np.arange(len(place) + 1))
+
+    def of(self, t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of each of ``t``, terms, how many uses it has, and all of these one after another."""
+        many = self.first[t + 1] - self.first[t]
+        return many, np.repeat(self.first[t] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+
+    def table(self, row: np.ndarray, t: np.ndarray, part: np.ndarray, rows: int) -> np.ndarray:
+        """(queries, rows): sums of the parts that terms ``t`` have in their rows; -inf where a query has no term.
+
+        Parts are added as whole numbers of 2**-40, so that a score does not depend on the order of its parts.
+        """
+        many, use = self.of(t)
+        cell = np.repeat(row, many) * self.n + self.query[use]
+        score = np.bincount(cell, np.rint(np.repeat(part, many) * self.times[use] * float(1 << 40)), rows * self.n) / float(1 << 40)
+        there = np.bincount(cell, minlength=rows * self.n) > 0
+        return np.where(there, score, -np.inf).reshape(-1, self.n).T
+
+    def bounds(self, weight: np.ndarray, t: np.ndarray, peak: np.ndarray) -> np.ndarray:
+        """For each query the sum of its terms' greatest parts; -inf for a query without any of the terms ``t``."""
+        order = np.lexsort((-peak, t))
+        t, peak = t[order], peak[order]
+        first = np.r_[True, t[1:] != t[:-1]] if len(t) else np.zeros(0, bool)
+        t, peak = t[first], peak[first]
+        many, use = self.of(t)
+        found = np.bincount(self.query[use], np.repeat(weight[t] * peak, many) * self.times[use], self.n)
+        return np.where(np.bincount(self.query[use], minlength=self.n) > 0, found * (1 + 1e-9) + 1e-9, -np.inf)
+
+
 def _score(block: list, place: dict[str, int], weight: np.ndarray, average: float, k: int, kind: StructType):
     """A task that gives the ``k`` best rows of each query of a block."""
-    uses = sorted((place[t], q, c) for q, r in enumerate(block) for t, c in Counter(r["ts"]).items())
-    term, query, times = (np.array(x, np.int64) for x in zip(*uses, strict=True)) if uses else (np.empty(0, np.int64),) * 3
-    first = np.searchsorted(term, np.arange(len(place) + 1))
+    uses = Uses(block, place)
     arrow = pa.int64() if kind["id"].dataType.typeName() == "long" else pa.string()
-    n = len(block)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = Best(n, k)
+        best = Best(uses.n, k)
         for whole in batches:
-            for low in range(0, whole.num_rows if n and k else 0, ROWS):
+            for low in range(0, whole.num_rows if uses.n and k else 0, ROWS):
                 batch = whole.slice(low, ROWS)
                 row = pc.list_parent_indices(batch.column("terms")).to_numpy()
                 t, tf = batch.column("terms").flatten().to_numpy(), batch.column("tfs").flatten().to_numpy().astype(np.float64)
                 dl = batch.column("dl").to_numpy()[row]
-                part = weight[t] * (tf * (S.K1 + 1) / (tf + S.K1 * (1 - S.B + S.B * dl / average)))
-                many = first[t + 1] - first[t]
-                use = np.repeat(first[t] - (np.cumsum(many) - many), many) + np.arange(many.sum())
-                cell = np.repeat(row, many) * n + query[use]
-                # parts are added as whole numbers of 2**-40, so that a score does not depend on the order of its parts
-                score = np.bincount(cell, np.rint(np.repeat(part, many) * times[use] * float(1 << 40)), batch.num_rows * n) / float(1 << 40)
-                there = np.bincount(cell, minlength=batch.num_rows * n) > 0
-                table = np.where(there, score, -np.inf).reshape(-1, n).T
+                table = uses.table(row, t, weight[t] * (tf * (S.K1 + 1) / (tf + S.K1 * (1 - S.B + S.B * dl / average))), batch.num_rows)
                 for q in np.flatnonzero((table > -np.inf).any(axis=1) & (table.max(axis=1) >= best.least)).tolist():
                     rows = best.candidates(q, table[q])
                     rows = rows[table[q, rows] > -np.inf]
@@ -255,7 +280,13 @@ def _score(block: list, place: dict[str, int], weight: np.ndarray, average: floa
     return task
 
 
-def hybrid(queries: DataFrame, store: DataFrame, bm25: Bm25, k: int = TOP, tier: str | None = None) -> DataFrame:
+class Ranked(Protocol):
+    """What finds (qid, rank, id, score) for (qid, query): :class:`Bm25` or an inverted index."""
+
+    def search(self, queries: DataFrame, k: int = TOP) -> DataFrame: ...
+
+
+def hybrid(queries: DataFrame, store: DataFrame, bm25: Ranked, k: int = TOP, tier: str | None = None) -> DataFrame:
     """(qid, rank, store columns, score): reciprocal-rank fusion of cosine and BM25 by source, shown by its best chunk.
 
     ``queries`` has qid, query and vector. Each side brings max(k, 10) * 2
@@ -278,20 +309,16 @@ def hybrid(queries: DataFrame, store: DataFrame, bm25: Bm25, k: int = TOP, tier:
     return store.select(shown).join(small(top), "id").select("qid", "rank", *shown, "score")
 
 
-def fulltext(queries: DataFrame, files: DataFrame, snippet: int = 240) -> DataFrame:
-    """(qid, rank, file, matches, snippet): files by their number of matches, ties by name; every match counts, no limit.
+def fulltext(queries: DataFrame, files: DataFrame, snippet: int = 240, k: int | None = None) -> DataFrame:
+    """(qid, rank, file, matches, snippet): files by their number of matches, ties by name; every match counts.
 
-    ``queries`` has qid and query; ``files`` has file and text. A blank query has no hits.
+    ``queries`` has qid and query; ``files`` has file and text. A blank query has no hits. All hits are ranked, by
+    range and not in a task a query; with ``k`` the first ones alone, and each task passes on no more.
     """
-    found = []
-    lowered = files.select("file", "text", F.lower("text").alias("__low"))
-    for block in _blocks(queries):
-        asked = block.select("qid", T.trim(F.col("query")).alias("q")).where("q <> ''").select("qid", "q", F.lower("q").alias("low"))
-        row = asked.agg(F.collect_list(F.struct("qid", "q", "low")).alias("__qs"))  # a block's queries, at most MOST_QUERIES, in one row
-        # a file's text is lowered once, and only the queries it holds become rows
-        held = F.explode_outer(F.filter("__qs", lambda q: F.contains(F.col("__low"), q["low"])))
-        pairs = lowered.crossJoin(F.broadcast(row)).select("file", "text", held.alias("__q")).where("__q is not null")
-        found.append(pairs.select("__q.qid", "file", T.match_count(F.col("text"), F.col("__q.q")).alias("matches"), T.first_match(F.col("text"), F.col("__q.q"), snippet).alias("snippet")))
-    hits = reduce(DataFrame.unionByName, found).where("matches > 0")
-    w = Window.partitionBy("qid").orderBy(F.desc("matches"), "file")
-    return hits.select("qid", F.row_number().over(w).alias("rank"), "file", "matches", "snippet")
+    asked = queries.select("qid", F.lower(T.trim(F.col("query"))).alias("low")).where("low <> ''").collect()  # a stated set
+    needles = sorted({r["low"] for r in asked if "\n" not in r["low"]})  # a query that spans lines has no match
+    place = {n: i for i, n in enumerate(needles)}
+    names = queries.sparkSession.createDataFrame([(r["qid"], place[r["low"]]) for r in asked if r["low"] in place], StructType([queries.schema["qid"], StructField("needle", IntegerType())]))
+    hits = matched(files, needles, snippet).join(F.broadcast(names), "needle").drop("needle")  # the queries that were collected
+    order = [F.desc("matches"), F.col("file")]
+    return (numbered(hits, "qid", order) if k is None else ranked(hits, order, k)).select("qid", "rank", "file", "matches", "snippet")

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from ..errors import EvalError, StoreError
 from ..operators import chunk, embed, evaluate, store
-from ..operators.search import Bm25, Searcher, fulltext
+from ..operators.postings import InvertedIndex
+from ..operators.search import Searcher, fulltext
 from ..sources import artifacts, corpus, manifest
 
 Progress = Callable[[str, int], None]
@@ -29,14 +30,14 @@ def chunk_corpus(spark: SparkSession, folder: str, on_source: Progress | None =
 
 
 def build(spark: SparkSession, folder: str, index: str, call: embed.Embedder, *, model: str = embed.MODEL, on_source: Progress | None = None) -> DataFrame:
-    """Write chunks, their words, embeddings and a description under ``index``; one row: chunks, vectors, reused, dim.
+    """Write chunks, their inverted index, embeddings and a description under ``index``; one row: chunks, vectors, reused, dim.
 
     Vectors of an index of the same model are used again. They are written to
     a new folder, which the description then names.
     """
     made = chunk_corpus(spark, folder, on_source)
     artifacts.write_chunks(made, f"{index}/chunks")
-    Bm25(artifacts.read_chunks(spark, f"{index}/chunks")).write(f"{index}/words")
+    InvertedIndex.write(artifacts.read_chunks(spark, f"{index}/chunks"), f"{index}/postings")
     return embed_index(spark, index, call, model=model)
 
 
@@ -76,21 +77,21 @@ def load_store(spark: SparkSession, index: str) -> DataFrame:
     return store.load(chunks, vectors)
 
 
-def load(spark: SparkSession, index: str) -> tuple[DataFrame, Bm25]:
-    """The store and the words of the same chunks, as the index keeps them."""
-    return load_store(spark, index), Bm25.read(spark, f"{index}/words")
+def load(spark: SparkSession, index: str) -> tuple[DataFrame, InvertedIndex]:
+    """The store and the inverted index of the same chunks."""
+    return load_store(spark, index), InvertedIndex(spark, f"{index}/postings")
 
 
-def searcher(spark: SparkSession, folder: str) -> Searcher:
-    """Full-text search over a corpus folder; bytes that are not UTF-8 are replaced."""
+def searcher(spark: SparkSession, folder: str, k: int | None = None) -> Searcher:
+    """Full-text search over a corpus folder, of all hits or the first ``k``; bytes that are not UTF-8 are replaced."""
     files = corpus.files(spark, folder).select("file", corpus.lossy_text(F.col("content")).alias("text"))
-    return lambda queries: fulltext(queries, files)
+    return lambda queries: fulltext(queries, files, k=k)
 
 
 def strategy(spark: SparkSession, name: str, *, folder: str, index: str, vectors: Callable[[DataFrame], DataFrame]) -> evaluate.Strategy:
     """The named strategy over what is stored; an index that cannot be loaded fails here, not when it is asked."""
     if name == "fulltext":
-        return evaluate.fulltext_docs(searcher(spark, folder))
+        return evaluate.fulltext_docs(searcher(spark, folder, evaluate.HITS))
     try:
         if name == "hybrid":
             return evaluate.hybrid_docs(*load(spark, index), vectors)

@@ -27,15 +27,21 @@ def folder(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def place(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, which a :func:`step` that is open deletes."""
+    path = f"{folder(spark)}/heronry-{name}-{uuid.uuid4().hex}"
+    for made in _steps.get():
+        made.append(path)
+    return path
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back: the lineage ends here.
 
     A lost executor costs only the tasks it ran: files of finished tasks stay.
     """
     spark = df.sparkSession
-    path = f"{folder(spark)}/heronry-{name}-{uuid.uuid4().hex}"
-    for made in _steps.get():
-        made.append(path)
+    path = place(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
