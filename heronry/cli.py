@@ -91,6 +91,7 @@ def _prompt(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def _ingest(spark: SparkSession, a: argparse.Namespace) -> None:
+    corpus.settle(spark, a.corpus)
     report = corpus.ingest(spark, manifest.read(spark, f"{a.corpus}/manifest.json"), a.corpus)
     for r in report.orderBy("ord").collect():
         print(f"{r['action']}  {r['name']}")

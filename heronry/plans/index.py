@@ -19,6 +19,7 @@ Progress = Callable[[str, int], None]
 
 def chunk_corpus(spark: SparkSession, folder: str, on_source: Progress | None = None) -> DataFrame:
     """Chunks of every source of the folder's manifest, in its order. A source without a file fails."""
+    corpus.settle(spark, folder)
     sources = manifest.read(spark, f"{folder}/manifest.json").withColumn("file", manifest.file_name(F.col("name"), F.col("format")))
     joined = sources.join(corpus.files(spark, folder), "file", "left")
     content = F.when(F.col("content").isNull(), F.raise_error(F.concat(F.lit("no file "), "file"))).otherwise(corpus.strict_text(F.col("content")))

@@ -1,27 +1,90 @@
-"""Corpus files: listing, assembling source trees, and ingestion under pinned hashes."""
+"""Corpus files: listing, assembling source trees, and ingestion under pinned hashes.
+
+What an ingestion brings is published as a whole: its files and its manifest
+are complete in a staging folder before an empty file, ``.commit-<name>``, says
+so. From then on they count. They are moved to their places; who finds that
+file later, because the driver was lost meanwhile, moves what is left.
+"""
 
 from __future__ import annotations
 
-import hashlib
-import urllib.request
+import time
 import uuid
-from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..errors import FetchError, HashMismatch, IngestError, SearchError
+from ..errors import HashMismatch, IngestError, SearchError
+from . import fetching
 from . import manifest as m
+from .fetching import Fetcher, Wanted
+
+_STAGED, _COMMIT = ".staged-", ".commit-"
+#: Seconds after which a staging folder that nobody has committed is taken for left behind.
+ABANDONED = 86_400
+
+
+class Folder:
+    """A corpus folder in the file system that Spark finds for it."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        at = self.path(folder)
+        self.fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        self.at = self.fs.makeQualified(at)
+
+    def exists(self) -> bool:
+        return self.fs.exists(self.at)
+
+    def names(self, of: str = "") -> list[str]:
+        return sorted(s.getPath().getName() for s in self.fs.listStatus(self.path(self.at, of) if of else self.at))
+
+    def uri(self, name: str) -> str:
+        return self.path(self.at, name).toString()
+
+    def move(self, name: str, to: str) -> None:
+        """Put a file in its place, whatever is there."""
+        target = self.path(self.at, to)
+        self.fs.delete(target, False)
+        if not self.fs.rename(self.path(self.at, name), target):
+            raise IngestError(f"cannot publish {to}")
+
+    def commit(self, turn: str) -> None:
+        self.fs.create(self.path(self.at, _COMMIT + turn), False).close()
 
-Fetcher = Callable[[str], bytes]
-FETCH_SECONDS = 60
+    def settle(self) -> None:
+        """Move the files of committed ingestions to their places; done again or by several at once it does no harm."""
+        for mark in [n for n in self.names() if n.startswith(_COMMIT)]:
+            staged = _STAGED + mark[len(_COMMIT) :]
+            if self.fs.exists(self.path(self.at, staged)):
+                for name in self.names(staged):
+                    if not name.startswith("."):
+                        self.move(f"{staged}/{name}", name)
+            self.drop(staged)
+            self.drop(mark)
+
+    def drop(self, name: str) -> None:
+        self.fs.delete(self.path(self.at, name), True)
+
+    def clean(self) -> None:
+        """Remove staging folders that were left behind."""
+        for s in self.fs.listStatus(self.at):
+            if s.getPath().getName().startswith(_STAGED) and s.getModificationTime() / 1000 < time.time() - ABANDONED:
+                self.drop(s.getPath().getName())
+
+
+def settle(spark: SparkSession, folder: str) -> None:
+    """See :meth:`Folder.settle`; whoever reads a corpus folder begins with it."""
+    at = Folder(spark, folder)
+    if at.exists():
+        at.settle()
 
 
 def files(spark: SparkSession, folder: str) -> DataFrame:
     """(file, content) of the folder's own .html and .txt files. A folder that is not there fails."""
-    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    if not at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
+    if not Folder(spark, folder).exists():
         raise SearchError(f"no folder {folder}")
+    settle(spark, folder)
     found = spark.read.format("binaryFile").option("pathGlobFilter", "*.{html,txt}").load(folder)
     return found.select(F.element_at(F.split("path", "/"), -1).alias("file"), "content")
 
@@ -50,28 +113,12 @@ def tree(spark: SparkSession, folder: str) -> DataFrame:
 
 def http_fetcher(url: str) -> bytes:
     """The body of a page; other statuses than success are errors."""
-    try:
-        with urllib.request.urlopen(url, timeout=FETCH_SECONDS) as r:
-            return r.read()
-    except OSError as e:
-        raise FetchError(f"cannot fetch {url}: {e}") from e
+    return b"".join(fetching.http_pieces(url))
 
 
 def local_fetcher(spark: SparkSession) -> Fetcher:
     """Fetches ``file://`` addresses alone: a file's bytes, or a folder as a :func:`tree`."""
-
-    def fetch(url: str) -> bytes:
-        if not url.startswith("file://"):
-            raise FetchError(f"not a file:// address: {url}")
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(url)
-        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(path):
-            raise FetchError(f"cannot read {url}")
-        if fs.getFileStatus(path).isDirectory():
-            return (tree(spark, url).first()["text"] or "").encode()
-        return bytes(spark.read.format("binaryFile").load(url).first()["content"])
-
-    return fetch
+    return lambda url: b"".join(fetching.local_pieces(url))
 
 
 def verify(sources: DataFrame, found: DataFrame) -> DataFrame:
@@ -92,48 +139,34 @@ def fetched_count(report: DataFrame) -> int:
 def ingest(spark: SparkSession, sources: DataFrame, folder: str, fetch: Fetcher | None = None) -> DataFrame:
     """Bring the corpus folder to its manifest: (ord, name, action).
 
-    Sources whose file has its pinned hash are skipped. The others are all
-    fetched to a folder of their own and verified before anything is published,
-    so a mismatch leaves the corpus as it was, and the driver holds one source
-    at a time. The resolved manifest is written beside the files.
+    Sources whose file has its pinned hash are skipped. The others are fetched
+    by the executors, one a task, to a folder of their own; ``fetch`` runs there.
+    All are verified before anything is published with the resolved manifest
+    beside it, so a mismatch leaves the corpus as it was, and whatever stops the
+    driver leaves the old corpus or the new one.
     """
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    at = jvm.org.apache.hadoop.fs.Path(folder)
-    fs = at.getFileSystem(conf)
-    fs.mkdirs(at)
-    found = files(spark, folder) if any(s.isFile() for s in fs.listStatus(at)) else spark.createDataFrame([], "file string, content binary")
-    report = verify(sources, found).orderBy("ord").collect()
+    at = Folder(spark, folder)
+    at.fs.mkdirs(at.at)
+    at.settle()
+    at.clean()
+    some = any(s.isFile() for s in at.fs.listStatus(at.at))
+    report = verify(sources, files(spark, folder) if some else spark.createDataFrame([], "file string, content binary")).orderBy("ord").collect()
     rows = {r["name"]: r for r in sources.withColumn("file", m.file_name(F.col("name"), F.col("format"))).collect()}
-    local = local_fetcher(spark)
-    staged, hashes = [], {}
-    staging = jvm.org.apache.hadoop.fs.Path(at, f".staged-{uuid.uuid4().hex}")
-
-    def put(name: str, body: bytes) -> None:
-        out = fs.create(jvm.org.apache.hadoop.fs.Path(staging, name), True)
-        out.write(bytearray(body))
-        out.close()
-        staged.append(name)
-
-    fs.setWriteChecksum(False)  # a file that someone changes later is then read, found to differ, and fetched again
+    turn = uuid.uuid4().hex
+    staged = _STAGED + turn
+    at.fs.mkdirs(at.path(at.at, staged))
     try:
-        for r in report:
-            if r["action"] == "fetched":
-                source = rows[r["name"]]
-                get = fetch or (local if source["url"].startswith("file://") else http_fetcher)
-                body = get(source["url"])
-                actual = hashlib.sha256(body).hexdigest()
-                if source["hash"] is not None and actual != source["hash"]:
-                    raise HashMismatch(source["name"], source["hash"], actual)
-                put(source["file"], body)
-                hashes[source["name"]] = actual
+        wanted = [Wanted(r["name"], rows[r["name"]]["url"], rows[r["name"]]["file"]) for r in report if r["action"] == "fetched"]
+        hashes = fetching.fetched(spark, wanted, at.uri(staged), fetch)
+        for w in wanted:
+            if rows[w.name]["hash"] is not None and hashes[w.name] != rows[w.name]["hash"]:
+                raise HashMismatch(w.name, rows[w.name]["hash"], hashes[w.name])
         pinned = spark.createDataFrame(list(hashes.items()), "name string, found string")
-        put("manifest.json", m.to_json(sources.join(pinned, "name", "left").withColumn("hash", F.coalesce("found", "hash"))).encode())
-        for name in staged:
-            to = jvm.org.apache.hadoop.fs.Path(at, name)
-            fs.delete(to, False)
-            if not fs.rename(jvm.org.apache.hadoop.fs.Path(staging, name), to):
-                raise IngestError(f"cannot publish {to}")
-    finally:
-        fs.delete(staging, True)
-        fs.setWriteChecksum(True)
+        resolved = m.to_json(sources.join(pinned, "name", "left").withColumn("hash", F.coalesce("found", "hash"))).encode()
+        fetching.keep("manifest", at.uri(staged), "manifest.json", lambda _: resolved)
+    except BaseException:
+        at.drop(staged)
+        raise
+    at.commit(turn)
+    at.settle()
     return spark.createDataFrame([(r["ord"], r["name"], r["action"]) for r in report], "ord int, name string, action string")

@@ -50,8 +50,13 @@ def test_broken_json_fails(spark, tmp_path):
 
 def test_ingest_fetches_once_repairs_and_pins(spark, tmp_path):
     at = write_manifest(tmp_path / "c", source("a"), source("b", format="text"))
-    asked = []
-    fetch = lambda url: asked.append(url) or f"content {url[-1]}".encode()
+    log = tmp_path / "asked"  # executors fetch, so what they are asked goes to a file
+
+    def fetch(url):
+        with log.open("a") as f:
+            f.write(f"{url}\n")
+        return f"content {url[-1]}".encode()
+
     report = corpus.ingest(spark, manifest.read(spark, f"{at}/manifest.json"), at, fetch)
     assert corpus.fetched_count(report) == 2
     assert (tmp_path / "c" / "a.html").read_bytes() == b"content a"
@@ -61,7 +66,7 @@ def test_ingest_fetches_once_repairs_and_pins(spark, tmp_path):
     (tmp_path / "c" / "b.txt").write_text("damaged")
     again = corpus.ingest(spark, manifest.read(spark, f"{at}/manifest.json"), at, fetch)
     assert [r["action"] for r in again.orderBy("ord").collect()] == ["skipped", "fetched"]
-    assert asked == ["https://x/a", "https://x/b", "https://x/b"]
+    assert sorted(log.read_text().split()) == ["https://x/a", "https://x/b", "https://x/b"]
 
 
 def test_a_mismatch_publishes_nothing(spark, tmp_path):
@@ -208,4 +213,108 @@ def test_a_step_leaves_its_last_table_alone(spark):
     with pytest.raises(ZeroDivisionError), scratch.step(spark):
         kept, _ = scratch.written(last, "kept"), scratch.written(last, "other")
         1 / 0
-    assert kept.count() == 3 and not scratch._steps
+    assert kept.count() == 3 and not scratch._steps.get()
+
+
+class Lost(Exception):
+    """What stops a driver in a test."""
+
+
+def unpinned(spark, at):
+    """The sources as the manifest has them now, whatever it will say."""
+    rows = manifest.read(spark, f"{at}/manifest.json")
+    return spark.createDataFrame(rows.collect(), rows.schema)
+
+
+def held(at):
+    return {f.name: f.read_bytes() for f in at.iterdir() if f.is_file() and not f.name.startswith(".")}
+
+
+@pytest.mark.parametrize("moved", range(4))
+def test_a_driver_lost_while_it_publishes_leaves_the_new_corpus(spark, tmp_path, monkeypatch, moved):
+    at = write_manifest(tmp_path / "c", source("a"), source("b", format="text"))
+    sources = unpinned(spark, at)
+    corpus.ingest(spark, sources, at, lambda url: b"old " + url[-1].encode())
+    for f in ("a.html", "b.txt"):
+        (tmp_path / "c" / f).write_bytes(b"changed")
+    move, left = corpus.Folder.move, [moved]
+
+    def stopping(self, name, to):
+        if not left[0]:
+            raise Lost
+        left[0] -= 1
+        move(self, name, to)
+
+    monkeypatch.setattr(corpus.Folder, "move", stopping)
+    if moved < 3:
+        with pytest.raises(Lost):
+            corpus.ingest(spark, sources, at, lambda url: b"new " + url[-1].encode())
+    else:
+        corpus.ingest(spark, sources, at, lambda url: b"new " + url[-1].encode())
+    monkeypatch.setattr(corpus.Folder, "move", move)
+    assert {r["file"]: bytes(r["content"]) for r in corpus.files(spark, at).collect()} == {"a.html": b"new a", "b.txt": b"new b"}
+    pinned = {r["name"]: r["hash"] for r in manifest.read(spark, f"{at}/manifest.json").collect()}
+    assert pinned == {n: hashlib.sha256(f"new {n}".encode()).hexdigest() for n in "ab"}
+    assert sorted(f.name for f in (tmp_path / "c").iterdir()) == ["a.html", "b.txt", "manifest.json"]
+
+
+@pytest.mark.parametrize("where", ["fetch", "commit"])
+def test_a_driver_lost_before_the_commit_leaves_the_old_corpus(spark, tmp_path, monkeypatch, where):
+    at = write_manifest(tmp_path / "c", source("a"), source("b", format="text"))
+    sources = unpinned(spark, at)
+    corpus.ingest(spark, sources, at, lambda url: b"old " + url[-1].encode())
+    (tmp_path / "c" / "a.html").write_bytes(b"changed")
+    before = held(tmp_path / "c")
+
+    def lost(*args):
+        raise Lost
+
+    monkeypatch.setattr(*((corpus.fetching, "fetched") if where == "fetch" else (corpus.Folder, "commit")), lost)
+    with pytest.raises(Lost):
+        corpus.ingest(spark, sources, at, lambda url: b"new")
+    monkeypatch.undo()
+    assert held(tmp_path / "c") == before
+    assert corpus.files(spark, at).count() == 2
+    monkeypatch.setattr(corpus, "ABANDONED", -1)
+    assert corpus.fetched_count(corpus.ingest(spark, sources, at, lambda url: b"new")) == 2
+    assert sorted(f.name for f in (tmp_path / "c").iterdir()) == ["a.html", "b.txt", "manifest.json"]
+
+
+def test_each_source_is_fetched_by_a_task_and_tried_again(spark, tmp_path):
+    log = tmp_path / "tries"
+    log.mkdir()
+
+    def fetch(url):
+        import os
+        import uuid
+
+        from heronry.errors import FetchError
+
+        (log / f"{url[-1]}-{os.getpid()}-{uuid.uuid4().hex}").touch()
+        if url.endswith("b") and len(list(log.glob("b-*"))) < 2:
+            raise FetchError("busy")
+        if url.endswith("c"):
+            raise FetchError("gone for good")
+        return iter([b"in ", b"pieces"])
+
+    at = write_manifest(tmp_path / "c", source("a"), source("b"))
+    corpus.ingest(spark, manifest.read(spark, f"{at}/manifest.json"), at, fetch)
+    assert held(tmp_path / "c").keys() == {"a.html", "b.html", "manifest.json"} and held(tmp_path / "c")["b.html"] == b"in pieces"
+    assert len(list(log.glob("b-*"))) == 2
+    import os
+
+    assert all(int(f.name.split("-")[1]) != os.getpid() for f in log.iterdir())
+    with pytest.raises(FetchError, match="gone for good"):
+        corpus.ingest(spark, manifest.read(spark, write_manifest(tmp_path / "d", source("c")) + "/manifest.json"), str(tmp_path / "d"), fetch)
+    assert [f.name for f in (tmp_path / "d").iterdir()] == ["manifest.json"] and len(list(log.glob("c-*"))) == 3
+
+
+def test_a_tree_is_fetched_file_by_file(spark, tmp_path):
+    """No more than one of its files is held, and the result is that of the one-row form."""
+    for i in range(30):
+        f = tmp_path / "t" / f"d{i % 4}" / f"F{i}.java"
+        f.parent.mkdir(exist_ok=True, parents=True)
+        f.write_bytes(f"class F{i} é".encode() + [b"", b"\xff", b"\xff\xff", b"\xe2\x82", b"\xf0\x9f\x98x", b"\xc0\x80", b"\xed\xa0\x80", b"\xf4\x90\x80\x80"][i % 8])
+    (tmp_path / "t" / "skip.txt").write_text("no")
+    found = list(corpus.fetching.local_pieces(f"file://{tmp_path}/t"))
+    assert b"".join(found).decode() == corpus.tree(spark, str(tmp_path / "t")).first()["text"] and max(map(len, found)) < 100
