@@ -111,7 +111,7 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return variants.grouped(variants.words(table(spark, sf_dir, "documents"))).select("word", "form", "root", "n", "n_near", "form_n")
+    return variants.grouped(variants.words(table(spark, sf_dir, "documents")), least_length=variants.LENGTH).select("word", "form", "root", "n", "n_near", "form_n")
 
 
 def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -41,13 +41,15 @@ from pyspark.sql import functions as F
 from .scratch import discard, written
 
 #: Free code points at which halving ends, and halvings at most.
-FREE, HALVINGS = 4, 4
+FREE, HALVINGS = 2, 4
 _TILE, _CELLS, _ROWS = 64, 1 << 21, 1 << 14
 #: Distinct words that a task counts before it passes its counts on.
 _KEPT = 1 << 19
 #: Runs of A-Z, a-z and U+00C0 to U+00FF in UTF-8, A-Z in lower case already.
 _RUN = re.compile(rb"(?:[a-z]++|(?:\xc3[\x80-\xbf])++)++")
 ONE_IN = 97
+#: Code points that a word has at least.
+LENGTH = 5
 
 
 def _runs(doc_id: int | None, text: str) -> Counter[bytes]:
@@ -62,7 +64,7 @@ def _runs(doc_id: int | None, text: str) -> Counter[bytes]:
     return found
 
 
-def words(docs: DataFrame, *, key: str = "doc_id", text: str = "text", least_length: int = 5, least: int = 3) -> DataFrame:
+def words(docs: DataFrame, *, key: str = "doc_id", text: str = "text", least_length: int = LENGTH, least: int = 3) -> DataFrame:
     """(word, n): runs of at least ``least_length`` code points that occur ``least`` times or more in all texts."""
 
     def rows(counts: Counter[bytes]) -> pa.RecordBatch:
@@ -114,10 +116,10 @@ def _path(length: np.ndarray, prefix: np.ndarray) -> np.ndarray:
     return path
 
 
-def _keys(word: str, shapes: dict[int, list[tuple[int, int, int]]]) -> Iterator[tuple[int, int, int]]:
-    """(key, length, path) of a word, as the shorter one of a pair or of its length, and as the longer one."""
+def _keys(word: str, shapes: dict[int, list[tuple[int, int, int]]], least: int = 1) -> Iterator[tuple[int, int, int]]:
+    """(key, length, path) of a word, as the shorter one of a pair or of its length, and as the longer one; no word is shorter than ``least``."""
     n = len(word)
-    for length in (n, n - 1):
+    for length in (n, n - 1) if n > least else (n,):
         if length not in shapes:
             shapes[length] = halved(length)
         for path, at, free in shapes[length]:
@@ -160,6 +162,8 @@ class _Rows:
         tiles = [some[i : i + tile] for i in range(0, len(some), tile)]
         for i, a in enumerate(tiles):
             left, right = self._matrices(a, width, -1)
+            if (self.size[a] > self.length[a]).all():
+                continue  # in a key shorter words stand first, and of a pair one is
             for j in range(i, len(tiles)):
                 b = tiles[j]
                 if i < j and self.key[b[0]] != self.key[a[-1]]:
@@ -229,19 +233,22 @@ def _rows(parts: list[pa.RecordBatch]) -> _Rows:
     return _Rows(number("key"), number("length"), number("path"), number("n"), t.column("word").to_pylist())
 
 
-def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    shapes: dict[int, list[tuple[int, int, int]]] = {}
-    for batch in batches:
-        each = [[*_keys(w, shapes)] for w in batch.column("word").to_pylist()]
-        row = pa.array(np.repeat(np.arange(len(each)), [len(x) for x in each]))
-        key, length, path = (pa.array([k[i] for x in each for k in x], kind) for i, kind in ((0, pa.int64()), (1, pa.int32()), (2, pa.int32())))
-        yield pa.record_batch([key, length, path, batch.column("n").take(row), batch.column("word").take(row)], names=["key", "length", "path", "n", "word"])
+def _keyed(least: int):
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shapes: dict[int, list[tuple[int, int, int]]] = {}
+        for batch in batches:
+            each = [[*_keys(w, shapes, least)] for w in batch.column("word").to_pylist()]
+            row = pa.array(np.repeat(np.arange(len(each)), [len(x) for x in each]))
+            key, length, path = (pa.array([k[i] for x in each for k in x], kind) for i, kind in ((0, pa.int64()), (1, pa.int32()), (2, pa.int32())))
+            yield pa.record_batch([key, length, path, batch.column("n").take(row), batch.column("word").take(row)], names=["key", "length", "path", "n", "word"])
+
+    return task
 
 
-def near(counted: DataFrame) -> DataFrame:
-    """(word, n_near, best_n, best) of the words that have near words; ``counted`` has word and n, each word once."""
-    keys = counted.mapInArrow(_keyed, "key long, length int, path int, n long, word string")
-    found = keys.repartition("key").sortWithinPartitions("length", "key").mapInArrow(_compared, "word string, near long, best_n long, best string")
+def near(counted: DataFrame, least_length: int = 1) -> DataFrame:
+    """(word, n_near, best_n, best) of the words that have near words; ``counted`` has word and n, each word once, none shorter than ``least_length``."""
+    keys = counted.mapInArrow(_keyed(least_length), "key long, length int, path int, n long, word string")
+    found = keys.repartition("key").sortWithinPartitions("length", "key", F.char_length("word")).mapInArrow(_compared, "word string, near long, best_n long, best string")
     best = F.min(F.struct((-F.col("best_n")).alias("n"), F.col("best").alias("word"))).alias("b")
     return found.groupBy("word").agg(F.sum("near").alias("n_near"), best).select("word", "n_near", (-F.col("b.n")).alias("best_n"), F.col("b.word").alias("best"))
 
@@ -258,10 +265,10 @@ def roots(forms: DataFrame) -> DataFrame:
             return known
 
 
-def grouped(counted: DataFrame, times: int = 2) -> DataFrame:
+def grouped(counted: DataFrame, times: int = 2, least_length: int = 1) -> DataFrame:
     """(word, n, n_near, form, form_n, root): a word's form is its most frequent near word if that is ``times`` as frequent."""
     counted = written(counted, "words")
-    known = written(near(counted), "near")
+    known = written(near(counted, least_length), "near")
     found = counted.join(known, "word", "left").withColumn("formed", F.col("best_n") >= F.col("n") * times)
     found = found.select("word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"), F.when(F.col("formed"), F.col("best")).alias("form"), F.when(F.col("formed"), F.col("best_n")).alias("form_n"))
     found = written(found, "forms")
