@@ -212,7 +212,8 @@ def mix(rows: DataFrame, sources: list[Source], *, block: int = BLOCK, seed: int
     """
     cut = [F.array_join(F.slice("ws", F.col("start").cast("int") + 1, F.col("length").cast("int")), " ").alias("words")] if "ws" in rows.columns else []
     parts = pieces(rows, block).select("src", "block", "key", "begin", "start", "length", "at", *cut)
-    found = slots(rows.sparkSession, sources, seed=seed).join(parts, ["src", "block"])
+    # Spark takes what a range of groups is mapped to for as small as the range
+    found = slots(rows.sparkSession, sources, seed=seed).hint("merge").join(parts, ["src", "block"])
     return found.select("shard", "slot", "at", "key", "src", "begin", "start", "length", *(["words"] if cut else []))
 
 
