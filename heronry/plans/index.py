@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..errors import EvalError, StoreError
-from ..operators import chunk, embed, evaluate, store
+from ..operators import chunk, embed, evaluate, scan, store
 from ..operators.postings import InvertedIndex
 from ..operators.search import Searcher, fulltext
 from ..sources import artifacts, corpus, manifest
@@ -30,6 +30,12 @@ def chunk_corpus(spark: SparkSession, folder: str, on_source: Progress | None =
     return made
 
 
+def chunk_tree(spark: SparkSession, folder: str, name: str, *, license: str, tier: str, ord: int = 0) -> DataFrame:
+    """Chunks of a source tree of any size, as of its text in one row: its files stay rows."""
+    docs = spark.createDataFrame([(ord, name, license, tier)], "ord long, name string, license string, tier string")
+    return scan.chunks(docs, scan.file_sections(corpus.tree_files(spark, folder).withColumn("doc", F.lit(ord).cast("long"))))
+
+
 def build(spark: SparkSession, folder: str, index: str, call: embed.Embedder, *, model: str = embed.MODEL, on_source: Progress | None = None) -> DataFrame:
     """Write chunks, their inverted index, embeddings and a description under ``index``; one row: chunks, vectors, reused, dim.
 

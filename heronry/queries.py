@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import text as T
-from .operators import chunk, embed, evaluate, prompt, search, store
+from .operators import chunk, embed, evaluate, prompt, scan, search, store
 from .operators.postings import InvertedIndex
 from .scratch import place
 from .sources import corpus, manifest
@@ -233,6 +233,18 @@ def chunk_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk.chunks(_documents(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("ord"), marked.alias("content")), "text"))
 
 
+_FILES = "'===== FILE: ' || doc_id || '.txt =====' || chr(10) || coalesce(text, '') || chr(10)"
+
+
+@query(_chunks_sql(_TEXT_SECTIONS, f"select substr(source, 4)::bigint as ord, source as name, {_TIER.format('substr(source, 4)::bigint')} as tier, string_agg({_FILES}, '' order by doc_id) as content from documents where source is not null group by source"))
+def chunk_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents of a source make one text, which is chunked without ever being in one row."""
+    rows = table(spark, sf_dir, "documents").where("source is not null").withColumn("doc", F.substring("source", 4, 20).cast("long"))
+    files = rows.select("doc", F.concat(F.col("doc_id").cast("string"), F.lit(".txt")).alias("name"), F.col("doc_id").alias("path"), "text")
+    docs = rows.select(F.col("doc").alias("ord"), F.col("source").alias("name"), F.lit("MIT").alias("license"), tier_of(F.col("doc")).alias("tier")).distinct()
+    return scan.chunks(docs, scan.file_sections(files))
+
+
 def _as_chunks(docs: DataFrame) -> DataFrame:
     """Documents as chunks of their source, with their id as the chunk's."""
     key = F.lpad(F.col("doc_id").cast("string"), 12, "0")

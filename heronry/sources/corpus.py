@@ -98,17 +98,23 @@ def strict_text(content: Column) -> Column:
     return F.validate_utf8(content.cast("string"))
 
 
+def tree_files(spark: SparkSession, folder: str) -> DataFrame:
+    """(name, path, text): all .java and .tla files below ``folder``, a row each; ``path``, the components, is their order."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder).toUri().getPath().rstrip("/")
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.{java,tla}").load(folder)
+    name = F.substring_index("path", root + "/", -1)
+    return found.select(name.alias("name"), F.split(name, "/").alias("path"), lossy_text(F.col("content")).alias("text"))
+
+
 def tree(spark: SparkSession, folder: str) -> DataFrame:
-    """One row: all .java and .tla files below ``folder`` as text, each after a marker line, in the order of path components.
+    """One row: the files of a tree as text, each after a marker line, in their order.
 
-    A tree is one source's document, so it meets in one row by nature.
+    The whole tree meets in this row; one that is too large for that is chunked
+    from its files, by :func:`plans.index.chunk_tree`.
     """
-    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder).toUri().getPath().rstrip("/")
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.{java,tla}").load(folder)
-    rel = F.substring_index("path", root + "/", -1)
-    part = F.concat(F.lit("===== FILE: "), rel, F.lit(" =====\n"), lossy_text(F.col("content")), F.lit("\n"))
-    parts = F.array_sort(F.collect_list(F.struct(F.split(rel, "/").alias("path"), part.alias("part"))))
-    return found.agg(F.array_join(F.transform(parts, lambda p: p["part"]), "").alias("text"))
+    part = F.concat(F.lit("===== FILE: "), F.col("name"), F.lit(" =====\n"), F.col("text"), F.lit("\n"))
+    parts = F.array_sort(F.collect_list(F.struct("path", part.alias("part"))))
+    return tree_files(spark, folder).agg(F.array_join(F.transform(parts, lambda p: p["part"]), "").alias("text"))
 
 
 def http_fetcher(url: str) -> bytes:
