@@ -48,21 +48,25 @@ def build(spark: SparkSession, folder: str, index: str, call: embed.Embedder, *,
     return embed_index(spark, index, call, model=model)
 
 
-def embed_index(spark: SparkSession, index: str, call: embed.Embedder, *, model: str = embed.MODEL, done: Accumulator | None = None) -> DataFrame:
+def embed_index(spark: SparkSession, index: str, call: embed.Embedder, *, model: str = embed.MODEL, done: Accumulator | None = None, limit: int = 0) -> DataFrame:
     """Embed the chunks of an index that have no vector of this model yet; one row: chunks, vectors, reused, dim.
 
-    ``done`` counts embedded chunks while tasks run.
+    ``done`` counts embedded chunks while tasks run. Batches are kept under
+    ``index`` as they are made, until the description names their vectors, so a
+    run that fails near its end costs the next one only what was left.
     """
     chunks = artifacts.read_chunks(spark, f"{index}/chunks")
     old = described(spark, index)
     existing = spark.read.parquet(f"{index}/{old['vectors']}") if old is not None and old["model"] == model else None
     turn = old["turn"] + 1 if old is not None else 0
     found = f"embeddings-{turn}"
-    embed.embed(chunks, call, existing, done=done).write.mode("overwrite").parquet(f"{index}/{found}")
+    ledger = embed.Ledger(spark, f"{index}/ledger", model)
+    embed.embed(chunks, call, existing, done=done, ledger=ledger, limit=limit).write.mode("overwrite").parquet(f"{index}/{found}")
     vectors = spark.read.parquet(f"{index}/{found}")
     dim = embed.dimension(vectors)
     result = embed.report(chunks, vectors, existing).first()
     spark.createDataFrame([(model, dim, found, turn)], "model string, dim int, vectors string, turn int").coalesce(1).write.mode("overwrite").parquet(f"{index}/meta")
+    ledger.clear()
     return spark.createDataFrame([result], "chunks long, vectors long, reused long, dim int")
 
 
