@@ -35,16 +35,21 @@ KINDS = ("assign", "access", "hex", "random")
 _ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 _ACCESS = r"AKIA[A-Z0-9]+"
 _HEX = r"[0-9a-f]{16,}"
-_MASK = "\ufdd0"
+# Stands for a character of a known form; and what stands for the same code point of a text, as long as it and in no pattern.
+_MASK, _OTHER = "\ufdd0", "\ufdd1"
 _TOKEN = rf"(?<![A-Za-z0-9+/_{_MASK}-])[A-Za-z0-9+/_-]{{20,}}+={{0,2}}+(?!{_MASK})"
 # A token of both base64 alphabets fits none: its runs of either are tried.
 _PARTS = (r"[A-Za-z0-9_-]{20,}={0,2}", r"[A-Za-z0-9+/]{20,}={0,2}")
 _UPPER, _LOWER, _DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
-#: Encodings from the narrowest: pattern, alphabet, chance that two symbols of a word-like token agree.
+#: Encodings from the narrowest (decimal and lower-case hexadecimal tokens are known forms already): pattern, alphabet, chance that two symbols of a word-like token agree.
 ENCODINGS = (
-    (r"^[0-9a-f]+$", _DIGITS + "abcdef", 0.125),
     (r"^[0-9A-F]+$", _DIGITS + "ABCDEF", 0.125),
+    (r"^[a-z]+$", _LOWER, 0.07),
+    (r"^[A-Z]+$", _UPPER, 0.07),
     (r"^[A-Z2-7]+=*$", _UPPER + "234567", 0.075),
+    (r"^[a-z2-7]+=*$", _LOWER + "234567", 0.075),
+    (r"^[0-9a-z]+$", _DIGITS + _LOWER, 0.07),
+    (r"^[0-9A-Z]+$", _DIGITS + _UPPER, 0.07),
     (r"^[A-Za-z0-9]+$", _UPPER + _LOWER + _DIGITS, 0.06),
     (r"^[A-Za-z0-9_-]+=*$", _UPPER + _LOWER + _DIGITS + "-_", 0.06),
     (r"^[A-Za-z0-9+/]+=*$", _UPPER + _LOWER + _DIGITS + "+/", 0.06),
@@ -187,7 +192,8 @@ def tokens(text: Column) -> Column:
 
     The known forms are overwritten first; what a token loses to one leaves it beside the mark, where none is taken.
     """
-    every = _spans(reduce(lambda t, k: _masked(t, *k[1:]), _KNOWN, text), _TOKEN, "random")
+    clear = F.replace(text, F.lit(_MASK), F.lit(_OTHER))  # no mark but those that are set here
+    every = _spans(reduce(lambda t, k: _masked(t, *k[1:]), _KNOWN, clear), _TOKEN, "random")
     mixed = lambda s: s["value"].rlike("[+/]") & s["value"].rlike("[_-]")
     shifted = lambda s, p: F.struct((s["start"] + p["start"]).alias("start"), (s["start"] + p["end"]).alias("end"), p["kind"].alias("kind"), p["value"].alias("value"))
     # no run is one of both alphabets: then it would be the whole token

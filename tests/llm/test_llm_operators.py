@@ -683,6 +683,30 @@ def test_random_tokens_are_told_from_words(spark):
     assert not any(s["kind"] == "random" for i in range(100, 100 + len(names)) for s in found[i]) and found[200] == []
 
 
+ALPHABETS = {"hex": "0123456789ABCDEF", "a-z": "abcdefghijklmnopqrstuvwxyz", "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "base32 lower": "abcdefghijklmnopqrstuvwxyz234567"}
+ALPHABETS |= {"base36": "0123456789abcdefghijklmnopqrstuvwxyz", "base36 upper": "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
+ALPHABETS |= {"base62": "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"}
+
+
+def test_longer_tokens_of_each_encoding_are_found_more_often(spark):
+    r = random.Random(5)
+    stems = "international organization configuration application programming environment responsibility communication architecture service request builder context".split()
+    rows = [(f"{a}:{n}", "see " + "".join(r.choice(letters) for _ in range(n)) + " here") for a, letters in ALPHABETS.items() for n in (32, 64, 256) for _ in range(40)]
+    rows += [("plain", "see " + r.choice(["", "_", "-"]).join(r.choices(stems, k=4)) + " here") for _ in range(1000)]
+    found = secrets.find(spark.createDataFrame(rows, "k string, text string"), keep=[F.col("k")])
+    share = {x["k"]: x["p"] for x in found.groupBy("k").agg(F.avg(F.exists("spans", lambda s: s["kind"] == "random").cast("int")).alias("p")).collect()}
+    assert share["plain"] <= 0.01
+    for a in ALPHABETS:
+        assert share[f"{a}:64"] >= 0.9 and share[f"{a}:256"] >= 0.9 and share[f"{a}:32"] <= share[f"{a}:64"] + 0.1, (a, share)
+
+
+def test_a_token_beside_any_code_point_is_tried(spark):
+    token = "Zq9kX7pLm2Vt8RbYw5NdHc3Jf6Gs1Ta4Qe0Wi"
+    rows = [(c, f"see {c}{token}{c} here") for c in ("\ufdd0", "\ufdd1", "\ufffe", "é")]
+    found = secrets.find(spark.createDataFrame(rows, "c string, text string"), keep=[F.col("c")]).collect()
+    assert all([(s["start"], s["end"]) for s in r["spans"]] == [(5, 5 + len(token))] for r in found) and len(found) == 4
+
+
 def test_no_long_token_is_dropped_untested(spark):
     r = random.Random(12)
     letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
