@@ -152,8 +152,8 @@ class Bm25:
     counts). Every search reads all of it; an index that is kept is a :class:`postings.InvertedIndex`.
     """
 
-    def __init__(self, chunks: DataFrame):
-        self.words = counted(chunks)
+    def __init__(self, chunks: DataFrame | None = None, *, words: DataFrame | None = None):
+        self.words = counted(chunks) if words is None else words
 
     @property
     def stats(self) -> DataFrame:

@@ -16,6 +16,7 @@ from .operators import chunk, embed, evaluate, prompt, scan, search, store
 from .operators.postings import InvertedIndex
 from .scratch import place
 from .sources import corpus, manifest
+from .streaming.index import StreamIndex
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -233,6 +234,17 @@ def chunk_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk.chunks(_documents(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("ord"), marked.alias("content")), "text"))
 
 
+@query(_chunks_sql(_TEXT_SECTIONS, f"select doc_id as ord, source as name, {_TIER.format('doc_id')} as tier, text as content from documents where text is not null"))
+def stream_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chunks of an index that has followed all documents as a stream."""
+    kind = table(spark, sf_dir, "documents").schema
+    arriving = spark.readStream.schema(kind).parquet(f"{sf_dir}/documents.parque[t]")  # a pattern, as a stream's path may not be a file
+    docs = arriving.select(F.col("doc_id").alias("ord"), F.col("source").alias("name"), F.lit("MIT").alias("license"), tier_of(F.col("doc_id")).alias("tier"), F.lit("text").alias("format"), F.col("text").alias("content"), F.lit(0).cast("long").alias("version"))
+    index = StreamIndex(spark, place(spark, "stream"))
+    index.follow(docs).awaitTermination()
+    return index.chunks()
+
+
 _FILES = "'===== FILE: ' || doc_id || '.txt =====' || chr(10) || coalesce(text, '') || chr(10)"
 
 
