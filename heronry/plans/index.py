@@ -12,18 +12,29 @@ from ..errors import EvalError, StoreError
 from ..operators import chunk, embed, evaluate, scan, store
 from ..operators.postings import InvertedIndex
 from ..operators.search import Searcher, fulltext
-from ..sources import artifacts, corpus, manifest
+from ..sources import artifacts, corpus, manifest, ranges
 
 Progress = Callable[[str, int], None]
+#: Bytes of a text file that may stand in a row.
+LARGE = 1 << 28
 
 
 def chunk_corpus(spark: SparkSession, folder: str, on_source: Progress | None = None) -> DataFrame:
-    """Chunks of every source of the folder's manifest, in its order. A source without a file fails."""
+    """Chunks of every source of the folder's manifest, in its order. A source without a file fails.
+
+    Text files of over LARGE bytes, which trees may be, are read in ranges and never stand in a row; their chunks are the same.
+    """
     corpus.settle(spark, folder)
     sources = manifest.read(spark, f"{folder}/manifest.json").withColumn("file", manifest.file_name(F.col("name"), F.col("format")))
-    joined = sources.join(corpus.files(spark, folder), "file", "left")
+    large = sources.where("format = 'text'").join(corpus.lengths(spark, folder).where(F.col("length") > LARGE), "file").select("ord", "name", "license", "tier", "file", "uri", "length")
+    few = large.collect()  # of a manifest's sources
+    whole = corpus.files(spark, folder, LARGE if few else None)
+    joined = sources.where(~F.col("file").isin([r["file"] for r in few])).join(whole, "file", "left")
     content = F.when(F.col("content").isNull(), F.raise_error(F.concat(F.lit("no file "), "file"))).otherwise(corpus.strict_text(F.col("content")))
     made = chunk.chunks(joined.withColumn("content", content))
+    if few:
+        docs = spark.createDataFrame([(r["ord"], r["name"], r["license"], r["tier"]) for r in few], "ord long, name string, license string, tier string")
+        made = made.unionByName(scan.chunks(docs, ranges.sections(spark, [(r["ord"], r["uri"], r["length"]) for r in few])))
     if on_source is not None:
         for r in made.groupBy("source_ord", "source").count().orderBy("source_ord").collect():  # a row a source
             on_source(r["source"], r["count"])

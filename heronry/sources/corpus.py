@@ -80,15 +80,23 @@ def settle(spark: SparkSession, folder: str) -> None:
         at.settle()
 
 
-def files(spark: SparkSession, folder: str) -> DataFrame:
-    """(file, content) of the folder's own .html and .txt files. A folder that is not there fails."""
+def files(spark: SparkSession, folder: str, most: int | None = None) -> DataFrame:
+    """(file, content) of the folder's own .html and .txt files, without .txt files of over ``most`` bytes, which are not opened. A folder that is not there fails."""
     if not Folder(spark, folder).exists():
         raise SearchError(f"no folder {folder}")
     settle(spark, folder)
-    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.{html,txt}").load(folder)
+    of = lambda kinds: spark.read.format("binaryFile").option("pathGlobFilter", kinds).load(folder)
+    found = of("*.{html,txt}") if most is None else of("*.html").unionByName(of("*.txt").where(F.col("length") <= most))
     return found.select(F.element_at(F.split("path", "/"), -1).alias("file"), "content")
 
 
+def lengths(spark: SparkSession, folder: str) -> DataFrame:
+    """(file, uri, length) of the files of :func:`files`, without reading them."""
+    settle(spark, folder)
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.{html,txt}").load(folder)
+    return found.select(F.element_at(F.split("path", "/"), -1).alias("file"), F.col("path").alias("uri"), "length")
+
+
 def lossy_text(content: Column) -> Column:
     return F.make_valid_utf8(content.cast("string"))
 

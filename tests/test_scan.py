@@ -1,13 +1,16 @@
 """Chunks of documents whose sections are rows, against the fold over one row."""
 
+import io
+import json
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from heronry.operators import chunk, scan
 from heronry.plans import index
-from heronry.sources import corpus
+from heronry.sources import corpus, ranges
 
 
 def sections(seed, n):
@@ -71,3 +74,50 @@ def test_no_document_is_gathered_in_a_row(spark):
     rows = spark.range(10).select(F.lit(1).cast("long").alias("doc"), F.col("id").alias("at"), F.lit("h").alias("heading"), F.lit("text").alias("text"))
     plan = scan.merged(rows)._jdf.queryExecution().toString()
     assert "collect_list" not in plan
+
+
+def marked(seed):
+    r = random.Random(seed)
+    parts = ["===== FILE: a/b.java =====\n", "===== FILE: é =====\r\n", "=====", "===== FILE:  ===== \n", "text 😀 line\n", "\n", "\r\n", "x ===== FILE: no =====\n", "===== FILE: x =====", "  \n", "int x;\n" * 30]
+    return "".join(r.choice(parts) for _ in range(r.randrange(60)))
+
+
+def whole_sections(text):
+    """The sections of a text by one pattern over all of it."""
+    lines = text.replace("\r\n", "\n")
+    lines += "\n" if lines and not lines.endswith("\n") else ""
+    cuts = [(0, 0, "")] + [(m.start(), m.end(), m[1]) for m in re.finditer(r"(?m)^===== FILE: ([^\n]*) =====\n", lines)]
+    return [(h, lines[e : cuts[i + 1][0] if i + 1 < len(cuts) else len(lines)]) for i, (_, e, h) in enumerate(cuts)]
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_ranges_of_any_size_give_all_sections_once(seed, monkeypatch):
+    monkeypatch.setattr(ranges, "PIECE", random.Random(seed).choice([1, 2, 7, 50, 4096]))
+    text = marked(seed)
+    raw = text.encode()
+    for size in (1, 3, 17, 100, 10**6):
+        found = [s for begin in range(0, len(raw), size) for s in ranges.sections_of(io.BytesIO(raw), begin, min(begin + size, len(raw)))]
+        assert [s[0] for s in found] == sorted({s[0] for s in found})
+        assert [s[1:] for s in found] == (whole_sections(text) if raw else [])
+
+
+def test_large_files_of_a_corpus_give_the_same_chunks(spark, tmp_path, monkeypatch):
+    texts = {f"s{i}": "".join(marked(100 + 7 * i + j) for j in range(12)) for i in range(3)}
+    sources = [{"name": n, "license": "MIT", "url": "https://x/", "format": "text", "tier": "docs-wiki"} for n in texts] + [{"name": "page", "license": "MIT", "url": "https://x/"}]
+    (tmp_path / "manifest.json").write_text(json.dumps({"version": 1, "sources": sources}))
+    for n, t in texts.items():
+        (tmp_path / f"{n}.txt").write_bytes(t.encode())
+    (tmp_path / "page.html").write_text("<h1>A</h1>" + "word " * 900)
+    want = sorted(map(tuple, index.chunk_corpus(spark, str(tmp_path)).collect()))
+    monkeypatch.setattr(index, "LARGE", 100)
+    small = ranges.sections
+    monkeypatch.setattr(index.ranges, "sections", lambda spark, files: small(spark, files, 512))
+    seen = {}
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", 6000)  # a file that does not fit a row would fail
+    found = index.chunk_corpus(spark, str(tmp_path), lambda name, n: seen.update({name: n}))
+    assert sorted(map(tuple, found.collect())) == want and set(seen) == {*texts, "page"}
+    assert max(f.stat().st_size for f in tmp_path.iterdir()) > 6000
+    spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+    (tmp_path / "s1.txt").write_bytes(b"===== FILE: x =====\n" + b"a" * 200 + b"\xff\n")
+    with pytest.raises(Exception, match="utf-8|UTF-8"):
+        index.chunk_corpus(spark, str(tmp_path)).collect()
