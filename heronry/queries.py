@@ -12,9 +12,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import text as T
-from .operators import chunk, embed, evaluate, prompt, scan, search, store
+from .operators import chunk, embed, evaluate, nearby, prompt, scan, search, store
+from .operators.nearby import CellIndex
 from .operators.postings import InvertedIndex
-from .scratch import place
+from .scratch import place, written
 from .sources import corpus, manifest
 from .streaming.index import StreamIndex
 
@@ -366,6 +367,15 @@ def cosine_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _cosine(spark, sf_dir, None)
 
 
+@query("select count(*) as queries, true as good from embeddings where vec_id % 50 = 0 and exists (select 1 from documents)")
+def approximate_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether approximate search finds 95 of 100 exact hits, over all queries of ``cosine_topk``."""
+    rows = written(_store(spark, sf_dir).select("id", "embedding", "norm"), "store")
+    queries = table(spark, sf_dir, "embeddings").where("vec_id % 50 = 0").select(F.col("vec_id").alias("qid"), F.col("embedding").alias("vector"))
+    found = CellIndex.write(rows, place(spark, "cells")).search(queries, 10)
+    return nearby.recall(found, search.nearest(queries, rows, 10)).agg(F.count("*").alias("queries"), (F.avg("recall") >= 0.95).alias("good"))
+
+
 @query(_cosine_sql("and s.tier = 'docs-wiki'"))
 def cosine_topk_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _cosine(spark, sf_dir, "docs-wiki")
