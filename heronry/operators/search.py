@@ -153,7 +153,7 @@ class Bm25:
     """
 
     def __init__(self, chunks: DataFrame | None = None, *, words: DataFrame | None = None):
-        self.words = counted(chunks) if words is None else words
+        self.chunks, self.words = chunks, counted(chunks) if words is None else words
 
     @property
     def stats(self) -> DataFrame:
@@ -180,18 +180,11 @@ class Bm25:
         terms = sorted({t for block in blocks for r in block for t in r["ts"]})
         value_set = pa.array(terms, pa.string())
 
-        def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                lists = batch.column("terms")
-                place = pc.index_in(lists.flatten(), value_set=value_set)
-                asked = pc.is_valid(place)
-                row = pc.list_parent_indices(lists).filter(asked).to_numpy()
-                ends = pa.array(np.searchsorted(row, np.arange(len(lists) + 1)).astype(np.int32))
-                tfs = batch.column("tfs").flatten().filter(asked)
-                yield pa.record_batch([batch.column("id"), batch.column("dl"), pa.ListArray.from_arrays(ends, place.filter(asked)), pa.ListArray.from_arrays(ends, tfs)], names=["id", "dl", "terms", "tfs"])
-
-        held = self.words.select("id", "dl", "terms", "tfs")
-        held = written(held.mapInArrow(match, StructType([*kind.fields, *_counts(IntegerType())])), "words")
+        if self.chunks is None:
+            held = self.words.select("id", "dl", "terms", "tfs").mapInArrow(_kept(value_set), StructType([*kind.fields, *_counts(IntegerType())]))
+        else:
+            held = worded(self.chunks).mapInArrow(_asked(value_set), StructType([*kind.fields, *_counts(IntegerType())]))
+        held = written(held, "words")
         n, total = held.agg(F.count("*"), F.coalesce(F.sum("dl"), F.lit(0))).first()
         df = np.zeros(len(terms))
         for r in held.select(F.explode("terms").alias("t")).groupBy("t").count().collect():  # at most the queries' own terms
@@ -204,22 +197,63 @@ class Bm25:
         return ranked(once, [F.desc("score"), F.col("id")], max(k, 0)).select("qid", "rank", "id", "score")
 
 
+def worded(chunks: DataFrame) -> DataFrame:
+    """(id, ts): the words of each row, in their order."""
+    return chunks.select("id", T.words(F.coalesce("text", F.lit(""))).alias("ts"))
+
+
+def _tallied(row: np.ndarray, code: np.ndarray, rows: int, codes: int) -> tuple[pa.Array, np.ndarray, pa.Array]:
+    """Where each row's distinct codes begin and end, these codes, and how often each is there."""
+    pair, count = np.unique(row * max(codes, 1) + code, return_counts=True)
+    ends = np.searchsorted(pair // max(codes, 1), np.arange(rows + 1)).astype(np.int32)
+    return pa.array(ends), pair % max(codes, 1), pa.array(count.astype(np.int32))
+
+
+def _row(batch: pa.RecordBatch, dl: pa.Array, ends: pa.Array, terms: pa.Array, tfs: pa.Array) -> pa.RecordBatch:
+    return pa.record_batch([batch.column("id"), dl, pa.ListArray.from_arrays(ends, terms), pa.ListArray.from_arrays(ends, tfs)], names=["id", "dl", "terms", "tfs"])
+
+
 def counted(chunks: DataFrame) -> DataFrame:
+    """(id, dl, terms, tfs): each row's number of words, its distinct words and their counts."""
     kind = chunks.select("id").schema
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column("ts")
             coded = lists.flatten().dictionary_encode()
-            row, code = pc.list_parent_indices(lists).to_numpy(), coded.indices.to_numpy()
-            pair, count = np.unique(row * max(len(coded.dictionary), 1) + code, return_counts=True)
-            ends = np.searchsorted(pair // max(len(coded.dictionary), 1), np.arange(len(lists) + 1)).astype(np.int32)
-            terms = coded.dictionary.take(pa.array(pair % max(len(coded.dictionary), 1)))
-            tfs = pa.array(count.astype(np.int32))
-            yield pa.record_batch([batch.column("id"), pc.list_value_length(lists).cast(pa.int64()), pa.ListArray.from_arrays(pa.array(ends), terms), pa.ListArray.from_arrays(pa.array(ends), tfs)], names=["id", "dl", "terms", "tfs"])
-
-    rows = chunks.select("id", T.words(F.coalesce("text", F.lit(""))).alias("ts"))
-    return rows.mapInArrow(task, StructType([*kind.fields, *_counts(StringType())]))
+            ends, code, tfs = _tallied(pc.list_parent_indices(lists).to_numpy(), coded.indices.to_numpy(), len(lists), len(coded.dictionary))
+            yield _row(batch, pc.list_value_length(lists).cast(pa.int64()), ends, coded.dictionary.take(pa.array(code)), tfs)
+
+    return worded(chunks).mapInArrow(task, StructType([*kind.fields, *_counts(StringType())]))
+
+
+def _asked(value_set: pa.Array):
+    """A task that counts, of each row's words, those of ``value_set`` alone, by their place in it."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("ts")
+            place = pc.index_in(lists.flatten(), value_set=value_set)
+            there = pc.is_valid(place)
+            ends, code, tfs = _tallied(pc.list_parent_indices(lists).filter(there).to_numpy(), place.filter(there).to_numpy(), len(lists), len(value_set))
+            yield _row(batch, pc.list_value_length(lists).cast(pa.int64()), ends, pa.array(code.astype(np.int32)), tfs)
+
+    return task
+
+
+def _kept(value_set: pa.Array):
+    """The same of rows whose words are counted already."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("terms")
+            place = pc.index_in(lists.flatten(), value_set=value_set)
+            there = pc.is_valid(place)
+            row = pc.list_parent_indices(lists).filter(there).to_numpy()
+            ends = pa.array(np.searchsorted(row, np.arange(len(lists) + 1)).astype(np.int32))
+            yield _row(batch, batch.column("dl"), ends, place.filter(there), batch.column("tfs").flatten().filter(there))
+
+    return task
 
 
 class Uses:
