@@ -846,3 +846,46 @@ def test_words_count_by_their_whole_length():
     long = "w" * 64
     found = quality.content(pa.array([f"{long}{c} " * 40 for c in "abcdefgh"]))
     assert len({r.tobytes() for r in found[:, 320 : 320 + quality.WORDS]}) > 1
+
+
+def test_learnt_counts_equal_plain_ones(spark):
+    rows = [(i, t, lang, None, 0) for i, t, lang, *_ in ROWS if i is not None]
+    model = langid.learn(spark.createDataFrame(rows, DOCS))
+    counts = defaultdict(Counter)
+    for _, text, lang, *_ in rows:
+        if text is not None and lang is not None:
+            for w, c in Counter(langid.words(text)).items():
+                counts[lang, 0][w] += c
+                for n in range(1, langid.LONGEST + 1):
+                    for g in langid.grams(w, n):
+                        counts[lang, n][g] += c
+    assert set(model.languages) == {lang for lang, _ in counts}
+    for n in range(langid.LONGEST + 1):
+        assert set(model.tables[n]) == {g for (_, m), c in counts.items() if m == n for g in c}
+        held = model.costs[n]
+        for g, row in model.tables[n].items():
+            part = slice(held.first[row], held.first[row + 1])
+            got = {model.languages[j]: x for j, x in zip(held.language[part], held.under[part], strict=True)}
+            want = {lang: min(-math.log10(c[g] / c.total()), langid.PENALTY) - langid.PENALTY for (lang, m), c in counts.items() if m == n and g in c}
+            assert got == pytest.approx(want, abs=1e-5)
+
+
+def test_queries_take_columns_of_any_names(spark, tmp_path):
+    names = ["id", "v", "row", "cells", "block", "dim", "tie", "at", "own", "edited", "text2", "keep", "ids", "sequence_id", "offset", "start", "__text", "q", "score", "rank"]
+    extra = {n: F.lit("clash") for n in names}
+    spark.createDataFrame([(i, "one two three four five six " * (i + 1), "en", "s", 0) for i in range(6)] + [(None, None, None, None, None)], DOCS).withColumns(extra).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, [float(i % 7), 1.0]) for i in range(60)], "vec_id long, embedding array<float>").withColumns(extra).write.parquet(f"{tmp_path}/embeddings.parquet")
+    assert queries.op5_topk(spark, str(tmp_path)).count() == 60
+    assert queries.op7_fingerprint(spark, str(tmp_path)).count() == 7
+    assert queries.op6_packing(spark, str(tmp_path)).select("doc_id").distinct().count() == 7
+
+
+def test_very_wide_vectors(spark, tmp_path):
+    r = np.random.default_rng(2)
+    x = r.standard_normal((41, 6000)).astype(np.float32)
+    spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    whole = np.floor(x.astype(np.float64) * 64).astype(np.int64)
+    for q in (0, 20, 40):
+        want = sorted(((-int(whole[q] @ whole[i]), i) for i in range(41) if i != q))[:20]
+        got = [(-r["score"], r["vec_id"]) for r in queries.op5_topk(spark, str(tmp_path)).where(f"query_id = {q}").orderBy("rank").collect()]
+        assert got == want
