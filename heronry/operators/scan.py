@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..scratch import written
+from ..scratch import step, written
 from .chunk import TARGET_TOKENS, WINDOW, text_sections
 from .order import numbered
 
@@ -161,8 +161,8 @@ def merged(sections: DataFrame, part: int = PART) -> DataFrame:
     """(doc, part, nth, heading, text): chunks in the order of part and nth, as :func:`chunk.merge` makes them of a
     document's array of sections. ``sections`` has doc, at (their order), heading and text."""
     filled = sections.where(~T.blank(F.col("text"))).select("doc", "at", "heading", "text")
-    placed = numbered(filled, "doc", [F.col("at")], "place").select("doc", F.floor((F.col("place") - 1) / part).alias("part"), "place", "heading", "text", F.lit(False).alias("last"))
-    placed = written(placed, "sections")
+    with step(sections.sparkSession):  # what numbering has written is read no more
+        placed = written(numbered(filled, "doc", [F.col("at")], "place").select("doc", F.floor((F.col("place") - 1) / part).alias("part"), "place", "heading", "text", F.lit(False).alias("last")), "sections")
     in_parts = lambda rows: rows.repartition("doc", "part").sortWithinPartitions("doc", "part", "place")
     functions = in_parts(placed).mapInArrow(_functions, "doc long, part long, at array<int>, lengths array<int>, slopes array<int>, headings array<string>, tail string")
     # a row a part: the functions of one document are composed in one task
