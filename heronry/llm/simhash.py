@@ -163,11 +163,11 @@ def shingle_sets(docs: DataFrame, *, text: str, keep: list[Column], words: int,
     return kept.mapInArrow(task, kept.select(*names, F.lit(0).cast("long").alias("node"), F.expr("cast(null as array<long>)").alias(last)).schema)
 
 
-def meetings(nodes: DataFrame, salts: int = 64) -> DataFrame:
-    """(a, b) links that connect all nodes with a common band key, by stars in two levels, so that no key's rows gather."""
-    keyed = nodes.select("node", F.posexplode("keys").alias("band", "key"), F.pmod(F.xxhash64("node"), F.lit(salts)).alias("salt"))
-    near = keyed.withColumn("least", F.min("node").over(Window.partitionBy("band", "key", "salt")))
-    tops = near.where("node = least").withColumn("top", F.min("node").over(Window.partitionBy("band", "key")))
+def meetings(keyed: DataFrame, on: list[str], salts: int = 64) -> DataFrame:
+    """(a, b) links that connect all nodes with a common key (the columns ``on``), by stars in two levels, so that no key's rows gather."""
+    keyed = keyed.select("node", *on, F.pmod(F.xxhash64("node"), F.lit(salts)).alias("salt"))
+    near = keyed.withColumn("least", F.min("node").over(Window.partitionBy(*on, "salt")))
+    tops = near.where("node = least").withColumn("top", F.min("node").over(Window.partitionBy(*on)))
     return near.select(F.col("node").alias("a"), F.col("least").alias("b")).unionByName(tops.select(F.col("node").alias("a"), F.col("top").alias("b"))).where("a <> b").distinct()
 
 
@@ -208,17 +208,37 @@ def set_links(node: np.ndarray, flat: np.ndarray, size: np.ndarray, known: np.nd
     return a, b
 
 
+def narrowed(sets: DataFrame, similarity: float) -> DataFrame:
+    """(node, root) of finer roots: within a root, nodes that may be at ``similarity`` stay together, none such is parted.
+
+    A root's hashes have an order, those first that few of its sets have. The smallest common hash in that order of two
+    sets of n hashes or more at ``similarity`` s is among the first n - ceil(s n) + 1 of each: nodes that share one of
+    those are joined. What pages of one template have in common comes last, so it joins none. Which hashes are frequent
+    is told by at most 32 sets a root; this only decides how fine the roots get. Nodes that meet no other are left out.
+    """
+    n = F.size("hashes")
+    slot = F.pmod(F.xxhash64("node"), F.lit(32))
+    picks = written(sets.where(n <= 1 << 16).groupBy("root", slot.alias("slot")).agg(F.min("node").alias("node")).select("root", "node"), "picks")
+    often = beside(sets, picks, ["root", "node"]).select("root", F.explode("hashes").alias("h")).groupBy("root", "h").count().where("count > 1")
+    often = often.groupBy("root").agg(F.transform(F.array_sort(F.collect_list(F.struct("count", "h"))), lambda x: x["h"]).alias("often"))
+    often = written(sets.select("root").distinct().join(often, "root", "left").select("root", F.coalesce("often", F.expr("cast(array() as array<long>)")).alias("often")), "often")
+    order = F.concat(F.array_except("hashes", "often"), F.array_intersect("often", "hashes"))
+    first = F.slice(order, F.lit(1), (n - F.ceil(n * similarity - 1e-9) + 1).cast("int"))
+    return components(meetings(beside(sets, often, "root", F.size("often")).select("root", "node", F.explode(first).alias("h")), ["root", "h"]))
+
+
 def alike(sets: DataFrame, similarity: float, most: int = 1 << 20) -> DataFrame:
     """(a, b) links that connect, in each ``root``, all nodes that a chain of pairs of exact Jaccard ``similarity`` or more joins.
 
-    ``sets`` (a written table) has node, root and hashes. A root of over ``most`` hashes is not read by one task: its
-    sets are held against a few of its own first. Those near the best of these need no further test against each other;
-    each part of the others meets each part of the root, as tasks of their own. What is known of crowded roots is
-    broadcast only while it is small.
+    ``sets`` (a written table) has node, root and hashes. A root of over an eighth of ``most`` hashes is not held against itself at
+    once: its sets are held against a few of its own first. Those near the best of these need no further test against
+    each other. Where the others still have as many hashes, the root is parted into finer ones (:func:`narrowed`).
+    Then, in parts of about ``most`` hashes, each part of the others meets each part of the root, as tasks of their own.
+    What is known of crowded roots is broadcast only while it is small.
     """
     n = F.size("hashes")
-    parts = F.ceil(F.sum(n) / most).cast("int")
-    crowds = written(sets.groupBy("root").agg(parts.alias("parts")).where("parts > 1"), "crowds")
+    over = lambda rows: rows.groupBy("root").agg(F.sum(n).alias("n")).where(F.col("n") > most >> 3).select("root")
+    crowds = written(over(sets), "crowds")
     none = F.lit(0)
     few = sets.join(crowds, "root", "left_anti").select("root", none.alias("i"), none.alias("j"), "node", "hashes", F.lit(False).alias("known"))
     many = beside(sets, crowds, "root")
@@ -230,14 +250,20 @@ def alike(sets: DataFrame, similarity: float, most: int = 1 << 20) -> DataFrame:
     near = written(near, "near")
     best = written(near.groupBy("root", "pivot").count().groupBy("root").agg(F.max_by("pivot", F.struct("count", "pivot")).alias("pivot")), "best")
     known = beside(near, best, ["root", "pivot"]).select("node", F.lit(True).alias("known"))
-    told = written(many.join(known, "node", "left").select("root", "parts", "node", "hashes", F.coalesce("known", F.lit(False)).alias("known")), "told")
-    rest = told.where(~F.col("known"))
-    others = written(rest.groupBy("root").agg(parts.alias("others")), "others")
+    told = written(many.join(known, "node", "left").select("root", "node", "hashes", F.coalesce("known", F.lit(False)).alias("known")), "told")
+    wide = written(over(told.where(~F.col("known"))), "wide")
+    if not wide.isEmpty():
+        parted = beside(told, wide, "root")
+        finer = beside(parted.drop("root"), written(narrowed(parted, similarity), "finer"), "node")
+        told = told.join(wide, "root", "left_anti").unionByName(finer)
+    part = lambda c: F.coalesce(F.ceil(F.sum(c) / most), F.lit(0)).cast("int")
+    size = written(told.groupBy("root").agg(part(n).alias("parts"), part(F.when(~F.col("known"), n)).alias("others")).where("others > 0"), "size")
+    told = beside(told, size, "root")
     dealt = lambda c: F.pmod(F.xxhash64("node", F.lit(c)), F.col(c)).cast("int")
     each = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
     columns = ["root", "i", "j", "node", "hashes", "known"]
-    left = beside(rest, others, "root").withColumn("i", dealt("others")).withColumn("j", each("parts")).select(*columns)
-    right = beside(told, others, "root").withColumn("j", dealt("parts")).withColumn("i", each("others")).select(*columns)
+    left = told.where("not known and parts > 1").withColumn("i", dealt("others")).withColumn("j", each("parts")).select(*columns)
+    right = told.withColumn("j", dealt("parts")).withColumn("i", each("others")).select(*columns)
 
     def meet(rows: pa.Table) -> pa.Table:
         node, first = np.unique(rows["node"].to_numpy(), return_index=True)  # a set may come from either side
@@ -264,7 +290,8 @@ def near_copies(docs: DataFrame, *, key: str = "doc_id", text: str = "text", wor
     """
     digest = F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("digest")
     prints = written(shingle_sets(docs, text=text, keep=[F.col(key).alias("id"), digest], words=words, bands=band_count(similarity, recall)), "prints")
-    rough = components(meetings(prints.groupBy("node").agg(F.any_value("keys").alias("keys"))))
+    keyed = prints.groupBy("node").agg(F.any_value("keys").alias("keys")).select("node", F.posexplode("keys").alias("band", "key"))
+    rough = components(meetings(keyed, ["band", "key"]))
     wanted = prints.groupBy("node").agg(F.min("digest").alias("digest")).join(rough, "node").select("digest", "root")
     texts = docs.select(digest, F.col(text).alias("text")).groupBy("digest").agg(F.any_value("text").alias("text"))
     sets = written(shingle_sets(texts.join(wanted, "digest"), text="text", keep=[F.col("root")], words=words), "sets")

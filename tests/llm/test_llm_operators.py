@@ -425,6 +425,21 @@ def test_crowded_classes_of_sets_lose_no_link(spark, monkeypatch, most, values):
     assert 3 <= len(set(want)) < len(sets) and {i: got.get(i, i) for i in range(len(sets))} == dict(enumerate(want))
 
 
+def test_pages_of_one_template_part_into_fine_roots(spark):
+    r = random.Random(19)
+    template = list(range(80))
+    sets = [set(template) | {r.randrange(1000, 1 << 40) for _ in range(40)} for _ in range(300)]
+    for k in range(0, 60, 2):  # some have a copy with a few own hashes changed
+        sets.append((sets[k] - set(r.sample(sorted(sets[k]), 1 + k % 16))) | {r.randrange(1000, 1 << 40) for _ in range(k % 12)})
+    rows = spark.createDataFrame([(i, 0, sorted(s)) for i, s in enumerate(sets)], "node long, root long, hashes array<long>")
+    finer = {x["node"]: x["root"] for x in simhash.narrowed(rows, 0.8).collect()}
+    pairs = [(i, j) for i, s in enumerate(sets) for j in range(i) if len(s & sets[j]) / len(s | sets[j]) >= 0.8]
+    assert len(pairs) >= 20 and all(finer[i] == finer[j] for i, j in pairs)
+    assert max(Counter(finer.values()).values()) <= 4
+    met = simhash.alike(rows, 0.8, 8 * 1000).collect()
+    assert {(max(x), min(x)) for x in met} == set(pairs)
+
+
 # 4
 
 
