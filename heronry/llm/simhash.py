@@ -14,9 +14,11 @@ neighbour in common, and at most 1 + (bits outside) share one. That is exact,
 and linear in the bucket's size.
 
 For similarities whose distances no pigeonhole reaches, :func:`near_copies`
-finds candidates by bands of minima of the distinct shingles, with the number
-of bands that gives a stated recall, and holds the candidates' sets of shingles
-against each other; a link says that their exact Jaccard similarity suffices.
+takes longer fingerprints, of the distinct shingles: those that agree in one of
+as many blocks as a stated recall asks for meet, and their Hamming distance is
+verified. Sets of few shingles, whose fingerprints are coarse, also meet by
+bands of minima. Candidates' sets of shingles are then held against each other;
+a link says that their exact Jaccard similarity suffices.
 
 Edge cases: null and empty texts, and texts of white space alone, have the
 fingerprint zero and link like any other; a text with fewer words than a
@@ -42,8 +44,10 @@ from .scratch import written
 from .skew import beside, joined
 
 SEED = 42
-#: Minima in a band.
-BAND = 6
+#: Minima in a band, and shingles of a set that has bands at most.
+BAND, FEW = 6, 40
+#: Bits of a block of a long fingerprint, and its lanes that tell a Hamming distance.
+BLOCK, TOLD = 16, 2
 
 
 def shingle_hashes(text: str, words: int) -> np.ndarray:
@@ -163,6 +167,130 @@ def shingle_sets(docs: DataFrame, *, text: str, keep: list[Column], words: int,
     return kept.mapInArrow(task, kept.select(*names, F.lit(0).cast("long").alias("node"), F.expr("cast(null as array<long>)").alias(last)).schema)
 
 
+def agreement(similarity: float) -> float:
+    """Share of bits in which fingerprints of two sets of that Jaccard similarity agree: by the angle between them."""
+    return 1 - math.acos(min(2 * similarity / (1 + similarity), 1)) / math.pi
+
+
+def block_count(similarity: float, recall: float) -> int:
+    """How many blocks two fingerprints at ``similarity`` need to agree in one with a chance of ``recall``; whole lanes are filled."""
+    need = math.ceil(math.log(1 - recall) / math.log(1 - agreement(similarity) ** BLOCK))
+    return -(-need // (64 // BLOCK)) * (64 // BLOCK)
+
+
+def told_distance(similarity: float) -> int:
+    """The Hamming distance over TOLD lanes that all but 1 in 5000 pairs at ``similarity`` keep."""
+    n, q = 64 * TOLD, 1 - agreement(similarity)
+    beyond, d = 1.0, -1
+    while beyond > 2e-4:
+        d += 1
+        beyond -= math.comb(n, d) * q**d * (1 - q) ** (n - d)
+    return d
+
+
+def long_fingerprint(hashes: np.ndarray, lanes: int) -> np.ndarray:
+    """As :func:`fingerprint`, for many lanes at once."""
+    counts = np.zeros(lanes * 64, np.int64)
+    k = (np.arange(lanes, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))[:, None].T
+    for at in range(0, len(hashes), 255):  # as many as a byte counts
+        part = hashes[at : at + 255, None]
+        x = part + k
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        x ^= x >> np.uint64(31)
+        x[:, :1] = part
+        counts += np.add.reduce(np.unpackbits(x.view(np.uint8), axis=1, bitorder="little"), axis=0, dtype=np.uint8)
+    return np.packbits(2 * counts > len(hashes), bitorder="little").view("<u8")
+
+
+def sketches(docs: DataFrame, *, text: str, keep: list[Column], words: int, blocks: int, bands: int) -> DataFrame:
+    """``keep`` and, of each row's distinct shingles, ``node`` (a hash of them all), ``fp`` (TOLD lanes of their fingerprint), ``blocks`` (the
+    number and bits of each, in one; none of an empty set) and, of sets of FEW or less, ``keys`` of bands."""
+    kept = docs.select(*keep, F.col(text).alias("__text"))
+    names = kept.columns[:-1]
+    lanes = blocks * BLOCK // 64
+    number = np.arange(blocks, dtype=np.int32) << BLOCK
+
+    def lists(parts: list[np.ndarray], kind: pa.DataType) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, parts)], dtype=np.int32)), pa.array(np.concatenate(parts), kind))
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "__text", 1 << 20):
+            found = [np.unique(shingle_hashes(x or "", words)) for x in part.column("__text").to_pylist()]
+            node = np.array([xxhash.xxh64_intdigest(h.tobytes(), SEED) for h in found], np.uint64).view(np.int64)
+            prints = [long_fingerprint(h, lanes) for h in found]
+            told = lists([p[:TOLD].view(np.int64) for p in prints], pa.int64())
+            cut = lists([p.view("<u2").astype(np.int32) + number if len(h) else number[:0] for p, h in zip(prints, found, strict=True)], pa.int32())
+            keys = lists([np.array(band_keys(h, bands) if len(h) <= FEW else [], np.uint64).view(np.int64) for h in found], pa.int64())
+            yield pa.record_batch([*part.columns[:-1], pa.array(node), told, cut, keys], names=[*names, "node", "fp", "blocks", "keys"])
+
+    none = lambda kind: F.expr(f"cast(null as array<{kind}>)")
+    return kept.mapInArrow(task, kept.select(*names, F.lit(0).cast("long").alias("node"), none("long").alias("fp"), none("int").alias("blocks"), none("long").alias("keys")).schema)
+
+
+def close_links(fp: np.ndarray, group: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links (places) that connect, within each run of one group, all fingerprints that a chain of close ones joins."""
+    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    edge = np.flatnonzero(np.append(True, group[1:] != group[:-1])) if len(group) else np.zeros(0, np.int64)
+    size = np.diff(np.append(edge, len(group)))
+    rows = np.flatnonzero(np.repeat(size <= 32, size))
+    g, f = group[rows], fp[rows]
+    for lag in range(1, min(32, len(g))):  # small groups: each row with the rows after it
+        near = np.flatnonzero(g[lag:] == g[:-lag])
+        if not len(near):
+            break
+        near = near[np.bitwise_count(f[near] ^ f[near + lag]).sum(axis=1, dtype=np.int64) <= distance]
+        a.append(rows[near])
+        b.append(rows[near + lag])
+    for start, count in zip(edge[size > 32].tolist(), size[size > 32].tolist(), strict=True):
+        queue, rest = [], np.arange(start, start + count)
+        while len(rest):  # large ones: from row to row, each held against those not yet reached
+            if not queue:
+                queue, rest = [rest[0]], rest[1:]
+            here = queue.pop()
+            close = np.bitwise_count(fp[rest] ^ fp[here]).sum(axis=1, dtype=np.int64) <= distance
+            if close.any():
+                reached, rest = rest[close], rest[~close]
+                a.append(np.full(len(reached), here))
+                b.append(reached)
+                queue += reached.tolist()
+    return np.concatenate(a), np.concatenate(b)
+
+
+def block_links(nodes: DataFrame, distance: int, most: int = 1 << 16) -> DataFrame:
+    """(a, b) links that connect all nodes that chains of pairs join which agree in a block and differ in ``distance`` bits of ``fp`` at most.
+
+    ``nodes`` has node, fp and blocks. Rows meet by block once, sorted; each block's own links are put out, not its pairs.
+    A task reads about ``most`` rows at a time, and a block of more in whole: a row of it is 28 bytes.
+    """
+    keyed = nodes.select("node", *[F.col("fp")[i].alias(f"fp{i}") for i in range(TOLD)], F.explode("blocks").alias("block"))
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+        def links(node: np.ndarray, block: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
+            a, b = close_links(fp, block, distance)
+            pairs = np.unique(np.stack([node[a], node[b]], axis=1), axis=0)
+            return pa.record_batch([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            fp = np.stack([batch.column(f"fp{i}").to_numpy().view(np.uint64) for i in range(TOLD)], axis=1)
+            held.append((batch.column("node").to_numpy(), batch.column("block").to_numpy(), fp))
+            if sum(len(h[0]) for h in held) < most or held[0][1][0] == held[-1][1][-1]:
+                continue
+            node, block, fp = (np.concatenate(x) for x in zip(*held, strict=True))
+            cut = int(np.searchsorted(block, block[-1]))  # the last block may go on
+            yield links(node[:cut], block[:cut], fp[:cut])
+            held = [(node[cut:], block[cut:], fp[cut:])]
+        if held:
+            yield links(*(np.concatenate(x) for x in zip(*held, strict=True)))
+
+    parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return keyed.repartition(parts, "block").sortWithinPartitions("block").mapInArrow(task, "a long, b long")
+
+
 def meetings(keyed: DataFrame, on: list[str], salts: int = 64) -> DataFrame:
     """(a, b) links that connect all nodes with a common key (the columns ``on``), by stars in two levels, so that no key's rows gather."""
     keyed = keyed.select("node", *on, F.pmod(F.xxhash64("node"), F.lit(salts)).alias("salt"))
@@ -283,15 +411,19 @@ def near_copies(docs: DataFrame, *, key: str = "doc_id", text: str = "text", wor
     """(``key``, digest, component_id) for each row: the class of texts joined by chains of near copies.
 
     ``digest`` is xxhash64 of the text. Nodes are hashes of sets of shingles; 64
-    bits tell as many sets apart as Spark's row ids do. Bands of minima only find
-    candidates, of one shape at every size: a pair at exactly ``similarity``
-    shares one with a chance of ``recall``. A link is kept only where the exact
-    Jaccard similarity of the sets is ``similarity`` or more.
+    bits tell as many sets apart as Spark's row ids do. Candidates are fingerprints
+    that agree in a block and are close, of one shape at every size: a pair at
+    exactly ``similarity`` agrees in one with a chance of ``recall``, and is close
+    but for one in 5000. Sets of few shingles meet by bands too, with that chance.
+    A link is kept only where the exact Jaccard similarity of the sets is ``similarity`` or more.
     """
     digest = F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("digest")
-    prints = written(shingle_sets(docs, text=text, keep=[F.col(key).alias("id"), digest], words=words, bands=band_count(similarity, recall)), "prints")
-    keyed = prints.groupBy("node").agg(F.any_value("keys").alias("keys")).select("node", F.posexplode("keys").alias("band", "key"))
-    rough = components(meetings(keyed, ["band", "key"]))
+    shape = {"blocks": block_count(similarity, recall), "bands": band_count(similarity, recall)}
+    prints = written(sketches(docs, text=text, keep=[F.col(key).alias("id"), digest], words=words, **shape), "prints")
+    once = lambda c: F.any_value(c).alias(c)
+    nodes = prints.groupBy("node").agg(once("fp"), once("blocks"))
+    banded = prints.where(F.size("keys") > 0).groupBy("node").agg(once("keys")).select("node", F.posexplode("keys").alias("band", "key"))
+    rough = components(block_links(nodes, told_distance(similarity)).unionByName(meetings(banded, ["band", "key"])))
     wanted = prints.groupBy("node").agg(F.min("digest").alias("digest")).join(rough, "node").select("digest", "root")
     texts = docs.select(digest, F.col(text).alias("text")).groupBy("digest").agg(F.any_value("text").alias("text"))
     sets = written(shingle_sets(texts.join(wanted, "digest"), text="text", keep=[F.col("root")], words=words), "sets")

@@ -1,5 +1,6 @@
 """Each operator's query against a brute-force version, on rows with nulls, copies and odd texts."""
 
+import itertools
 import hashlib
 import math
 import random
@@ -396,6 +397,40 @@ def test_bands_reach_the_stated_recall():
     assert met >= 994
 
 
+def test_near_copies_meet_by_fingerprints(spark, monkeypatch):
+    """Long texts become candidates by blocks of their SimHash fingerprints and a Hamming distance, with no other way to meet."""
+    monkeypatch.setattr(simhash, "band_keys", lambda hashes, bands: [])
+    r = random.Random(6)
+    words = [["".join(r.choice("abcdefgh") for _ in range(5)) for _ in range(300)] for _ in range(40)]
+    rows = [(i, " ".join(w)) for i, w in enumerate(words)] + [(100 + i, " ".join([*w[:150], "changed", *w[151:]])) for i, w in enumerate(words)] + [(200, ""), (201, "a b c d e f"), (202, None)]
+    found = {x["doc_id"]: x["component_id"] for x in simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == {**{i: i for i in range(40)}, **{100 + i: i for i in range(40)}, 200: 200, 201: 201, 202: 200}
+
+
+def test_blocks_of_fingerprints_reach_the_stated_recall():
+    r = np.random.default_rng(3)
+    lanes, distance = simhash.block_count(0.8, 0.999) * simhash.BLOCK // 64, simhash.told_distance(0.8)
+    h = r.integers(0, 1 << 64, 700, np.uint64)
+    assert (simhash.long_fingerprint(h, lanes) == simhash.fingerprint(h, lanes)).all()
+    met = 0
+    for _ in range(1000):
+        h = r.integers(0, 1 << 64, 100, np.uint64)  # 80 of 100 in common
+        a, b = simhash.long_fingerprint(h[:90], lanes), simhash.long_fingerprint(h[10:], lanes)
+        met += bool((a.view("<u2") == b.view("<u2")).any() and np.bitwise_count(a[: simhash.TOLD] ^ b[: simhash.TOLD]).sum() <= distance)
+    assert met >= 994
+
+
+def test_block_links_in_small_parts_equal_brute_force(spark):
+    r = random.Random(8)
+    rows = [(i, [r.getrandbits(63) >> 58 << 50, i % 7], [r.randrange(12), 100 + i % 3]) for i in range(300)]
+    near = lambda x, y: sum((p ^ q).bit_count() for p, q in zip(x[1], y[1], strict=True)) <= 2 and set(x[2]) & set(y[2])
+    pairs = [(x[0], y[0]) for x, y in itertools.combinations(rows, 2) if near(x, y)]
+    links = simhash.block_links(spark.createDataFrame(rows, "node long, fp array<long>, blocks array<int>"), 2, most=16)
+    assert set(pairs) >= {tuple(sorted(x)) for x in links.collect()}
+    want = components.components(spark.createDataFrame(pairs, "a long, b long"))
+    assert sorted(map(tuple, components.components(links).collect())) == sorted(map(tuple, want.collect()))
+
+
 def test_hot_keys_are_joined_where_they_are(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(skew, "ROWS", 10)
     spark.createDataFrame([(i, i % 3 if i % 2 else 1000 + i) for i in range(200)] + [(900, None)], "i int, k int").write.parquet(f"{tmp_path}/rows")
