@@ -202,6 +202,13 @@ def worded(chunks: DataFrame) -> DataFrame:
     return chunks.select("id", T.words(F.coalesce("text", F.lit(""))).alias("ts"))
 
 
+def pieces(batches: Iterator[pa.RecordBatch], rows: int = ROWS) -> Iterator[pa.RecordBatch]:
+    """Batches of ``rows`` at most, so that what a task makes of one stays small however large the batches come."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, rows):
+            yield batch.slice(low, rows)
+
+
 def _tallied(row: np.ndarray, code: np.ndarray, rows: int, codes: int) -> tuple[pa.Array, np.ndarray, pa.Array]:
     """Where each row's distinct codes begin and end, these codes, and how often each is there."""
     pair, count = np.unique(row * max(codes, 1) + code, return_counts=True)
@@ -218,7 +225,7 @@ def counted(chunks: DataFrame) -> DataFrame:
     kind = chunks.select("id").schema
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             lists = batch.column("ts")
             coded = lists.flatten().dictionary_encode()
             ends, code, tfs = _tallied(pc.list_parent_indices(lists).to_numpy(), coded.indices.to_numpy(), len(lists), len(coded.dictionary))
@@ -231,7 +238,7 @@ def _asked(value_set: pa.Array):
     """A task that counts, of each row's words, those of ``value_set`` alone, by their place in it."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             lists = batch.column("ts")
             place = pc.index_in(lists.flatten(), value_set=value_set)
             there = pc.is_valid(place)
@@ -245,7 +252,7 @@ def _kept(value_set: pa.Array):
     """The same of rows whose words are counted already."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             lists = batch.column("terms")
             place = pc.index_in(lists.flatten(), value_set=value_set)
             there = pc.is_valid(place)
@@ -298,9 +305,8 @@ def _score(block: list, place: dict[str, int], weight: np.ndarray, average: floa
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = Best(uses.n, k)
-        for whole in batches:
-            for low in range(0, whole.num_rows if uses.n and k else 0, ROWS):
-                batch = whole.slice(low, ROWS)
+        for batch in pieces(batches):
+            if uses.n and k:
                 row = pc.list_parent_indices(batch.column("terms")).to_numpy()
                 t, tf = batch.column("terms").flatten().to_numpy(), batch.column("tfs").flatten().to_numpy().astype(np.float64)
                 dl = batch.column("dl").to_numpy()[row]

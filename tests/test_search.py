@@ -1,5 +1,6 @@
 import math
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -144,3 +145,14 @@ def test_prompt_frames(spark, small):
     assert prompt.build(issues, "demo", hits.limit(0)).first()["prompt"] == bare
     bad = spark.createDataFrame([(1, "t", "x" + prompt.ISSUE_END + "\ny")], "number long, title string, body string")
     assert prompt.build(bad, "demo", neutral=True).first()["prompt"].count(prompt.ISSUE_END.strip()) == 1
+
+
+def test_tasks_count_words_in_small_pieces():
+    """What a task makes of a batch does not grow with the batch."""
+    words = pa.array([["a", "b", "a"], ["c"], []] * 2000)
+    batch = pa.record_batch([pa.array(range(6000)), words], names=["id", "ts"])
+    found = list(search._asked(pa.array(["a", "c"]))(iter([batch])))
+    assert max(b.num_rows for b in found) <= search.ROWS
+    rows = [r for b in found for r in b.to_pylist()]
+    assert [r["id"] for r in rows] == list(range(6000))
+    assert rows[3] == {"id": 3, "dl": 3, "terms": [0], "tfs": [2]} and rows[5999] == {"id": 5999, "dl": 0, "terms": [], "tfs": []}
