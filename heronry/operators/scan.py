@@ -15,7 +15,7 @@ document than a part, and nothing of it comes to the driver.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import groupby
+from itertools import chain, groupby, islice
 
 import numpy as np
 import pyarrow as pa
@@ -26,9 +26,12 @@ from ..functions import text as T
 from ..scratch import step, written
 from .chunk import TARGET_TOKENS, WINDOW, text_sections
 from .order import numbered
+from .search import pieces
 
 #: Sections of a part.
 PART = 4096
+#: Sections, or chunks, that a task has as Python strings at a time.
+FEW = 256
 #: Characters that the fold holds at most: an overlap, a space and a section that is not long.
 MOST = T.OVERLAP_CHARS + 1 + TARGET_TOKENS * T.CHARS_PER_TOKEN
 
@@ -108,7 +111,7 @@ _ROW = "doc long, part long, place int, heading string, text string, last boolea
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int], Iterator[tuple]]]:
     """Rows sorted by document, part and place: (place, heading, text, last) of each part, read as they come."""
     names = ("doc", "part", "place", "heading", "text", "last")
-    rows = (r for b in batches for r in zip(*(b.column(c).to_pylist() for c in names), strict=True))
+    rows = (r for b in pieces(batches, FEW) for r in zip(*(b.column(c).to_pylist() for c in names), strict=True))
     for key, some in groupby(rows, key=lambda r: r[:2]):
         yield key, (r[2:] for r in some)
 
@@ -125,7 +128,7 @@ def _functions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _beginnings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row with place 0 for each part, of what is held at its beginning; functions come sorted by document and part."""
-    rows = (r for b in batches for r in b.to_pylist())
+    rows = (r for b in pieces(batches, FEW) for r in b.to_pylist())
     for doc, some in groupby(rows, key=lambda r: r["doc"]):
         held, heading, tail = 0, "", ""
         for r, following in _with_next(some):
@@ -151,10 +154,17 @@ def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for (doc, part), rows in _groups(batches):
         _, heading, held, last = next(rows)
         fold = Fold(held, heading)
-        made = list(fold((h, t) for _, h, t, _ in rows)) + (list(fold.rest()) if last else [])
-        n = len(made)
-        columns = [pa.array([doc] * n, pa.int64()), pa.array([part] * n, pa.int64()), pa.array(range(n), pa.int64()), *(pa.array([m[i] for m in made], pa.string()) for i in (0, 1))]
-        yield pa.record_batch(columns, names=["doc", "part", "nth", "heading", "text"])
+        found, nth = chain(fold((h, t) for _, h, t, _ in rows), _at_end(fold) if last else ()), 0
+        while made := list(islice(found, FEW)):
+            n = len(made)
+            columns = [pa.array([doc] * n, pa.int64()), pa.array([part] * n, pa.int64()), pa.array(range(nth, nth + n), pa.int64()), *(pa.array([m[i] for m in made], pa.string()) for i in (0, 1))]
+            yield pa.record_batch(columns, names=["doc", "part", "nth", "heading", "text"])
+            nth += n
+
+
+def _at_end(fold: Fold) -> Iterator[Section]:
+    """What the fold holds when this is read, after all sections."""
+    yield from fold.rest()
 
 
 def merged(sections: DataFrame, part: int = PART) -> DataFrame:

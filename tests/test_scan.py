@@ -5,6 +5,7 @@ import json
 import random
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -121,3 +122,16 @@ def test_large_files_of_a_corpus_give_the_same_chunks(spark, tmp_path, monkeypat
     (tmp_path / "s1.txt").write_bytes(b"===== FILE: x =====\n" + b"a" * 200 + b"\xff\n")
     with pytest.raises(Exception, match="utf-8|UTF-8"):
         index.chunk_corpus(spark, str(tmp_path)).collect()
+
+
+def test_a_part_is_put_out_in_small_pieces():
+    """A task holds few chunks of a part as strings, however many the part has."""
+    sections = [(f"h{i % 5}", "x" * (1500 + i % 3)) for i in range(1000)]
+    rows = [(7, 3, 0, "", "", True), *((7, 3, i + 1, h, t, False) for i, (h, t) in enumerate(sections))]
+    names = ["doc", "part", "place", "heading", "text", "last"]
+    batch = pa.record_batch([pa.array(list(c)) for c in zip(*rows, strict=True)], names=names)
+    found = list(scan._folded(iter([batch])))
+    fold = scan.Fold()
+    want = [*fold(iter(sections)), *fold.rest()]
+    assert len(found) > 1 and max(b.num_rows for b in found) <= 256
+    assert [(r["nth"], r["heading"], r["text"]) for b in found for r in b.to_pylist()] == [(i, *c) for i, c in enumerate(want)]
