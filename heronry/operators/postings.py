@@ -35,7 +35,7 @@ from pyspark.sql.types import StructType
 from ..functions import scores as S
 from ..scratch import written
 from .best import Best
-from .search import TOP, Uses, asked_terms, counted, named, ranked
+from .search import TOP, Uses, asked_terms, counted, named, pieces, ranked
 
 SPAN_BITS = 10
 #: Words of a table for each shard of its terms, and shards at most.
@@ -49,7 +49,7 @@ _SLACK = 1e-9
 def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by id with a number; of equal ids one, with the number of copies."""
     number, held = TaskContext.get().partitionId() << 33, None
-    for batch in batches:
+    for batch in pieces(batches):
         whole = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
         ids = whole.column("id")
         new = np.r_[True, pa.compute.not_equal(ids.slice(1), ids.slice(0, len(ids) - 1)).to_numpy(zero_copy_only=False)] if len(ids) else np.zeros(0, bool)
@@ -58,7 +58,8 @@ def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         copies = np.add.reduceat(whole.column("copies").to_numpy(), first)
         done = whole.take(pa.array(first))
-        done = done.set_column(done.schema.get_field_index("copies"), "copies", pa.array(copies))
+        at = done.schema.get_field_index("copies")
+        done = done.set_column(at, done.schema.field(at), pa.array(copies))  # the field as it came, so that the next batch fits it
         held = done.slice(len(first) - 1)
         out = done.slice(0, len(first) - 1)
         yield _with_rows(out, number)
@@ -74,7 +75,7 @@ def _with_rows(batch: pa.RecordBatch, number: int) -> pa.RecordBatch:
 
 def _blocks(bits: int, average: float):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _cut(batches, bits):
             lists = batch.column("terms")
             coded = lists.flatten().dictionary_encode()
             if not len(coded):
@@ -99,6 +100,15 @@ def _blocks(bits: int, average: float):
     return task
 
 
+def _cut(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
+    """Batches cut where a span ends: blocks stay as they are, and a task works on no more than a span."""
+    for batch in batches:
+        span = batch.column("row").to_numpy() >> bits
+        edges = [*np.flatnonzero(np.r_[True, span[1:] != span[:-1]]).tolist(), len(span)] if len(span) else []
+        for low, high in zip(edges, edges[1:], strict=False):
+            yield batch.slice(low, high - low)
+
+
 def saturated(tf: np.ndarray, dl: np.ndarray, average: float) -> np.ndarray:
     return tf * (S.K1 + 1) / (tf + S.K1 * (1 - S.B + S.B * dl / average))
 

@@ -5,10 +5,12 @@ import re
 import time
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from heronry.operators import needles, order, search
+from heronry.operators import needles, order, postings, search
 from heronry.operators.postings import InvertedIndex
 
 
@@ -136,3 +138,26 @@ def test_a_needle_that_all_files_hold_is_ranked_in_many_tasks(spark):
     parts = found.withColumn("p", F.spark_partition_id()).groupBy("p").count().collect()
     assert sum(r["count"] for r in parts) == 4000 and max(r["count"] for r in parts) < 2500
     assert [r["file"] for r in found.orderBy("rank").limit(2).collect()] == ["f00004", "f00009"]
+
+
+def test_blocks_are_made_a_span_at_a_time():
+    """What a task makes of a batch does not grow with the batch, and blocks are those of whole spans."""
+    n = 3000
+    columns = [np.arange(500, 500 + n), np.ones(n, np.int64), np.full(n, 2)]
+    batch = pa.record_batch([*map(pa.array, columns), pa.array([["a", f"w{i % 3}"] for i in range(n)]), pa.array([[1, 1]] * n, pa.list_(pa.int32()))], names=["row", "copies", "dl", "terms", "tfs"])
+    found = list(postings._blocks(10, 2.0)(iter([batch])))
+    assert all(len(set(b.column("span").to_pylist())) == 1 for b in found)
+    blocks = {(r["term"], r["span"]): r["at"] for b in found for r in b.to_pylist()}
+    assert sum(b.num_rows for b in found) == len(blocks) == 4 * 4
+    assert sorted((s << 10) + x for (t, s), at in blocks.items() if t == "a" for x in at) == list(range(500, 500 + n))
+
+
+def test_rows_of_many_batches_are_numbered(monkeypatch):
+    """What is held of one batch meets the next one, also where Spark says that a column has no nulls; an id over an edge is one row."""
+    monkeypatch.setattr(postings, "TaskContext", type("", (), {"get": staticmethod(lambda: type("", (), {"partitionId": lambda self: 0})())}))
+    kind = pa.schema([("id", pa.string()), pa.field("copies", pa.int64(), nullable=False), ("dl", pa.int64()), ("terms", pa.list_(pa.string())), ("tfs", pa.list_(pa.int32()))])
+    ids = sorted([*(f"{i:05d}" for i in range(4000)), "01023", "01024"])
+    batch = pa.record_batch([pa.array(ids), pa.array([1] * len(ids)), pa.array([1] * len(ids)), pa.array([["a"]] * len(ids)), pa.array([[1]] * len(ids), pa.list_(pa.int32()))], schema=kind)
+    rows = [r for b in postings._numbered(iter([batch, batch.slice(0, 0)])) for r in b.to_pylist()]
+    assert [r["id"] for r in rows] == [f"{i:05d}" for i in range(4000)] and [r["row"] for r in rows] == list(range(4000))
+    assert {r["id"] for r in rows if r["copies"] == 2} == {"01023", "01024"}
