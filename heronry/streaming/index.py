@@ -52,11 +52,11 @@ class StreamIndex:
     def _name(self, at: int, name: str, whole: bool) -> None:
         self.fs.create(self.path(self.named, f"{'all' if whole else 'one'}-{at:018d}-{name}"), True).close()
 
-    def _write(self, tables: dict[str, DataFrame], at: int, whole: bool) -> None:
-        name = uuid.uuid4().hex
-        for table, rows in tables.items():
-            rows.write.mode("overwrite").parquet(f"{self.folder}/{table}/part={name}")
-        self._name(at, name, whole)
+    def _put(self, table: str, rows: DataFrame, name: str) -> DataFrame:
+        """Write a table's rows of a part, and read them back."""
+        path = f"{self.folder}/{table}/part={name}"
+        rows.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(_TABLES[table]).parquet(path)
 
     def _table(self, table: str) -> DataFrame:
         """The rows of all parts that count, with ``place``, the part's place in the stream."""
@@ -75,14 +75,15 @@ class StreamIndex:
         if any(at == batch and not whole or at >= batch and whole for at, whole, _ in self._parts()):
             return
         # of a document that a batch has twice the greatest version counts; of one version, one whose text has the greatest hash
-        order = F.struct("version", F.col("content").isNotNull(), F.xxhash64("content"))
+        order = F.struct("version", F.col("content").isNotNull().alias("live"), F.xxhash64("content").alias("hash"))
         last = docs.where("ord is not null").groupBy("ord").agg(F.max_by(F.struct(*[c for c in docs.columns if c != "ord"]), order).alias("d")).select("ord", "d.*")
-        self._write({"documents": last.select("ord", "version", F.col("content").isNotNull().alias("live"))} | self._made(last.where("content is not null")), batch, False)
-
-    def _made(self, docs: DataFrame) -> dict[str, DataFrame]:
-        made = chunk.chunks(docs)
-        words = counted(made.select(F.struct("source_ord", "id").alias("id"), "text")).select("id.source_ord", "id.id", "dl", "terms", "tfs")
-        return {"chunks": made, "words": words}
+        name = uuid.uuid4().hex
+        # texts are shuffled and chunked once: documents need versions alone, and words are counted in the chunks as written
+        versions = docs.where("ord is not null").groupBy("ord").agg(F.max(order).alias("d"))
+        self._put("documents", versions.select("ord", "d.version", F.col("d.live")), name)
+        made = self._put("chunks", chunk.chunks(last.where("content is not null")), name)
+        self._put("words", counted(made.select(F.struct("source_ord", "id").alias("id"), "text")).select("id.source_ord", "id.id", "dl", "terms", "tfs"), name)
+        self._name(batch, name, False)
 
     def follow(self, docs: DataFrame) -> StreamingQuery:
         """Take in what a stream of documents has and ends; called again, it goes on from there."""
@@ -94,7 +95,10 @@ class StreamIndex:
         if len(parts) > 1:
             holding = self._holding()
             documents = self._table("documents").join(holding, ["ord", "place"], "left_semi").select("ord", "version", "live").distinct()
-            self._write({"documents": documents, "chunks": self.chunks(), "words": self._current("words").drop("part", "place")}, parts[-1][0], True)
+            name = uuid.uuid4().hex
+            for table, rows in {"documents": documents, "chunks": self.chunks(), "words": self._current("words").drop("part", "place")}.items():
+                self._put(table, rows, name)
+            self._name(parts[-1][0], name, True)
 
     def clean(self) -> None:
         """Delete what no part that counts names. No reader may be at work on older parts, and no batch."""

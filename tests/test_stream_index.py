@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from heronry.operators import chunk
-from heronry.operators.search import Bm25
+from heronry.operators.search import Bm25, counted
 from heronry.streaming import index as stream
 
 
@@ -79,3 +79,14 @@ def test_null_ids_and_empty_batches(spark, tmp_path):
     assert index.count() == 2 and index.chunks().count() == 0
     index.compact()
     assert index.count() == 2 and index.bm25().stats.select(F.col("n")).first()["n"] == 0
+
+
+def test_words_are_counted_in_the_chunks_as_written(spark, tmp_path, monkeypatch):
+    """A batch is chunked once: its words come from the written chunks, not from its documents again."""
+    seen = []
+    monkeypatch.setattr(stream, "counted", lambda rows: seen.append(rows.inputFiles()) or counted(rows))
+    index = stream.StreamIndex(spark, str(tmp_path))
+    index.upsert(spark.createDataFrame([(1, "a", "MIT", "t", "text", "some words here", 0), (2, "b", "MIT", "t", "text", None, 0)], stream.SCHEMA), 0)
+    assert seen[0] and all("/chunks/part=" in f for f in seen[0])
+    assert index.count() == 1 and [r["text"].strip() for r in index.chunks().collect()] == ["some words here"]
+    assert index.bm25().words.first()["dl"] == 3
