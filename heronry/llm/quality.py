@@ -44,6 +44,8 @@ SIZES = 24
 KEEP = 0.5
 #: Share of right labels that makes a view confident, among at least so many kept rows.
 SURE, SUPPORT = 0.98, 20
+#: Rows that are standardised at a time: what is made of training rows stays small beside them.
+PIECE = 512
 #: Class of each byte: letters, capitals, digits, space, line end, sentence marks, other marks, bytes over 127.
 _CLASS = np.array([1 if 65 <= b <= 90 else 0 if 97 <= b <= 122 else 2 if 48 <= b <= 57 else 3 if b in (9, 32) else 4 if b in (10, 13) else 5 if b in b".,;:'?" else 7 if b > 127 else 6 for b in range(256)], np.uint8)
 
@@ -94,20 +96,32 @@ class Logistic:
     weight: np.ndarray  # the last is the constant
 
     def odds(self, x: np.ndarray) -> np.ndarray:
-        return np.clip((x - self.mean) / self.scale, -8, 8) @ self.weight[:-1] + self.weight[-1]
+        out = np.empty(len(x))
+        for at in range(0, len(x), PIECE):
+            out[at : at + PIECE] = standard(x[at : at + PIECE], self.mean, self.scale) @ self.weight[:-1] + self.weight[-1]
+        return out
+
+
+def standard(x: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    return np.clip((x - mean) / scale, -8, 8)
 
 
 def fit(x: np.ndarray, y: np.ndarray, ridge: float = 3.0, rounds: int = 12) -> Logistic:
-    """Newton's method with a ridge penalty on standardised features."""
-    mean, scale = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-3)
-    z = np.hstack([np.clip((x - mean) / scale, -8, 8), np.ones((len(x), 1))]).astype(np.float64)
-    w = np.zeros(z.shape[1])
+    """Newton's method with a ridge penalty on standardised features, summed over pieces of the rows."""
+    mean = x.mean(axis=0)
+    scale = np.maximum(np.concatenate([x[:, k : k + 64].std(axis=0) for k in range(0, x.shape[1], 64)]), 1e-3)
+    w = np.zeros(x.shape[1] + 1)
     penalty = np.full(len(w), ridge)
     penalty[-1] = 1e-6
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        h = (z * (p * (1 - p))[:, None]).T @ z + np.diag(penalty)
-        step = np.linalg.solve(h, z.T @ (y - p) - penalty * w)
+        h, slope = np.diag(penalty), -penalty * w
+        for at in range(0, len(x), PIECE):
+            part = x[at : at + PIECE]
+            z = np.hstack([standard(part, mean, scale), np.ones((len(part), 1))]).astype(np.float64)
+            p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
+            h += (z * (p * (1 - p))[:, None]).T @ z
+            slope += z.T @ (y[at : at + PIECE] - p)
+        step = np.linalg.solve(h, slope)
         w += step
         if np.abs(step).max() < 1e-4:
             break
@@ -199,6 +213,7 @@ def learn(
         return QualityModel(None, None, prior)
     kept = [x[held_out] for x in found]
     own = [Rows(x[~held_out], y[~held_out]) for x in found]
+    del found
     models = [fit(r.x, r.y) for r in own]
     pool = rows.join(F.broadcast(some.select("__id")), "__id", "left_anti").select(F.xxhash64("__id", *names).alias("h"), *names)
     for _ in range(rounds):
@@ -209,6 +224,7 @@ def learn(
         for k in (0, 1):
             at = view == k
             own[1 - k] = taught(own[1 - k], [x[at] for x in found], k, given[at])
+        del found
         models = [fit(r.x, r.y) for r in own]
     return finish(models, kept, y[held_out], prior)
 
@@ -223,7 +239,10 @@ def _views(part: pa.RecordBatch) -> list[np.ndarray]:
 
 
 def _collected(rows: DataFrame, extra: list[str]) -> tuple[list[np.ndarray], dict[str, list]]:
-    """The two views of ``rows``, few rows, and their other columns, in a fixed order."""
+    """The two views of ``rows``, few rows, and their other columns, in a fixed order.
+
+    The driver sorts the few rows: a sort by Spark makes the features twice, first for a sample of the keys.
+    """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text", 1 << 20):
@@ -231,9 +250,16 @@ def _collected(rows: DataFrame, extra: list[str]) -> tuple[list[np.ndarray], dic
             yield pa.record_batch([*(part.column(c) for c in extra), *(pa.array([r.tobytes() for r in x], pa.binary()) for x in found)], names=[*extra, "a", "b"])
 
     schema = rows.select(*extra, F.lit(b"").alias("a"), F.lit(b"").alias("b")).schema
-    table = rows.mapInArrow(task, schema).orderBy(*extra).toArrow()
-    widths = [x.shape[1] for x in features(pa.array([""]), [None], [None], [None])]
-    return [np.frombuffer(b"".join(table[c].to_pylist()), np.float32).reshape(-1, w) for c, w in zip(("a", "b"), widths, strict=True)], {c: table[c].to_pylist() for c in extra}
+    table = rows.mapInArrow(task, schema).toArrow()
+    order = pc.sort_indices(table.select(extra), sort_keys=[(c, "ascending") for c in extra])
+    place = np.empty(len(order), np.int64)
+    place[order.to_numpy()] = np.arange(len(order))
+    found = [np.empty((len(order), x.shape[1]), np.float32) for x in features(pa.array([""]), [None], [None], [None])]
+    for c, x in zip(("a", "b"), found, strict=True):
+        for at, row in zip(place.tolist(), table[c], strict=True):
+            x[at] = np.frombuffer(row.as_buffer(), np.float32)
+        table = table.drop_columns([c])
+    return found, table.take(order).to_pydict()
 
 
 def _confident_rows(pool: DataFrame, models: list[Logistic], limits: list[tuple[float, float]], wanted: list[int], names: list[str]) -> DataFrame:
@@ -261,8 +287,8 @@ def _confident_rows(pool: DataFrame, models: list[Logistic], limits: list[tuple[
     first = Window.partitionBy("view", "y").orderBy("h")
     most = F.when(F.col("y") == 1, wanted[1]).otherwise(wanted[0])
     few = said.where(F.col("h") / float(1 << 64) + 0.5 <= low)
-    chosen = few.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= most).drop("nth").distinct()
-    texts = pool.join(F.broadcast(chosen.select("h").distinct()), "h", "left_semi").groupBy("h").agg(*[F.first(c).alias(c) for c in names])  # at most 4 * max(wanted) hashes
+    chosen = written(few.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= most).drop("nth").distinct(), "chosen")
+    texts = pool.join(F.broadcast(chosen.select("h")), "h", "left_semi").groupBy("h").agg(*[F.first(c).alias(c) for c in names])  # at most 4 * max(wanted) hashes
     return texts.join(F.broadcast(chosen), "h")
 
 

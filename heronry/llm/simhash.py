@@ -261,6 +261,7 @@ def block_links(nodes: DataFrame, distance: int, most: int = 1 << 16) -> DataFra
     """(a, b) links that connect all nodes that chains of pairs join which agree in a block and differ in ``distance`` bits of ``fp`` at most.
 
     ``nodes`` has node, fp and blocks. Rows meet by block once, sorted; each block's own links are put out, not its pairs.
+    A group's links start at its smallest node, so that those of the blocks that a group shares are the same links.
     A task reads about ``most`` rows at a time, and a block of more in whole: a row of it is 28 bytes.
     """
     keyed = nodes.select("node", *[F.col("fp")[i].alias(f"fp{i}") for i in range(TOLD)], F.explode("blocks").alias("block"))
@@ -288,7 +289,7 @@ def block_links(nodes: DataFrame, distance: int, most: int = 1 << 16) -> DataFra
             yield links(*(np.concatenate(x) for x in zip(*held, strict=True)))
 
     parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return keyed.repartition(parts, "block").sortWithinPartitions("block").mapInArrow(task, "a long, b long")
+    return keyed.repartition(parts, "block").sortWithinPartitions("block", "node").mapInArrow(task, "a long, b long")
 
 
 def meetings(keyed: DataFrame, on: list[str], salts: int = 64) -> DataFrame:
