@@ -16,8 +16,9 @@ and linear in the bucket's size.
 For similarities whose distances no pigeonhole reaches, :func:`near_copies`
 takes longer fingerprints, of the distinct shingles: those that agree in one of
 as many blocks as a stated recall asks for meet, and their Hamming distance is
-verified. Sets of few shingles, whose fingerprints are coarse, also meet by
-bands of minima. Candidates' sets of shingles are then held against each other;
+verified. What the first few blocks join counts as one node in the others, so
+that the links of a large class do not come again from every block. Sets of few
+shingles, whose fingerprints are coarse, also meet by bands of minima. Candidates' sets of shingles are then held against each other;
 a link says that their exact Jaccard similarity suffices.
 
 Edge cases: null and empty texts, and texts of white space alone, have the
@@ -48,6 +49,8 @@ SEED = 42
 BAND, FEW = 6, 40
 #: Bits of a block of a long fingerprint, and its lanes that tell a Hamming distance.
 BLOCK, TOLD = 16, 2
+#: Blocks whose classes are known before the others are read.
+FIRST = 4
 
 
 def shingle_hashes(text: str, words: int) -> np.ndarray:
@@ -228,17 +231,18 @@ def sketches(docs: DataFrame, *, text: str, keep: list[Column], words: int, bloc
     return kept.mapInArrow(task, kept.select(*names, F.lit(0).cast("long").alias("node"), none("long").alias("fp"), none("int").alias("blocks"), none("long").alias("keys")).schema)
 
 
-def close_links(fp: np.ndarray, group: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links (places) that connect, within each run of one group, all fingerprints that a chain of close ones joins."""
+def close_links(fp: np.ndarray, group: np.ndarray, node: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links (places) that connect, within each run of one group, all nodes that a chain of close fingerprints joins; a node may have several."""
     a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     edge = np.flatnonzero(np.append(True, group[1:] != group[:-1])) if len(group) else np.zeros(0, np.int64)
     size = np.diff(np.append(edge, len(group)))
     rows = np.flatnonzero(np.repeat(size <= 32, size))
-    g, f = group[rows], fp[rows]
+    g, f, own = group[rows], fp[rows], node[rows]
     for lag in range(1, min(32, len(g))):  # small groups: each row with the rows after it
         near = np.flatnonzero(g[lag:] == g[:-lag])
         if not len(near):
             break
+        near = near[own[near] != own[near + lag]]
         near = near[np.bitwise_count(f[near] ^ f[near + lag]).sum(axis=1, dtype=np.int64) <= distance]
         a.append(rows[near])
         b.append(rows[near + lag])
@@ -246,21 +250,48 @@ def close_links(fp: np.ndarray, group: np.ndarray, distance: int) -> tuple[np.nd
         queue, rest = [], np.arange(start, start + count)
         while len(rest):  # large ones: from row to row, each held against those not yet reached
             if not queue:
-                queue, rest = [rest[0]], rest[1:]
+                same = node[rest] == node[rest[0]]
+                queue, rest = rest[same].tolist(), rest[~same]
+                continue
             here = queue.pop()
-            close = np.bitwise_count(fp[rest] ^ fp[here]).sum(axis=1, dtype=np.int64) <= distance
-            if close.any():
-                reached, rest = rest[close], rest[~close]
-                a.append(np.full(len(reached), here))
-                b.append(reached)
-                queue += reached.tolist()
+            close = rest[np.bitwise_count(fp[rest] ^ fp[here]).sum(axis=1, dtype=np.int64) <= distance]
+            if len(close):
+                met, at = np.unique(node[close], return_index=True)
+                a.append(np.full(len(met), here))
+                b.append(close[at])
+                reached = np.isin(node[rest], met)
+                queue += rest[reached].tolist()
+                rest = rest[~reached]
     return np.concatenate(a), np.concatenate(b)
 
 
+def forest(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Places of links that connect all that these links do, fewer than their ends: in rounds, each tree takes its first link to another."""
+    ends = np.unique(np.concatenate([a, b]), return_inverse=True)[1]
+    u, v = ends[: len(a)], ends[len(a) :]
+    tree = np.arange(len(ends))
+    left, taken = np.arange(len(a)), [np.zeros(0, np.int64)]
+    while len(left := left[tree[u[left]] != tree[v[left]]]):
+        least = np.full(len(tree), len(a))
+        np.minimum.at(least, tree[u[left]], left)
+        np.minimum.at(least, tree[v[left]], left)
+        own = np.flatnonzero(least < len(a))
+        link = least[own]
+        taken.append(np.unique(link))
+        to = np.arange(len(tree))
+        to[own] = tree[u[link]] + tree[v[link]] - own
+        both = own[(to[to[own]] == own) & (own < to[own])]  # two trees with the same link
+        to[both] = both
+        while (to != to[to]).any():
+            to = to[to]
+        tree = to[tree]
+    return np.concatenate(taken)
+
+
 def block_links(nodes: DataFrame, distance: int, most: int = 1 << 16) -> DataFrame:
     """(a, b) links that connect all nodes that chains of pairs join which agree in a block and differ in ``distance`` bits of ``fp`` at most.
 
-    ``nodes`` has node, fp and blocks. Rows meet by block once, sorted; each block's own links are put out, not its pairs.
+    ``nodes`` has node, fp and blocks; rows of one node need no link. Rows meet by block once, sorted; of what is read at a time a forest of links is put out, not its pairs.
     A group's links start at its smallest node, so that those of the blocks that a group shares are the same links.
     A task reads about ``most`` rows at a time, and a block of more in whole: a row of it is 28 bytes.
     """
@@ -270,8 +301,9 @@ def block_links(nodes: DataFrame, distance: int, most: int = 1 << 16) -> DataFra
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
         def links(node: np.ndarray, block: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
-            a, b = close_links(fp, block, distance)
+            a, b = close_links(fp, block, node, distance)
             pairs = np.unique(np.stack([node[a], node[b]], axis=1), axis=0)
+            pairs = pairs[forest(pairs[:, 0], pairs[:, 1])]
             return pa.record_batch([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
         for batch in batches:
@@ -292,6 +324,18 @@ def block_links(nodes: DataFrame, distance: int, most: int = 1 << 16) -> DataFra
     return keyed.repartition(parts, "block").sortWithinPartitions("block", "node").mapInArrow(task, "a long, b long")
 
 
+def class_links(nodes: DataFrame, distance: int, first: int = FIRST) -> DataFrame:
+    """(a, b) links that connect the same nodes as those of :func:`block_links`.
+
+    A class of many near copies would have other links in each block. So classes by the ``first`` blocks are made before;
+    in the others their nodes go by the name of the class, and links are those between two classes only.
+    """
+    begun = written(components(block_links(nodes.withColumn("blocks", F.slice("blocks", 1, first)), distance)), "begun")
+    others = F.slice("blocks", F.lit(first + 1), F.greatest(F.size("blocks") - first, F.lit(0)))
+    rest = nodes.join(begun, "node", "left").select(F.coalesce("root", "node").alias("node"), "fp", others.alias("blocks"))
+    return block_links(rest, distance).unionByName(begun.select(F.col("node").alias("a"), F.col("root").alias("b")).where("a <> b"))
+
+
 def meetings(keyed: DataFrame, on: list[str], salts: int = 64) -> DataFrame:
     """(a, b) links that connect all nodes with a common key (the columns ``on``), by stars in two levels, so that no key's rows gather."""
     keyed = keyed.select("node", *on, F.pmod(F.xxhash64("node"), F.lit(salts)).alias("salt"))
@@ -424,7 +468,7 @@ def near_copies(docs: DataFrame, *, key: str = "doc_id", text: str = "text", wor
     once = lambda c: F.any_value(c).alias(c)
     nodes = prints.groupBy("node").agg(once("fp"), once("blocks"))
     banded = prints.where(F.size("keys") > 0).groupBy("node").agg(once("keys")).select("node", F.posexplode("keys").alias("band", "key"))
-    rough = components(block_links(nodes, told_distance(similarity)).unionByName(meetings(banded, ["band", "key"])))
+    rough = components(class_links(nodes, told_distance(similarity)).unionByName(meetings(banded, ["band", "key"])))
     wanted = prints.groupBy("node").agg(F.min("digest").alias("digest")).join(rough, "node").select("digest", "root")
     texts = docs.select(digest, F.col(text).alias("text")).groupBy("digest").agg(F.any_value("text").alias("text"))
     sets = written(shingle_sets(texts.join(wanted, "digest"), text="text", keep=[F.col("root")], words=words), "sets")

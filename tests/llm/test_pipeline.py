@@ -160,3 +160,56 @@ def test_blocks_that_a_group_shares_give_the_same_links(spark):
     nodes = spark.createDataFrame(rows, "node long, fp array<long>, blocks array<int>").repartition(5)
     found = simhash.block_links(nodes, 0).distinct().collect()
     assert sorted(map(tuple, found)) == [(1, n) for n in range(2, 101)]
+
+
+def near_copies_of_one(spark, n):
+    """Texts of 120 words, 6 of them changed."""
+    r = random.Random(23)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(6))
+    base, rows = [word() for _ in range(120)], []
+    for i in range(n):
+        words = list(base)
+        for at in range(10 + i % 5, 16 + i % 5):
+            words[at] = word()
+        rows.append((i, " ".join(words)))
+    return spark.createDataFrame(rows, "doc_id long, text string")
+
+
+def test_links_of_many_near_copies_are_few(spark, monkeypatch):
+    """Rounds of components take a number of links that does not grow with the number of blocks."""
+    made, put = [], components.written
+    monkeypatch.setattr(components, "written", lambda df, name: made.append(put(df, name)) or made[-1])
+    monkeypatch.setattr(components, "discard", lambda df: None)
+    found = simhash.near_copies(near_copies_of_one(spark, 400)).collect()
+    assert {r["component_id"] for r in found} == {0} and len(found) == 400
+    assert max(x.count() for x in made) < 400 * 4
+
+
+def test_classes_of_links_in_two_passes_equal_brute_force(spark):
+    """Chains through several blocks; nodes of one class and a node alone meet in small and in large groups."""
+    r = random.Random(9)
+    rows = [(i, [r.getrandbits(63) >> 57 << 50, 0], [r.randrange(8), 100 + r.randrange(40), 200 + i % 2, 300 + i % 60]) for i in range(300)] + [(1000, [0, 0], [])]
+    near = lambda x, y: sum((p ^ q).bit_count() for p, q in zip(x[1], y[1], strict=True)) <= 1 and set(x[2]) & set(y[2])
+    nodes = spark.createDataFrame(rows, "node long, fp array<long>, blocks array<int>").repartition(5)
+    for some in (rows[:60], rows):
+        pairs = spark.createDataFrame([(x[0], y[0]) for x in some for y in some if x[0] < y[0] and near(x, y)], "a long, b long")
+        want = sorted(map(tuple, components.components(pairs).collect()))
+        for first in (0, 1, 2, 9):
+            got = components.components(simhash.class_links(nodes.where(F.col("node").isin([x[0] for x in some])), 1, first))
+            assert sorted(map(tuple, got.collect())) == want
+
+
+@pytest.mark.parametrize(("n", "links"), [(1, 0), (2, 1), (30, 400), (400, 300), (400, 900)])
+def test_forests_connect_what_all_links_do(n, links):
+    r = np.random.default_rng(n + links)
+    a, b = r.integers(0, n, (2, links))
+
+    def roots(places):
+        root = list(range(n))
+        for i in places:
+            x, y = sorted((root[a[i]], root[b[i]]))
+            root = [x if z == y else z for z in root]
+        return root
+
+    places = simhash.forest(a, b)
+    assert roots(places) == roots(range(links)) and len(places) == n - len(set(roots(places)))
